@@ -1,0 +1,241 @@
+"""Reports on the small datasets, whose figures are known."""
+
+import fixtures
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import schemas
+from tidemark.operators import preprocess, quality, unify
+from tidemark.plans import live, reports
+
+
+def rows(frame):
+    return [tuple(row) for row in frame.collect()]
+
+
+@pytest.fixture(scope="module")
+def reviews(spark):
+    return unify.all_reviews(
+        fixtures.existing_reviews(spark), fixtures.scraped_reviews(spark)
+    ).cache()
+
+
+@pytest.fixture(scope="module")
+def images(spark):
+    return unify.all_images(fixtures.existing_images(spark), fixtures.scraped_images(spark))
+
+
+def test_unified_columns(reviews, images):
+    assert reviews.columns == schemas.ALL_REVIEWS.names
+    assert images.columns == schemas.ALL_IMAGES.names
+    assert (reviews.count(), images.count()) == (20, 20)
+
+
+def test_reviews_by_source(reviews):
+    assert rows(reports.reviews_by_source(reviews)) == [
+        ("amazon", "existing", 7, 3.71, 4),
+        ("web_scraping", "scraped", 5, 3.8, 3),
+        ("ebay", "existing", 4, 3.5, 2),
+        ("shopify", "existing", 4, 3.75, 2),
+    ]
+
+
+def test_reviews_daily(reviews):
+    found = [(str(d), *rest) for d, *rest in rows(reports.reviews_daily(reviews))]
+    assert len(found) == 16
+    assert found[:3] == [
+        ("2025-06-24", "scraped", 5, 3.8),
+        ("2025-01-29", "existing", 1, 5.0),
+        ("2025-01-28", "existing", 1, 4.0),
+    ]
+
+
+def test_satisfaction(reviews):
+    assert rows(reports.satisfaction(reviews)) == [
+        ("Satisfied", 11, 55.0),
+        ("Unsatisfied", 5, 25.0),
+        ("Neutral", 4, 20.0),
+    ]
+
+
+def test_satisfaction_counts_unreadable_ratings_as_unsatisfied(spark):
+    odd = spark.createDataFrame([("4.9",), (None,), ("junk",), ("3.2",)], "rating string")
+    assert rows(reports.satisfaction(odd)) == [
+        ("Unsatisfied", 2, 50.0),
+        ("Neutral", 1, 25.0),
+        ("Satisfied", 1, 25.0),
+    ]
+    assert rows(reports.satisfaction(odd.where("rating = '4.9'"))) == [("Satisfied", 1, 100.0)]
+    assert rows(reports.satisfaction(odd.where("false"))) == []
+
+
+def test_source_performance(reviews):
+    assert rows(reports.source_performance(reviews)) == [
+        ("web_scraping", 5, 3.8, 60.0, 4),
+        ("amazon", 7, 3.71, 57.1, 3),
+        ("ebay", 4, 3.5, 50.0, 3),
+        ("shopify", 4, 3.75, 50.0, 3),
+    ]
+
+
+def test_compare_sources(reviews):
+    assert sorted(rows(reports.compare_sources(reviews))) == [
+        ("existing", 15, 3.67, "2025-01-15T10:00:00", "2025-01-29T13:30:00"),
+        ("scraped", 5, 3.8, "2025-06-24T08:00:00", "2025-06-24T12:00:00"),
+    ]
+
+
+def test_image_categories(images):
+    found = rows(reports.image_categories(images))
+    assert found[:3] == [
+        ("landscape", "existing", 2, 306.0),
+        ("technology", "existing", 2, 295.0),
+        ("vehicles", "existing", 2, 323.0),
+    ]
+    assert all(row[2] == 1 for row in found[3:])
+
+
+def test_metric_summary(reviews, images):
+    assert rows(reports.metric_summary(reviews, images)) == [
+        ("total_reviews", "20"),
+        ("avg_rating", "3.7"),
+        ("unique_sources", "4"),
+        ("total_images", "20"),
+    ]
+    empty = rows(reports.metric_summary(reviews.where("false"), images.where("false")))
+    assert empty == [
+        ("total_reviews", "0"),
+        ("avg_rating", None),
+        ("unique_sources", "0"),
+        ("total_images", "0"),
+    ]
+
+
+def test_missing_category_is_unknown(spark):
+    bare = spark.createDataFrame([("1", "5")], "review_id string, rating string")
+    row = unify.review_rows(bare, "existing").first()
+    assert (row.category, row.timestamp, row.source) == ("unknown", None, None)
+
+
+def test_product_layout_is_adapted(spark):
+    products = spark.createDataFrame(
+        [("9", "B1", "4", "short", "whole text")], schemas.PRODUCT_REVIEWS
+    )
+    row = unify.review_rows(products, "existing").first()
+    assert (row.review_id, row.rating, row.review_text) == ("9", "4", "whole text")
+
+
+def test_kpis_of_fallback_reviews(spark):
+    from tidemark.sources.files import fallback_reviews
+
+    products = fallback_reviews(spark)
+    assert rows(reports.review_kpis(products)) == [(20, 3.45, 1)]
+    assert rows(reports.rating_histogram(products)) == [
+        (1.0, 2),
+        (2.0, 4),
+        (3.0, 4),
+        (4.0, 3),
+        (5.0, 7),
+    ]
+    assert rows(reports.top_products(products, limit=2)) == [
+        ("B0010E4KFG0", 1),
+        ("B0011E4KFG0", 1),
+    ]
+
+
+def test_preprocessing_of_titles(spark):
+    processed = preprocess.preprocess_news(fixtures.news(spark))
+    picked = processed.select("title_cleaned", "word_count", "title_length").collect()
+    assert [tuple(row) for row in picked] == [
+        ("breaking new ai technology revolutionizes healthcare", 6, 73),
+        ("python 3 12 released with amazing features", 7, 43),
+        ("docker vs kubernetes performance comparison 2025", 6, 49),
+        ("machine learning in production best practices", 6, 46),
+        ("climate change data analysis with big data tools", 8, 48),
+    ]
+    assert rows(preprocess.preprocess_stats(processed)) == [(5, 6.6, 8, 4)]
+    assert set(processed.columns) == set(schemas.NEWS_PREPROCESSED.names)
+    queue = preprocess.api_queue(processed)
+    assert queue.schema.simpleString() == schemas.API_QUEUE.simpleString()
+
+
+def test_gate(spark):
+    titles = [("1", "two words", "", "a"), ("2", "now three words", "", "a"), ("3", None, "", "b")]
+    marked = preprocess.with_clean_titles(spark.createDataFrame(titles, schemas.NEWS))
+    assert rows(quality.gate_counts(marked, "ready_for_ia")) == [(1, 2)]
+    assert marked.where("id = '3'").first().word_count == 0
+
+
+def test_dotted_cleaning_stats(spark):
+    cleaned = preprocess.with_clean_sentences(fixtures.news(spark), "title")
+    second = cleaned.where("id = '2'").first()
+    assert second.cleaned == "python 3.12 released with amazing features"
+    assert second.tokens == second.cleaned.split()
+    assert rows(preprocess.cleaning_stats(cleaned)) == [(5, 5, 6.4)]
+
+
+def messages(spark):
+    now = "2025-06-24T12:00:00"
+    sent = [
+        ("text-topic", "1", "a", "x", "2025-06-24T11:30:00"),
+        ("text-topic", "2", "a", None, "2025-06-24T11:00:00Z"),
+        ("text-topic", "3", None, "x", "2025-06-24T10:59:59"),
+        ("text-topic", "4", "b", "y", "Unknown"),
+        ("text-topic", "5", "b", "y", "2025-06-24T11:59:00+02:00"),
+        ("images-topic", "6", "a", "x", "2025-06-24T11:59:00"),
+        ("other-topic", "7", "a", "x", "2025-06-24T11:59:00"),
+    ]
+    frame = spark.createDataFrame(
+        sent, "topic string, id string, source string, category string, scraped_at string"
+    )
+    return frame, F.lit(now).cast("timestamp_ntz")
+
+
+def test_topic_stats(spark):
+    frame, now = messages(spark)
+    found = {(d, k): n for d, k, n in rows(live.topic_stats(frame, now))}
+    assert found == {
+        ("total", "articles"): 5,
+        ("total", "images"): 1,
+        ("total", "last_hour"): 2,
+        ("source", "a"): 2,
+        ("source", "b"): 2,
+        ("source", "unknown"): 1,
+        ("category", "x"): 2,
+        ("category", "y"): 2,
+        ("category", "general"): 1,
+    }
+
+
+@pytest.mark.parametrize(
+    "last, expected",
+    [
+        ("2025-06-24T11:59:00", (60, "active", "60s")),
+        ("2025-06-24T11:50:01", (599, "active", "599s")),
+        ("2025-06-24T11:50:00", (600, "slowed", "10min")),
+        ("2025-06-24T10:58:59", (3661, "slowed", "61min")),
+        ("Unknown", (None, "starting", None)),
+    ],
+)
+def test_feed_freshness(spark, last, expected):
+    from tidemark.functions.casts import parse_iso
+
+    frame = spark.createDataFrame([(last,), ("2025-01-01",) if last != "Unknown" else ("",)],
+                                  "scraped_at string")
+    now = F.lit("2025-06-24T12:00:00").cast("timestamp_ntz")
+    row = live.feed_freshness(frame, parse_iso("scraped_at"), now).first()
+    assert (row.age_seconds, row.status, row.age) == expected
+
+
+def test_cards_have_defaults(spark):
+    bare = spark.createDataFrame([("1", None)], "id string, title string")
+    card = live.article_cards(bare).first()
+    assert (card.title, card.source, card.category) == ("Untitled...", "Unknown", "general")
+    assert (card.content, card.url, card.scraped_at) == ("No content...", None, "Unknown")
+    assert (card.word_count, card.upvotes) == (0, None)
+
+
+def test_ingest_counters_count_failures(spark):
+    frame, _ = messages(spark)
+    failed = F.col("id") == "6"
+    assert rows(live.ingest_counters(frame, failed)) == [(6, 5, 0, 1)]

@@ -63,11 +63,11 @@ def _category(text: str, keywords: dict[str, list[str]]) -> str:
 
 
 def _strip_tags(markup: str) -> str:
-    hidden = _sub(markup, r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->", "")
-    bare = _sub(hidden, r"<[^>]*>", "")
+    """Readable text, for the entities that occur; a reference may lack its semicolon."""
     for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
-        bare = f"replace({bare}, '&{name};', '{char}')"
-    return bare
+        markup = _sub(markup, rf"&{name}(?:;|([^a-zA-Z0-9;.-]))", rf"{char}\1")
+    shown = _sub(markup, r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->", "")
+    return _sub(shown, r"<[^>]*>", "")
 
 
 def _clean_html(markup: str) -> str:

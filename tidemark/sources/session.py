@@ -27,18 +27,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, from the session's checkpoint setting.
+    """Folder every executor can reach: the session's checkpoint folder.
 
-    Only a local session may go without the setting; it gets a temporary folder.
+    Only a local session may go without one; it gets a temporary folder.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by the cluster")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return context.getCheckpointDir()
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
