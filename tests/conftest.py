@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark import cloudpickle
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
@@ -20,6 +21,14 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def shipped(request):
+    """Functions of a test module reach the workers by value."""
+    cloudpickle.register_pickle_by_value(request.module)
+    yield
+    cloudpickle.unregister_pickle_by_value(request.module)
+
+
 @pytest.fixture
 def column(spark):
     """Evaluate a column expression over the values of ``t``."""

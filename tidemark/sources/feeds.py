@@ -16,11 +16,8 @@ from tidemark.schemas import CORRUPT
 
 def read_payloads(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """One row per file below ``path``; the parent folder names the source."""
-    files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .text(path)
+    files = spark.read.text(
+        path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern
     )
     return files.select(
         F.element_at(F.split("_metadata.file_path", "/"), -2).alias("source"),

@@ -55,7 +55,11 @@ def read_csv(
 def read_complete_rows(
     spark: SparkSession, path: str | list[str], schema: StructType
 ) -> DataFrame:
-    """CSV rows that have every field of the header; blank and short rows are left out."""
+    """CSV rows with at least the header's fields; surplus fields are cut off.
+
+    Blank and short rows are left out.  A malformed row is either short or long, which the
+    commas outside its quotes tell.
+    """
     marked = StructType([*schema.fields, StructField(schemas.CORRUPT, StringType())])
     rows = (
         spark.read.schema(marked)
@@ -63,9 +67,16 @@ def read_complete_rows(
         .option("quote", '"')
         .option("escape", '"')
         .option("columnNameOfCorruptRecord", schemas.CORRUPT)
+        # Rows are measured against the whole schema, whatever columns a query reads.
+        .option("columnPruning", False)
         .csv(path)
     )
-    return rows.where(F.col(schemas.CORRUPT).isNull()).drop(schemas.CORRUPT)
+    raw = F.col(schemas.CORRUPT)
+    commas = F.length(F.regexp_replace(raw, '"[^"]*"|[^,"]', ""))
+    long_enough = raw.isNull() | (commas >= len(schema.fields) - 1)
+    # Spark refuses to read the corrupt column alone, as a count would, so look at one more.
+    readable = F.length(F.coalesce(schema.names[0], F.lit(""))) >= 0
+    return rows.where(long_enough & readable).drop(schemas.CORRUPT)
 
 
 def read_reviews(spark: SparkSession, root: str, origin: str = "existing") -> DataFrame:
