@@ -74,22 +74,24 @@ def clean_plain(value: Column | str) -> Column:
 
 def tokenize(value: Column | str) -> Column:
     """Whitespace tokens; blank text has none."""
-    collapsed = collapse_spaces(value)
-    return F.when(collapsed == "", F.array().cast("array<string>")).otherwise(
-        F.split(collapsed, " ")
-    )
+    plain = F.regexp_replace(_text(value), f"[{SPACE}&&[^ ]]", " ")
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def word_count(value: Column | str) -> Column:
-    """Number of whitespace tokens, without building them."""
-    return F.regexp_count(_text(value), F.lit(f"[^{SPACE}]+"))
+    """Number of whitespace tokens."""
+    return F.size(tokenize(value))
+
+
+def plain_word_count(value: Column | str) -> Column:
+    """Number of tokens of text whose only whitespace is the space; needs no regex."""
+    return F.size(F.array_remove(F.split(_text(value), " "), ""))
 
 
 def spaced_word_count(value: Column | str) -> Column:
-    """Token count of text whose words are already one space apart (a cleaner's output)."""
+    """Number of tokens of text whose words are exactly one space apart."""
     text = _text(value)
-    gaps = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    return F.when(text == "", F.lit(0)).otherwise(gaps + 1)
+    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, " ")))
 
 
 def truncate(value: Column | str, size: int) -> Column:

@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.casts import iso_text
 from tidemark.functions.categories import categorize_content, categorize_image
 from tidemark.functions.html import clean_html
-from tidemark.functions.text import host, is_image_link, stable_id, truncate, word_count
+from tidemark.functions.text import (
+    host,
+    is_image_link,
+    plain_word_count,
+    stable_id,
+    truncate,
+)
 
 CONTENT_LIMIT = 500
 TAG_LIMIT = 3
@@ -28,6 +34,14 @@ def _both(first: str, second: str) -> Column:
     return F.concat_ws(" ", first, second)
 
 
+def _words(*names: str) -> Column:
+    """Words of cleaned texts, joined by spaces."""
+    total = plain_word_count(names[0])
+    for name in names[1:]:
+        total = total + plain_word_count(name)
+    return total
+
+
 def _events(
     cleaned: DataFrame, seen_at: Column | None, data_type: str, **fields: Column
 ) -> DataFrame:
@@ -57,7 +71,7 @@ def short_title_articles(
         url=F.col("link"),
         source=F.lit(source),
         category=F.lit("technology"),
-        word_count=word_count("title"),
+        word_count=_words("title"),
     )
 
 
@@ -79,7 +93,7 @@ def news_articles(
         source=F.lit(source),
         category=F.lit("technology"),
         published=F.coalesce("published", F.lit("")),
-        word_count=word_count(_both("title", "content")),
+        word_count=_words("title", "content"),
     )
 
 
@@ -101,7 +115,7 @@ def long_content_articles(
         category=F.lit("technology"),
         tags=F.slice(F.coalesce("tags", F.array().cast("array<string>")), 1, TAG_LIMIT),
         published=F.coalesce("published", F.lit("")),
-        word_count=word_count(_both("title", "body")),
+        word_count=_words("title", "body"),
     )
 
 
@@ -125,7 +139,7 @@ def aggregated_articles(items: DataFrame, feed_url: str = "feed_url", seen_at=No
         source=F.col("host"),
         category=categorize_content(_both("title", "content")),
         published=F.coalesce("published", F.lit("")),
-        word_count=word_count(_both("title", "content")),
+        word_count=_words("title", "content"),
     )
 
 
@@ -153,7 +167,7 @@ def listing_articles(
         category=F.lit("technology"),
         upvotes=F.coalesce("ups", F.lit(0)),
         comments=F.coalesce("num_comments", F.lit(0)),
-        word_count=word_count(_both("title", "body")),
+        word_count=_words("title", "body"),
     )
 
 

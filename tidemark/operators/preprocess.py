@@ -12,25 +12,17 @@ from tidemark.functions.text import (
     spaced_word_count,
     tokenize,
 )
+from tidemark.operators.once import with_once
 from tidemark.sources.images import encode_images
 
 MIN_WORDS = 3
 
 
-def _stored(df: DataFrame, name: str, column: Column) -> DataFrame:
-    """Add a costly column that is computed once per row.
-
-    A filter on a plain projection is pushed below it, which would run the column's regexes
-    again in the filter and once per use.  A filter on a generated column stays above it.
-    """
-    return df.select("*", F.explode(F.array(column)).alias(name))
-
-
 def with_clean_titles(news: DataFrame, now: Column | None = None) -> DataFrame:
     """News with cleaned title, its word count, lengths and the readiness flag."""
     moment = F.current_timestamp() if now is None else now
     originals = news.withColumn("title_original", F.col("title"))
-    counted = _stored(originals, "title_cleaned", clean_words("title")).withColumns(
+    counted = with_once(originals, "title_cleaned", clean_words("title")).withColumns(
         {
             "word_count": spaced_word_count("title_cleaned"),
             "title_length": F.length("title_original"),
@@ -58,7 +50,7 @@ def preprocess_stats(processed: DataFrame) -> DataFrame:
 
 def with_clean_sentences(texts: DataFrame, text: str = "text") -> DataFrame:
     """Texts cleaned with dots kept, with tokens, token count and readiness flag."""
-    cleaned = _stored(texts, "cleaned", clean_keep_dots(text))
+    cleaned = with_once(texts, "cleaned", clean_keep_dots(text))
     return cleaned.withColumns(
         {"tokens": tokenize("cleaned"), "word_count": spaced_word_count("cleaned")}
     ).withColumn("ready_for_ia", F.col("word_count") >= MIN_WORDS)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.operators.once import with_once
 from tidemark.schemas import CORRUPT
 
 
@@ -29,13 +30,13 @@ def decode_rss(payloads: DataFrame) -> DataFrame:
     """Payloads with the decoded feed in ``feed``; bad XML is kept in its corrupt field."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     schema = schemas.RSS.simpleString().replace("content:encoded", "`content:encoded`")
-    return payloads.withColumn("feed", F.from_xml("payload", schema, options))
+    return with_once(payloads, "feed", F.from_xml("payload", schema, options))
 
 
 def decode_listing(payloads: DataFrame) -> DataFrame:
     """Payloads with the decoded listing in ``feed``; bad JSON is kept in its corrupt field."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return payloads.withColumn("feed", F.from_json("payload", schemas.LISTING, options))
+    return with_once(payloads, "feed", F.from_json("payload", schemas.LISTING, options))
 
 
 def corrupt_payloads(decoded: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import schemas
 from tidemark.functions.casts import iso_text
+from tidemark.operators.once import with_once
 from tidemark.schemas import CORRUPT
 
 # Topic names.
@@ -70,7 +71,8 @@ def decode(records: DataFrame, schema: StructType = schemas.MESSAGE) -> DataFram
     ]
     wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = records.select(*place, F.from_json(value, wide, options).alias("message"))
+    placed = records.select(*place, value.alias("value"))
+    parsed = with_once(placed, "message", F.from_json("value", wide, options))
     return parsed.select(*[name for name in POSITION if name in records.columns], "message.*")
 
 
