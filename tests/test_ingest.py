@@ -156,6 +156,14 @@ def test_first_per_source(spark):
         "cold": (5, 2994),
     }
     assert limits.first_per_source(frame, "id", {}, 2).count() == 6
+    # Beyond Spark's own bound the salted ranking gives the same rows.
+    large = limits.first_per_source(frame, "id", {"warm": 3}, 1500)
+    assert {r.source: (r.n, r.last) for r in large.groupBy("source").agg(
+        F.count("*").alias("n"), F.max("id").alias("last")).collect()} == {
+        "hot": (1500, 1499),
+        "warm": (3, 2002),
+        "cold": (10, 2999),
+    }
 
 
 def test_latest_and_top(spark):

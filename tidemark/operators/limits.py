@@ -15,6 +15,17 @@ FEED_CAPS = {
 OTHER_FEEDS_CAP = 5
 
 
+# Ranks up to this bound are cut in every input partition before the shuffle
+# (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
+SALTS = 64
+
+
+def _ranked_below(df: DataFrame, keys: list, order: list[str], bound: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= bound)
+
+
 def first_per_source(
     items: DataFrame,
     position: str | list[str],
@@ -26,12 +37,15 @@ def first_per_source(
 
     The largest cap is a literal bound on the rank, which Spark applies to every input
     partition before the shuffle: a source holding most rows still sends only that many rows
-    per partition.  The smaller caps are checked afterwards.
+    per partition.  Beyond the size Spark does this for, a first ranking within salted parts
+    of each source does it.  The smaller caps are checked afterwards.
     """
     order = [position] if isinstance(position, str) else position
     largest = max([default, *caps.values()])
-    rank = F.row_number().over(Window.partitionBy(source).orderBy(*order))
-    ranked = items.withColumn("_rank", rank).where(F.col("_rank") <= largest)
+    if largest > GROUP_LIMIT:
+        salt = F.pmod(F.xxhash64(*order), F.lit(SALTS))
+        items = _ranked_below(items, [source, salt], order, largest).drop("_rank")
+    ranked = _ranked_below(items, [source], order, largest)
     if any(cap != largest for cap in [default, *caps.values()]):
         cap = F.lit(default)
         for name, size in caps.items():

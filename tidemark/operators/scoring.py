@@ -154,8 +154,12 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pending(requests: DataFrame, results: DataFrame) -> DataFrame:
-    """Requests without a stored result."""
-    done = results.select(F.col("original_id").alias("id"))
+    """Requests without a stored result.
+
+    Ids are made distinct on the map side, so that a result stored many times is shuffled
+    once per task.
+    """
+    done = results.select(F.col("original_id").alias("id")).distinct()
     return requests.join(done, "id", "left_anti")
 
 

@@ -249,5 +249,9 @@ def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
     )
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
+def write_parquet(
+    df: DataFrame, path: str, mode: str = "overwrite", by: Sequence[str] = ()
+) -> None:
+    """Write Parquet, partitioned ``by`` columns if any, so that readers skip what they can."""
+    writer = df.write.mode(mode)
+    (writer.partitionBy(*by) if by else writer).parquet(path)

@@ -7,8 +7,9 @@ five minutes.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -53,9 +54,25 @@ def with_event_time(messages: DataFrame, when: Column | str = "scraped_at") -> D
     return messages.withColumn("event_time", moment.cast("timestamp"))
 
 
+def _first_of_batch(position: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            repeated = batch.column(position).to_pandas().duplicated()
+            yield batch.filter(pa.array(~repeated))
+
+    return run
+
+
 def deduplicated(messages: DataFrame, delay: str = LATENESS, key: str = "id") -> DataFrame:
-    """Each id once within ``delay``, which must exceed the time between two re-sends."""
-    return messages.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([key])
+    """Each id once within ``delay``, which must exceed the time between two re-sends.
+
+    Copies inside one Arrow batch are dropped before the shuffle by id, so that an id sent
+    very often does not bring all its copies to one task.
+    """
+    thinned = messages.mapInArrow(
+        _first_of_batch(messages.columns.index(key)), messages.schema
+    )
+    return thinned.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([key])
 
 
 def running_totals(messages: DataFrame) -> DataFrame:
@@ -112,10 +129,12 @@ def _triggered(writer: DataStreamWriter, once: bool) -> DataStreamWriter:
 
 
 def start_parquet(
-    df: DataFrame, path: str, checkpoint: str, once: bool = False
+    df: DataFrame, path: str, checkpoint: str, once: bool = False, by: Sequence[str] = ()
 ) -> StreamingQuery:
-    """Append a stream to a Parquet folder, exactly once."""
+    """Append a stream to a Parquet folder, exactly once, partitioned ``by`` columns if any."""
     writer = df.writeStream.format("parquet").outputMode("append")
+    if by:
+        writer = writer.partitionBy(*by)
     return _triggered(writer.option("checkpointLocation", checkpoint), once).start(path)
 
 
@@ -146,8 +165,7 @@ def current_values(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
     """The latest row of every group that :func:`start_updates` wrote."""
     rows = spark.read.parquet(path)
     values = [name for name in rows.columns if name not in (*keys, "epoch")]
-    best = F.max_by(F.struct(*values), "epoch").alias("best")
-    return rows.groupBy(*keys).agg(best).select(*keys, "best.*")
+    return rows.groupBy(*keys).agg(*[F.max_by(name, "epoch").alias(name) for name in values])
 
 
 def start_split(
