@@ -1,0 +1,93 @@
+"""Whole jobs on a small lake."""
+
+import json
+
+import fixtures
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.plans import jobs, reports
+from tidemark.sources import files, topics
+from tidemark.streaming import pipelines
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("lake"))
+    files.land(fixtures.existing_reviews(spark), root, "text", "existing")
+    files.land(fixtures.scraped_reviews(spark), root, "text", "scraped")
+    files.land(fixtures.existing_images(spark), root, "images", "existing")
+    files.land(fixtures.scraped_images(spark), root, "images", "scraped")
+    return root
+
+
+def test_reports_from_the_rollup_equal_direct_ones(spark, lake):
+    results = jobs.analyse(spark, lake)
+    direct = spark.table("all_reviews")
+    for name, build in jobs.REVIEW_REPORTS.items():
+        assert results[name].collect() == build(direct).collect(), name
+    images = spark.table("all_images")
+    expected = reports.metric_summary(direct, images).collect()
+    assert results["metric_summary"].collect() == expected
+    assert results["image_categories"].count() == reports.image_categories(images).count()
+    summary = spark.read.text(files.zone_path(lake, "results", "summary")).collect()
+    assert sorted(r.value for r in summary) == [
+        "avg_rating,3.7",
+        "total_images,20",
+        "total_reviews,20",
+        "unique_sources,4",
+    ]
+
+
+def test_rollup_of_nothing(spark, lake):
+    files.load_existing_data(spark, lake)
+    empty = reports.review_rollup(
+        spark.table("all_reviews").where("false")
+    )
+    assert reports.satisfaction(empty).count() == 0
+    images = reports.image_categories(spark.table("all_images").where("false"))
+    assert [r.value for r in reports.metric_summary(empty, images).collect()] == [
+        "0",
+        None,
+        "0",
+        "0",
+    ]
+
+
+def positive(requests):
+    return [
+        {"status": "success", "result": {"sentiment": {"label": "POSITIVE", "confidence": 1.0}}}
+        for _ in requests
+    ]
+
+
+def test_prepare_and_score(spark, lake):
+    assert tuple(jobs.prepare(spark, lake, fixtures.news(spark)).first()) == (5, 6.6, 8, 4)
+    first = jobs.analyse_queue(spark, lake, positive).collect()
+    again = jobs.analyse_queue(spark, lake, positive).collect()
+    assert sorted(first) == sorted(again)
+    assert {r.confidence for r in first} == {1.0} and len(first) == 5
+
+
+def test_topic_to_news(spark, lake, tmp_path):
+    lines = [
+        {"id": "1", "title": "Three words here", "timestamp": "t", "source": "a"},
+        {"id": "2", "title": "too short", "timestamp": "t", "source": "a"},
+    ]
+    (tmp_path / "topic").mkdir()
+    (tmp_path / "topic" / "1.json").write_text(
+        "\n".join([json.dumps(line) for line in lines] + ["broken"])
+    )
+    records = pipelines.stream_values(spark, str(tmp_path / "topic"), topics.TEXT_TOPIC)
+    jobs.land_topic(records, lake, str(tmp_path / "check"), once=True).awaitTermination(60)
+    landed = files.read_parquet(spark, files.zone_path(lake, "streaming", "news"))
+    assert [(r.id, r.title_cleaned) for r in landed.collect()] == [("1", "three words here")]
+
+
+def test_partitioned_writes_prune(spark, plan, tmp_path):
+    path = str(tmp_path / "daily")
+    frame = spark.range(10).select("id", F.when(F.col("id") < 5, "a").otherwise("b").alias("day"))
+    files.write_parquet(frame, path, by=["day"])
+    back = files.read_parquet(spark, path).where("day = 'a'")
+    assert back.count() == 5
+    assert "PartitionFilters: [isnotnull(day" in plan(back)

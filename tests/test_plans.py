@@ -11,7 +11,7 @@ from tidemark.operators import scoring
 from tidemark.plans import live, tables
 
 # Building these runs jobs, so their plans are not interesting here.
-EAGER = {name for name in registry.queries() if name.startswith(("stream_", "landed_", "catalog_"))}
+EAGER = {name for name in registry.queries() if name.startswith(("stream_", "landed_", "catalog_", "rollup_"))}
 LAZY = sorted(set(registry.queries()) - EAGER)
 
 # The only work that leaves the JVM: HTML parsing and user-supplied models.

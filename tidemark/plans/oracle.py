@@ -258,6 +258,34 @@ ORACLE: dict[str, str] = {
         SELECT 'unique_sources', CAST(count(DISTINCT source) AS VARCHAR) FROM reviews
         UNION ALL
         SELECT 'total_images', CAST(count(*) AS VARCHAR) FROM images""",
+    "review_rollup": f"""WITH {_REVIEWS}
+        SELECT source, data_source, category,
+               CAST(CAST(CAST("timestamp" AS TIMESTAMP) AS DATE) AS VARCHAR) AS date,
+               {_RATING} AS rating, count(*) AS n, min("timestamp") AS first_at,
+               max("timestamp") AS last_at
+        FROM reviews GROUP BY 1, 2, 3, 4, 5""",
+    "rollup_reports": f"""WITH {_REVIEWS}, days AS (
+            SELECT *, CAST(CAST(CAST("timestamp" AS TIMESTAMP) AS DATE) AS VARCHAR) AS date,
+                   CASE WHEN {_RATING_INT} >= 4 THEN 'Satisfied'
+                        WHEN {_RATING_INT} = 3 THEN 'Neutral' ELSE 'Unsatisfied' END AS level
+            FROM reviews)
+        SELECT 'by_source' AS report, source || '/' || data_source AS key, {_POSITIVE} AS n,
+               round(avg({_RATING}), 2) AS value FROM days GROUP BY source, data_source
+        UNION ALL
+        SELECT 'daily', date || '/' || data_source, count(*), round(avg({_RATING}), 2)
+        FROM days GROUP BY date, data_source
+        UNION ALL
+        SELECT 'satisfaction', level, count(*),
+               round(CAST(100.0 AS DOUBLE) * count(*) / (SELECT count(*) FROM days), 1)
+        FROM days GROUP BY level
+        UNION ALL
+        SELECT 'compare',
+               data_source || '/' || min("timestamp") || '/' || max("timestamp"), count(*),
+               round(avg({_RATING}), 2) FROM days GROUP BY data_source
+        UNION ALL
+        SELECT 'performance', source, count(DISTINCT category),
+               round(CAST(100.0 AS DOUBLE) * {_POSITIVE} / count(*), 1)
+        FROM days GROUP BY source""",
     "review_kpis": f"""WITH {_REVIEWS}
         SELECT count(*) AS total_reviews, avg({_RATING}) AS avg_rating,
                count(DISTINCT source) AS sources FROM reviews""",

@@ -156,6 +156,67 @@ def table_counts(spark, folder):
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def review_rollup(spark, folder):
+    rollup = reports.review_rollup(_all_reviews(spark, folder))
+    return rollup.withColumn("date", F.col("date").cast("string"))
+
+
+@query
+def rollup_reports(spark, folder):
+    """The review reports, all from one written rollup."""
+    path = run_folder(spark, "rollup")
+    files.write_parquet(reports.review_rollup(_all_reviews(spark, folder)), path)
+    rollup = files.read_parquet(spark, path)
+
+    def rows(name, report, key, count, value):
+        return report.select(
+            F.lit(name).alias("report"),
+            F.concat_ws("/", *key).alias("key"),
+            F.col(count).alias("n"),
+            F.col(value).alias("value"),
+        )
+
+    parts = [
+        rows(
+            "by_source",
+            reports.reviews_by_source(rollup),
+            ["source", "data_source"],
+            "positive_reviews",
+            "avg_rating",
+        ),
+        rows(
+            "daily",
+            reports.reviews_daily(rollup),
+            ["date", "data_source"],
+            "daily_reviews",
+            "daily_avg_rating",
+        ),
+        rows(
+            "satisfaction",
+            reports.satisfaction(rollup),
+            ["satisfaction_level"],
+            "count",
+            "percentage",
+        ),
+        rows(
+            "compare",
+            reports.compare_sources(rollup),
+            ["data_source", "earliest_review", "latest_review"],
+            "total_reviews",
+            "avg_rating",
+        ),
+        rows(
+            "performance",
+            reports.source_performance(rollup),
+            ["source"],
+            "categories_count",
+            "satisfaction_rate",
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def landed_csv_reviews(spark, folder):
     """Both review sets written as CSV zones, read back and unified."""

@@ -2,6 +2,10 @@
 
 Each is one scan with partial aggregation; what is shuffled and sorted is one row per group.
 Shares of a total come from the same aggregate, so nothing is scanned twice.
+
+The review reports take the unified reviews, or a rollup of them from :func:`review_rollup`:
+a far smaller table in which a row stands for ``n`` reviews.  A job that wants several
+reports makes the rollup first and reads the reviews once.
 """
 
 from __future__ import annotations
@@ -16,8 +20,51 @@ SATISFIED_FROM = 4
 NEUTRAL = 3
 
 
-def _mean(column: Column, digits: int = 2) -> Column:
-    return F.round(F.avg(column), digits)
+def review_rollup(reviews: DataFrame) -> DataFrame:
+    """Reviews counted per source, origin, category, day and rating, with their time span."""
+    return reviews.groupBy(
+        "source",
+        "data_source",
+        "category",
+        _day(reviews).alias("date"),
+        to_double("rating").alias("rating"),
+    ).agg(
+        F.count("*").alias("n"),
+        F.min("timestamp").alias("first_at"),
+        F.max("timestamp").alias("last_at"),
+    )
+
+
+# --- measures of reviews or of a rollup ---
+
+
+def _is_rollup(reviews: DataFrame) -> bool:
+    return "n" in reviews.columns
+
+
+def _day(reviews: DataFrame) -> Column:
+    return F.col("date") if _is_rollup(reviews) else F.col("timestamp").try_cast("date")
+
+
+def _rows(reviews: DataFrame) -> Column:
+    return F.coalesce(F.sum("n"), F.lit(0)) if _is_rollup(reviews) else F.count("*")
+
+
+def _rows_where(reviews: DataFrame, condition: Column) -> Column:
+    if _is_rollup(reviews):
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+    return F.count_if(condition)
+
+
+def _avg_rating(reviews: DataFrame) -> Column:
+    rating = to_double("rating")
+    if _is_rollup(reviews):
+        return F.sum(rating * F.col("n")) / F.sum(F.when(rating.isNotNull(), F.col("n")))
+    return F.avg(rating)
+
+
+def _round(column: Column) -> Column:
+    return F.round(column, 2)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -25,29 +72,31 @@ def _share(part: Column, whole: Column) -> Column:
     return F.round(F.lit(100.0).cast("double") * part / whole, 1)
 
 
-def _positive() -> Column:
-    return F.count_if(to_int("rating") >= SATISFIED_FROM)
+def _positive(reviews: DataFrame) -> Column:
+    return _rows_where(reviews, to_int("rating") >= SATISFIED_FROM)
+
+
+# --- review reports ---
 
 
 def reviews_by_source(reviews: DataFrame) -> DataFrame:
     return (
         reviews.groupBy("source", "data_source")
         .agg(
-            F.count("*").alias("total_reviews"),
-            _mean(to_double("rating")).alias("avg_rating"),
-            _positive().alias("positive_reviews"),
+            _rows(reviews).alias("total_reviews"),
+            _round(_avg_rating(reviews)).alias("avg_rating"),
+            _positive(reviews).alias("positive_reviews"),
         )
         .orderBy(F.desc("total_reviews"), "source", "data_source")
     )
 
 
 def reviews_daily(reviews: DataFrame) -> DataFrame:
-    day = F.col("timestamp").try_cast("date")
     return (
-        reviews.groupBy(day.alias("date"), "data_source")
+        reviews.groupBy(_day(reviews).alias("date"), "data_source")
         .agg(
-            F.count("*").alias("daily_reviews"),
-            _mean(to_double("rating")).alias("daily_avg_rating"),
+            _rows(reviews).alias("daily_reviews"),
+            _round(_avg_rating(reviews)).alias("daily_avg_rating"),
         )
         .orderBy(F.desc("date"), "data_source")
     )
@@ -59,11 +108,10 @@ def satisfaction(reviews: DataFrame) -> DataFrame:
     There are three levels, so all counts fit one global aggregate.  A rating that cannot be
     read is neither satisfied nor neutral and counts as unsatisfied.
     """
-    rating = to_int("rating")
     counts = reviews.agg(
-        F.count_if(rating >= SATISFIED_FROM).alias("high"),
-        F.count_if(rating == NEUTRAL).alias("mid"),
-        F.count("*").alias("total"),
+        _positive(reviews).alias("high"),
+        _rows_where(reviews, to_int("rating") == NEUTRAL).alias("mid"),
+        _rows(reviews).alias("total"),
     )
     levels = counts.select(
         "total",
@@ -88,24 +136,16 @@ def satisfaction(reviews: DataFrame) -> DataFrame:
     )
 
 
-def image_categories(images: DataFrame) -> DataFrame:
-    return (
-        images.groupBy("category", "data_source")
-        .agg(
-            F.count("*").alias("image_count"),
-            _mean(to_double("size_kb")).alias("avg_size_kb"),
-        )
-        .orderBy(F.desc("image_count"), "category", "data_source")
-    )
-
-
 def compare_sources(reviews: DataFrame) -> DataFrame:
     """Existing against scraped; times are ISO text, whose order is the time order."""
+    first, last = (
+        ("first_at", "last_at") if _is_rollup(reviews) else ("timestamp", "timestamp")
+    )
     return reviews.groupBy("data_source").agg(
-        F.count("*").alias("total_reviews"),
-        _mean(to_double("rating")).alias("avg_rating"),
-        F.min("timestamp").alias("earliest_review"),
-        F.max("timestamp").alias("latest_review"),
+        _rows(reviews).alias("total_reviews"),
+        _round(_avg_rating(reviews)).alias("avg_rating"),
+        F.min(first).alias("earliest_review"),
+        F.max(last).alias("latest_review"),
     )
 
 
@@ -113,23 +153,36 @@ def source_performance(reviews: DataFrame) -> DataFrame:
     return (
         reviews.groupBy("source")
         .agg(
-            F.count("*").alias("total_reviews"),
-            _mean(to_double("rating")).alias("avg_rating"),
-            _share(_positive(), F.count("*")).alias("satisfaction_rate"),
+            _rows(reviews).alias("total_reviews"),
+            _round(_avg_rating(reviews)).alias("avg_rating"),
+            _share(_positive(reviews), _rows(reviews)).alias("satisfaction_rate"),
             F.countDistinct("category").alias("categories_count"),
         )
         .orderBy(F.desc("satisfaction_rate"), F.desc("total_reviews"), "source")
     )
 
 
+def avg_rating_by_category(reviews: DataFrame) -> DataFrame:
+    return (
+        reviews.groupBy("category")
+        .agg(_avg_rating(reviews).alias("avg_rating"))
+        .orderBy("category")
+    )
+
+
 def metric_summary(reviews: DataFrame, images: DataFrame) -> DataFrame:
-    """Four headline metrics as (metric, value) text rows: one scan per table."""
+    """Four headline metrics as (metric, value) text rows: one scan per table.
+
+    ``images`` may be the image rows or :func:`image_categories` of them.
+    """
     review_row = reviews.agg(
-        F.count("*").cast("string").alias("total_reviews"),
-        _mean(to_double("rating")).cast("string").alias("avg_rating"),
+        _rows(reviews).cast("string").alias("total_reviews"),
+        _round(_avg_rating(reviews)).cast("string").alias("avg_rating"),
         F.countDistinct("source").cast("string").alias("unique_sources"),
     )
-    image_row = images.agg(F.count("*").cast("string").alias("total_images"))
+    counted = "image_count" in images.columns
+    total = F.coalesce(F.sum("image_count"), F.lit(0)) if counted else F.count("*")
+    image_row = images.agg(total.cast("string").alias("total_images"))
 
     def as_rows(row: DataFrame) -> DataFrame:
         # Explicit stack: an unpivot would drop a metric that is NULL on empty input.
@@ -161,6 +214,24 @@ def rating_histogram(reviews: DataFrame) -> DataFrame:
     )
 
 
+def top_products(reviews: DataFrame, product: str = "ProductId", limit: int = 5) -> DataFrame:
+    return top_keys(reviews, product, limit)
+
+
+# --- image reports ---
+
+
+def image_categories(images: DataFrame) -> DataFrame:
+    return (
+        images.groupBy("category", "data_source")
+        .agg(
+            F.count("*").alias("image_count"),
+            _round(F.avg(to_double("size_kb"))).alias("avg_size_kb"),
+        )
+        .orderBy(F.desc("image_count"), "category", "data_source")
+    )
+
+
 def image_category_counts(images: DataFrame) -> DataFrame:
     return (
         images.where("category IS NOT NULL")
@@ -170,14 +241,6 @@ def image_category_counts(images: DataFrame) -> DataFrame:
     )
 
 
-def avg_rating_by_category(reviews: DataFrame) -> DataFrame:
-    return (
-        reviews.groupBy("category")
-        .agg(F.avg(to_double("rating")).alias("avg_rating"))
-        .orderBy("category")
-    )
-
-
 def avg_size_by_source(images: DataFrame) -> DataFrame:
     return (
         images.groupBy("source")
@@ -186,10 +249,6 @@ def avg_size_by_source(images: DataFrame) -> DataFrame:
     )
 
 
-def top_products(reviews: DataFrame, product: str = "ProductId", limit: int = 5) -> DataFrame:
-    return top_keys(reviews, product, limit)
-
-
 def count_by(df: DataFrame, key: str) -> DataFrame:
     """Rows per key."""
     return df.groupBy(key).agg(F.count("*").alias("n")).orderBy(key)

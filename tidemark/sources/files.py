@@ -21,6 +21,8 @@ ZONES = {
     ("streaming", "news"): "data/streaming/news",
     ("processed", "news"): "data/test/news_preprocessed",
     ("processed", "queue"): "data/test/api_queue",
+    ("processed", "rollup"): "data/analytics/review_rollup",
+    ("processed", "images"): "data/analytics/image_categories",
     ("results", "ia"): "data/ia_results",
     ("results", "summary"): "data/analytics_summary",
 }
