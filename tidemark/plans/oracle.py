@@ -330,6 +330,14 @@ ORACLE: dict[str, str] = {
         WHERE data_source = 'existing' GROUP BY source""",
     "landed_line_count": f"""WITH {_REVIEWS}
         SELECT count(*) AS lines FROM reviews WHERE data_source = 'existing'""",
+    "sample_texts": f"""WITH {_REVIEWS}
+        SELECT review_id, review_text FROM reviews WHERE data_source = 'existing'
+        ORDER BY CAST(review_id AS BIGINT) LIMIT 3""",
+    "first_sample": f"""WITH {_REVIEWS}
+        SELECT substring(review_text, 1, 100) AS sample FROM reviews
+        WHERE data_source = 'scraped' ORDER BY CAST(review_id AS BIGINT) LIMIT 1""",
+    "first_product_reviews": f"""WITH {_PRODUCTS}
+        SELECT "Id", "Score" FROM products ORDER BY "Id" LIMIT 10""",
     # --- text functions ---
     "clean_ascii": f"WITH {_NEWS} SELECT id, {_clean_ascii('title')} AS cleaned FROM news",
     "clean_words": f"WITH {_NEWS} SELECT id, {_clean_words('title')} AS cleaned FROM news",
@@ -376,6 +384,15 @@ ORACLE: dict[str, str] = {
             WHERE role <> 'system')
         SELECT id, 'text' AS type, content, replace(content, ' ', '|') AS tokens,
                {_words('content')} AS token_count FROM cleaned""",
+    "preprocess_batch": f"""WITH cleaned AS (
+            SELECT {_TURN} AS id, {_clean_ascii('text')} AS content FROM conversations
+            WHERE role <> 'system')
+        SELECT id, 'text' AS type, content, replace(content, ' ', '|') AS tokens,
+               {_words('content')} AS token_count, CAST(NULL AS VARCHAR) AS format
+        FROM cleaned
+        UNION ALL
+        SELECT 'page_' || page_id, 'image', base64(encode(html)), NULL, NULL, 'base64'
+        FROM pages""",
     # --- ingest ---
     "articles_title_wc": _articles(
         "hackernews", "hn_", "body", f"{_words('clean_title')} AS word_count"
@@ -436,6 +453,10 @@ ORACLE: dict[str, str] = {
     "json_roundtrip": f"""WITH {_MESSAGES}
         SELECT topic, id AS key, title, source, category, scraped_at, word_count,
                topic AS kafka_topic, '{AS_OF}' AS sent_to_kafka_at FROM messages""",
+    "corrupt_messages": f"""WITH {_MESSAGES}
+        SELECT topic, id AS key, '{{{{' AS start FROM messages WHERE source = 'error'""",
+    "newest_messages": """SELECT event_id AS "offset" FROM events
+        ORDER BY ts DESC, event_id DESC LIMIT 50""",
     # --- live figures ---
     "topic_stats": f"""WITH {_MESSAGES}, articles AS (
             SELECT coalesce(source, 'unknown') AS source,

@@ -31,15 +31,11 @@ def _seen():
 
 
 def _all_reviews(spark, folder):
-    return unify.all_reviews(
-        tables.existing_reviews(spark, folder), tables.scraped_reviews(spark, folder)
-    )
+    return unify.all_reviews(*tables.review_sets(spark, folder))
 
 
 def _all_images(spark, folder):
-    return unify.all_images(
-        tables.existing_images(spark, folder), tables.scraped_images(spark, folder)
-    )
+    return unify.all_images(*tables.image_sets(spark, folder))
 
 
 # --- unified views and reports ---
@@ -221,8 +217,9 @@ def rollup_reports(spark, folder):
 def landed_csv_reviews(spark, folder):
     """Both review sets written as CSV zones, read back and unified."""
     root = run_folder(spark, "zones")
-    files.land(tables.existing_reviews(spark, folder), root, "text", "existing")
-    files.land(tables.scraped_reviews(spark, folder), root, "text", "scraped")
+    existing, scraped = tables.review_sets(spark, folder)
+    files.land(existing, root, "text", "existing")
+    files.land(scraped, root, "text", "scraped")
     return unify.all_reviews(
         files.read_reviews(spark, root), files.read_reviews(spark, root, "scraped")
     )
@@ -232,7 +229,7 @@ def landed_csv_reviews(spark, folder):
 def catalog_review_counts(spark, folder):
     """Reviews per source, counted in a catalog table over a landed zone."""
     root = run_folder(spark, "tables")
-    files.land(tables.existing_reviews(spark, folder), root, "text", "existing")
+    files.land(tables.review_sets(spark, folder)[0], root, "text", "existing")
     spark.sql("DROP TABLE IF EXISTS landed_reviews")
     spark.sql(
         f"CREATE TABLE landed_reviews ({catalog.REVIEWS_DDL}) USING csv "
@@ -246,10 +243,29 @@ def catalog_review_counts(spark, folder):
 def landed_line_count(spark, folder):
     """Text lines of a dataset landed as one line per review, without headers."""
     path = run_folder(spark, "lines")
-    files.write_csv(tables.existing_reviews(spark, folder), path)
+    files.write_csv(tables.review_sets(spark, folder)[0], path)
     return files.line_count(spark, path)
 
 
+@query
+def sample_texts(spark, folder):
+    return files.sample_texts(tables.review_sets(spark, folder)[0])
+
+
+@query
+def first_sample(spark, folder):
+    """The sample comes from the second source, since the first has no rows."""
+    existing, scraped = tables.review_sets(spark, folder)
+    nothing = existing.where(F.col("source") == "nowhere")
+    return files.first_sample([nothing, scraped], "no data")
+
+
+@query
+def first_product_reviews(spark, folder):
+    reviews = tables.product_reviews(spark, folder)
+    return reviews.select("Id", "Score").orderBy("Id").limit(10)
+
+
 # --- text functions ---
 
 
@@ -395,6 +411,25 @@ def preprocess_batch_text(spark, folder):
     return ready.withColumn("tokens", F.array_join("tokens", "|"))
 
 
+@query
+def preprocess_batch(spark, folder):
+    """Turns as texts and pages as images, in one batch."""
+    texts = tables.batch_items(spark, folder).withColumn("path", F.lit(None).cast("string"))
+    pages = tables.table(spark, folder, "pages")
+    pictures = pages.select(
+        F.concat(F.lit("page_"), "page_id").alias("id"),
+        F.lit("image").alias("type"),
+        F.lit(None).cast("string").alias("content"),
+        F.concat("url", F.lit("#"), "page_id").alias("path"),
+    )
+    stored = pages.select(
+        F.concat("url", F.lit("#"), "page_id").alias("path"),
+        F.encode("html", "UTF-8").alias("content"),
+    )
+    ready = preprocess.preprocess_batch(texts.unionByName(pictures), stored, resize=False)
+    return ready.withColumn("tokens", F.array_join("tokens", "|"))
+
+
 # --- ingest ---
 
 
@@ -519,6 +554,31 @@ def json_roundtrip(spark, folder):
     )
 
 
+@query
+def corrupt_messages(spark, folder):
+    """Values cut off on the way, told apart from the readable ones."""
+    records = tables.topic_records(spark, folder)
+    damaged = records.withColumn(
+        "value",
+        F.when(F.col("value").contains('"source":"error"'), F.concat(F.lit("{"), "value"))
+        .otherwise(F.col("value")),
+    )
+    _, bad = topics.split_corrupt(topics.decode(damaged))
+    return bad.select("topic", "key", F.substring(topics.CORRUPT, 1, 2).alias("start"))
+
+
+@query
+def newest_messages(spark, folder):
+    """The last fifty records of the topics."""
+    records = tables.table(spark, folder, "events").select(
+        F.lit(topics.TEXT_TOPIC).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").alias("timestamp"),
+    )
+    return topics.newest_messages(records).select("offset")
+
+
 # --- live figures ---
 
 

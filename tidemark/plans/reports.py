@@ -42,6 +42,11 @@ def _is_rollup(reviews: DataFrame) -> bool:
     return "n" in reviews.columns
 
 
+def _rated(reviews: DataFrame) -> DataFrame:
+    """Ratings as numbers, so that each text is parsed once for all measures."""
+    return reviews.withColumn("rating", to_double("rating"))
+
+
 def _day(reviews: DataFrame) -> Column:
     return F.col("date") if _is_rollup(reviews) else F.col("timestamp").try_cast("date")
 
@@ -57,7 +62,7 @@ def _rows_where(reviews: DataFrame, condition: Column) -> Column:
 
 
 def _avg_rating(reviews: DataFrame) -> Column:
-    rating = to_double("rating")
+    rating = F.col("rating")
     if _is_rollup(reviews):
         return F.sum(rating * F.col("n")) / F.sum(F.when(rating.isNotNull(), F.col("n")))
     return F.avg(rating)
@@ -80,6 +85,7 @@ def _positive(reviews: DataFrame) -> Column:
 
 
 def reviews_by_source(reviews: DataFrame) -> DataFrame:
+    reviews = _rated(reviews)
     return (
         reviews.groupBy("source", "data_source")
         .agg(
@@ -92,6 +98,7 @@ def reviews_by_source(reviews: DataFrame) -> DataFrame:
 
 
 def reviews_daily(reviews: DataFrame) -> DataFrame:
+    reviews = _rated(reviews)
     return (
         reviews.groupBy(_day(reviews).alias("date"), "data_source")
         .agg(
@@ -108,6 +115,7 @@ def satisfaction(reviews: DataFrame) -> DataFrame:
     There are three levels, so all counts fit one global aggregate.  A rating that cannot be
     read is neither satisfied nor neutral and counts as unsatisfied.
     """
+    reviews = _rated(reviews)
     counts = reviews.agg(
         _positive(reviews).alias("high"),
         _rows_where(reviews, to_int("rating") == NEUTRAL).alias("mid"),
@@ -138,6 +146,7 @@ def satisfaction(reviews: DataFrame) -> DataFrame:
 
 def compare_sources(reviews: DataFrame) -> DataFrame:
     """Existing against scraped; times are ISO text, whose order is the time order."""
+    reviews = _rated(reviews)
     first, last = (
         ("first_at", "last_at") if _is_rollup(reviews) else ("timestamp", "timestamp")
     )
@@ -150,6 +159,7 @@ def compare_sources(reviews: DataFrame) -> DataFrame:
 
 
 def source_performance(reviews: DataFrame) -> DataFrame:
+    reviews = _rated(reviews)
     return (
         reviews.groupBy("source")
         .agg(
@@ -163,6 +173,7 @@ def source_performance(reviews: DataFrame) -> DataFrame:
 
 
 def avg_rating_by_category(reviews: DataFrame) -> DataFrame:
+    reviews = _rated(reviews)
     return (
         reviews.groupBy("category")
         .agg(_avg_rating(reviews).alias("avg_rating"))
@@ -175,6 +186,7 @@ def metric_summary(reviews: DataFrame, images: DataFrame) -> DataFrame:
 
     ``images`` may be the image rows or :func:`image_categories` of them.
     """
+    reviews = _rated(reviews)
     review_row = reviews.agg(
         _rows(reviews).cast("string").alias("total_reviews"),
         _round(_avg_rating(reviews)).cast("string").alias("avg_rating"),

@@ -55,18 +55,17 @@ def _reviews(orders: DataFrame) -> DataFrame:
     )
 
 
-def existing_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    early = F.col("o_orderdate") < F.lit(SPLIT_DATE).cast(TimestampNTZType())
-    return _reviews(table(spark, folder, "orders").where(early))
-
-
-def scraped_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    late = F.col("o_orderdate") >= F.lit(SPLIT_DATE).cast(TimestampNTZType())
-    return (
-        _reviews(table(spark, folder, "orders").where(late))
-        .withColumn("scraped_from", F.concat("source", F.lit(".example.com")))
-        .withColumn("source", F.lit("web_scraping"))
+def review_sets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(existing, scraped) reviews: the orders before and from a date on."""
+    orders = table(spark, folder, "orders")
+    split = F.lit(SPLIT_DATE).cast(TimestampNTZType())
+    scraped = _reviews(orders.where(F.col("o_orderdate") >= split)).withColumns(
+        {
+            "scraped_from": F.concat("source", F.lit(".example.com")),
+            "source": F.lit("web_scraping"),
+        }
     )
+    return _reviews(orders.where(F.col("o_orderdate") < split)), scraped
 
 
 def product_reviews(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,12 +91,10 @@ def _images(part: DataFrame) -> DataFrame:
     )
 
 
-def existing_images(spark: SparkSession, folder: str) -> DataFrame:
-    return _images(table(spark, folder, "part").where("p_size <= 38"))
-
-
-def scraped_images(spark: SparkSession, folder: str) -> DataFrame:
-    return _images(table(spark, folder, "part").where("p_size > 38"))
+def image_sets(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(existing, scraped) images: the small and the large parts."""
+    part = table(spark, folder, "part")
+    return _images(part.where("p_size <= 38")), _images(part.where("p_size > 38"))
 
 
 # --- texts ---

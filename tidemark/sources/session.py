@@ -10,19 +10,37 @@ from pyspark.sql import SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+# Settings the jobs are laid out for; everything else is left to the cluster.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Stream state on executor disks instead of in executor heaps.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
+
+def create_session(name: str = "tidemark", **settings: str) -> SparkSession:
+    """Session for a cluster: master, memory and checkpoint folder come from its defaults."""
+    builder = SparkSession.builder.appName(name)
+    for key, value in {**SETTINGS, **settings}.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """Session for tests and the benchmark; on a cluster the caller brings its own."""
-    return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName("tidemark")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "8g")
-        .config("spark.ui.enabled", "false")
-        .getOrCreate()
+    """Session for tests and the benchmark."""
+    return create_session(
+        **{
+            "spark.master": f"local[{cores}]",
+            "spark.sql.shuffle.partitions": str(shuffle_partitions),
+            "spark.driver.memory": "8g",
+            "spark.ui.enabled": "false",
+        }
     )
 
 
