@@ -53,8 +53,27 @@ def connect(folder):
     return connection
 
 
+# Column types that mean the same on both sides.
+SAME_TYPE = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
+def type_difference(frame, connection, sql):
+    ours = {name: SAME_TYPE.get(kind, kind) for name, kind in frame.dtypes}
+    theirs = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    wrong = {n: (ours[n], theirs.get(n)) for n in ours if ours[n] != theirs.get(n)}
+    return f"types {wrong}" if wrong else None
+
+
 def difference(frame, connection, sql):
     """None when both sides agree, else a short description."""
+    if found := type_difference(frame, connection, sql):
+        return found
     collected = frame.collect()
     spark_names = frame.columns
     duck_names, duck = duck_rows(connection, sql)

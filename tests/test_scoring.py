@@ -169,3 +169,41 @@ def test_resizing_drops_unreadable_images(spark):
 
     frame = spark.createDataFrame([("a", b"no image")], "path string, content binary")
     assert encode_images(frame, resize=True).count() == 0
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, plan, tmp_path):
+    from tidemark.sources.catalog import save_bucketed
+
+    queue = preprocess.api_queue(preprocess.preprocess_news(fixtures.news(spark)))
+    stored = scoring.successes(scoring.score(scoring.queue_requests(queue), scorer, now=NOW))
+    save_bucketed(queue, "queue_by_id", str(tmp_path / "queue"), "id", 4)
+    save_bucketed(stored, "results_by_id", str(tmp_path / "results"), "original_id", 4)
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = scoring.queue_with_results(
+            spark.table("queue_by_id"), spark.table("results_by_id")
+        )
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        todo = scoring.pending(spark.table("queue_by_id"), spark.table("results_by_id"))
+        assert "Exchange" not in plan(todo)
+        assert (joined.count(), todo.count()) == (5, 0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        spark.sql("DROP TABLE queue_by_id")
+        spark.sql("DROP TABLE results_by_id")
+
+
+def test_result_stored_many_times_counts_once(spark):
+    copies = spark.range(0, 20_000, numPartitions=4).selectExpr(
+        "CASE WHEN id < 15000 THEN '0' ELSE CAST(id AS STRING) END original_id",
+        "'text' analysis_type",
+        "CAST(id AS STRING) result",
+        "0.5D confidence",
+        "lpad(CAST(id AS STRING), 6, '0') processed_at",
+    )
+    queue = requests(spark, "a", "b")
+    assert [r.id for r in scoring.pending(queue, copies).collect()] == ["1"]
+    joined = scoring.queue_with_results(queue, copies).orderBy("id").collect()
+    assert [(r.id, r.result) for r in joined] == [("0", "14999"), ("1", None)]

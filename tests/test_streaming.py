@@ -105,6 +105,18 @@ def test_resent_messages_land_once(spark, topic, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["1", "2", "3"]
 
 
+def test_one_id_sent_very_often_lands_once(spark, topic, tmp_path):
+    out, check = str(tmp_path / "unique"), str(tmp_path / "check")
+    topic(*[message("hot", "2025-06-24T10:00:00")] * 30_000, message("2", ""))
+    timed = pipelines.with_event_time(decoded(spark, topic))
+    unique = pipelines.deduplicated(timed)
+    query = drain(pipelines.start_parquet(unique.select("id"), out, check, once=True))
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["2", "hot"]
+    # Few copies are left for the shuffle by id: at most one per Arrow batch.
+    dropped = query.recentProgress[0].stateOperators[0].customMetrics
+    assert dropped.get("numDroppedDuplicateRows", 0) < 10
+
+
 def test_bad_messages_go_to_a_side_table(spark, topic, tmp_path):
     good, bad, check = (str(tmp_path / name) for name in ("good", "bad", "check"))
     topic(message("1", ""), "not json", message("2", ""))

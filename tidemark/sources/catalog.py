@@ -44,6 +44,21 @@ def create_tables(spark: SparkSession, root: str, database: str = DATABASE) -> N
     )
 
 
+def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
+    """Replace a Parquet table laid out in buckets of ``key``.
+
+    The queue and its results, bucketed alike, join and aggregate by id without a shuffle.
+    """
+    (
+        df.write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
 def show_tables(spark: SparkSession, database: str = DATABASE) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}")
 
