@@ -215,6 +215,58 @@ def test_newest_messages(spark):
     assert [r.offset for r in newest] == list(range(199, 149, -1))
 
 
-def test_kafka_needs_its_connector(spark):
+@pytest.mark.parametrize(
+    "connect",
+    [
+        lambda spark: topics.read_topics(spark, "localhost:9"),
+        lambda spark: topics.stream_topics(spark, "localhost:9", per_trigger=50),
+        lambda spark: topics.send(spark.range(1), "localhost:9", topics.TEXT_TOPIC),
+    ],
+)
+def test_kafka_needs_its_connector(spark, connect):
     with pytest.raises(Exception, match="kafka"):
-        topics.read_topics(spark, "localhost:9").schema
+        connect(spark)
+
+
+def test_cycle_of_all_feeds(spark):
+    from tidemark.plans import jobs
+
+    many = "".join(
+        f"<item><title>Title {i}</title><link>https://e.org/{i}</link>"
+        f"<description>About software {i}</description></item>"
+        for i in range(40)
+    )
+    feed = f"<rss><channel>{many}</channel></rss>"
+    rss = spark.createDataFrame(
+        [
+            ("hackernews", "https://n.org/rss", feed),
+            ("bbc_technology", "https://b.org/rss", feed),
+            ("techcrunch", "https://t.org/rss", feed),
+            ("rss.c.org", "https://www.rss.c.org/x.rss", feed),
+            ("hackernews", "https://n.org/rss", "<broken"),
+        ],
+        "source string, feed_url string, payload string",
+    )
+    children = [
+        {"data": {"id": str(i), "title": f"Forest {i}", "url": f"https://i.org/{i}.jpg"}}
+        for i in range(30)
+    ]
+    listing = json.dumps({"data": {"children": children}})
+    listings = spark.createDataFrame(
+        [("reddit_technology", listing), ("EarthPorn", listing)],
+        "source string, payload string",
+    )
+    texts, images = jobs.ingest(rss, listings, seen())
+    assert {r.source: r.n for r in live.articles_by_source(texts).collect()} == {
+        "hackernews": 15,
+        "reddit_technology": 12,
+        "bbc_technology": 10,
+        "techcrunch": 8,
+        "rss.c.org": 5,
+    }
+    assert texts.where("source = 'rss.c.org'").first().category == "technology"
+    assert {(r.source, r.category) for r in images.collect()} == {("reddit_EarthPorn", "nature")}
+    assert images.count() == 30
+    records = topics.encode(texts, topics.TEXT_TOPIC, seen())
+    decoded, bad = topics.split_corrupt(topics.decode(records))
+    assert (decoded.count(), bad.count()) == (50, 0)

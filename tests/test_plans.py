@@ -11,7 +11,8 @@ from tidemark.operators import scoring
 from tidemark.plans import live, tables
 
 # Building these runs jobs, so their plans are not interesting here.
-EAGER = {name for name in registry.queries() if name.startswith(("stream_", "landed_", "catalog_", "rollup_"))}
+JOBS = ("stream_", "landed_", "catalog_", "rollup_")
+EAGER = {name for name in registry.queries() if name.startswith(JOBS)}
 LAZY = sorted(set(registry.queries()) - EAGER)
 
 # The only work that leaves the JVM: HTML parsing and user-supplied models.
@@ -117,3 +118,21 @@ def test_one_hot_source_gives_the_same_counts(spark):
     counts = live.topic_stats(hot, tables.as_of()).where("dimension = 'source'")
     assert counts.count() == 20_001
     assert tuple(counts.where("key = 'hot'").first())[1:] == ("hot", 40_000)
+
+
+def test_each_payload_is_parsed_for_its_own_branch(spark, plan, tmp_path):
+    from tidemark.plans import jobs
+
+    columns = "source string, feed_url string, payload string"
+    rss = spark.createDataFrame([("s", "u", "<rss/>")], columns)
+    rss.write.parquet(str(tmp_path / "rss"))
+    listings = spark.createDataFrame([("s", "{}")], "source string, payload string")
+    listings.write.parquet(str(tmp_path / "listings"))
+    texts, images = jobs.ingest(
+        spark.read.parquet(str(tmp_path / "rss")), spark.read.parquet(str(tmp_path / "listings"))
+    )
+    text = plan(texts)
+    for name in ("hackernews", "bbc_technology", "techcrunch", "reddit_technology"):
+        assert f"EqualTo(source,{name})" in text
+    assert "Not(EqualTo(source,reddit_technology))" in plan(images)
+    assert "Exchange" not in text

@@ -21,6 +21,22 @@ GROUP_LIMIT = 1000
 SALTS = 64
 
 
+def feed_cap(source: str = "source") -> Column:
+    """Entries kept of one fetched feed.
+
+    An entry's position within its own payload is known, so keeping the first ones is a
+    filter; no ranking is needed.
+    """
+    return _cap(source, FEED_CAPS, OTHER_FEEDS_CAP)
+
+
+def _cap(source: str, caps: dict[str, int], default: int) -> Column:
+    cap = F.lit(default)
+    for name, size in caps.items():
+        cap = F.when(F.col(source) == name, size).otherwise(cap)
+    return cap
+
+
 def _ranked_below(df: DataFrame, keys: list, order: list[str], bound: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= bound)
@@ -47,10 +63,7 @@ def first_per_source(
         items = _ranked_below(items, [source, salt], order, largest).drop("_rank")
     ranked = _ranked_below(items, [source], order, largest)
     if any(cap != largest for cap in [default, *caps.values()]):
-        cap = F.lit(default)
-        for name, size in caps.items():
-            cap = F.when(F.col(source) == name, size).otherwise(cap)
-        ranked = ranked.where(F.col("_rank") <= cap)
+        ranked = ranked.where(F.col("_rank") <= _cap(source, caps, default))
     return ranked.drop("_rank")
 
 

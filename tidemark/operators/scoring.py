@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.casts import iso_text
 
 Scorer = Callable[[list[dict]], list[dict]]
 

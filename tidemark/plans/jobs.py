@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
-from tidemark.operators import preprocess, scoring, unify
+from tidemark.operators import articles, limits, preprocess, scoring, unify
 from tidemark.plans import reports
-from tidemark.sources import files, topics
+from tidemark.sources import feeds, files, topics
 from tidemark.streaming import pipelines
 
 REVIEW_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -49,6 +50,35 @@ def analyse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return results
 
 
+def ingest(
+    rss: DataFrame, listings: DataFrame, seen_at: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(articles, image events) of one cycle of fetched payloads.
+
+    ``rss`` has source, feed_url and payload, ``listings`` has source and payload; the source
+    of an image listing is its board.  The conditions on the source reach the scans, so each
+    payload is parsed for its own branch only.
+    """
+    items = feeds.rss_items(rss).where(F.col("position") < limits.feed_cap())
+    posts = feeds.listing_posts(listings)
+    source = F.col("source")
+    own = ["hackernews", "bbc_technology", "techcrunch"]
+    texts = posts.where(source == "reddit_technology")
+    collected = articles.collect_cycle(
+        articles.short_title_articles(items.where(source == own[0]), seen_at=seen_at),
+        articles.listing_articles(
+            texts.where(F.col("position") < limits.feed_cap()), seen_at=seen_at
+        ),
+        articles.news_articles(items.where(source == own[1]), seen_at=seen_at),
+        articles.long_content_articles(items.where(source == own[2]), seen_at=seen_at),
+        articles.aggregated_articles(
+            items.where(~F.coalesce(source.isin(own), F.lit(False))), seen_at=seen_at
+        ),
+    )
+    boards = posts.where(source != "reddit_technology")
+    return collected, articles.image_events(boards, "source", seen_at)
+
+
 def prepare(
     spark: SparkSession, root: str, news: DataFrame, now: Column | None = None
 ) -> DataFrame:
@@ -83,8 +113,8 @@ def land_topic(
     records: DataFrame, root: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
     """Keep landing a topic's articles as cleaned news, ready for the queue."""
-    articles, _ = topics.split_corrupt(topics.decode(records))
-    news = articles.where(articles["topic"] == topics.TEXT_TOPIC).select(*schemas.NEWS.names)
+    messages, _ = topics.split_corrupt(topics.decode(records))
+    news = messages.where(F.col("topic") == topics.TEXT_TOPIC).select(*schemas.NEWS.names)
     return pipelines.start_landing(
         news, files.zone_path(root, "streaming", "news"), checkpoint, once
     )

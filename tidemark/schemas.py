@@ -5,7 +5,6 @@ from pyspark.sql.types import (
     BooleanType,
     DoubleType,
     IntegerType,
-    LongType,
     StringType,
     StructField,
     StructType,
@@ -222,10 +221,4 @@ DETECTIONS = ArrayType(
         ]
     )
 )
-IMAGE_FILES = StructType(
-    [
-        StructField("path", StringType()),
-        StructField("length", LongType()),
-    ]
-)
 METRIC_SUMMARY = _strings("metric", "value")
