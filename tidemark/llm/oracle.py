@@ -87,7 +87,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged LEFT JOIN shrunk s USING (source)
 """
 
+CHAT_FORMATTING = r"""
+WITH rows AS (
+    SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role,
+           coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+escaped AS (
+    SELECT *,
+           replace(replace(replace(replace(text, '\', '\\'), '[INST', '\[INST'),
+                   '[/INST', '\[/INST'), '</s>', '\</s>') AS plain,
+           replace(replace(replace(replace(replace(role, '\', '\\'), '[INST', '\[INST'),
+                   '[/INST', '\[/INST'), '</s>', '\</s>'), ']', '\]') AS named
+    FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT)
+           AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), ''))
+           AS loss_sha256,
+       CAST(sum(length('[INST ' || named || ']' || plain || '</s>')) AS BIGINT)
+           AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+WARC = """
+WITH sized AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+),
+judged AS (
+    SELECT page_id, n, sha1(html) AS digest,
+           CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS newest
+    FROM sized
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id < newest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < newest THEN newest END AS refers_to
+FROM judged
+"""
+
 ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
+    "op4_chat_formatting": CHAT_FORMATTING,
+    "op6_warc": WARC,
     "op10_quality_rules": QUALITY_RULES,
 }

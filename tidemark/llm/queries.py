@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, mixing, rules
+from tidemark.llm import chat, decontam, forest, lines, mixing, pulearn, rules, toxicity, warc
 from tidemark.llm.common import table
 
 
@@ -15,16 +15,53 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return result.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return forest.similar(table(spark, folder, "documents"))
+
+
+def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    said = "</s>[INST] ok [/INST]"
+    turns = [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    added = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    columns = ["conv_id", "turn", "role", "text"]
+    rows = conversations.select(columns).unionByName(added)
+    return chat.read_back(*chat.format_chats(rows))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, folder, "pages"))
+
+
 def op7_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontam.contaminated(documents, benchmark)
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return pulearn.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(table(spark, folder, "documents"))
 
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_chat_formatting": op4_chat_formatting,
+    "op5_toxicity": op5_toxicity,
+    "op6_warc": op6_warc,
     "op7_mix_sources": op7_mix_sources,
+    "op8_decontamination": op8_decontamination,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
 }
