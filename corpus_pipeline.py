@@ -1,18 +1,28 @@
-"""The corpus pipeline: documents in, a clean and weighted mixture out."""
+"""The corpus pipeline: documents in, a clean and weighted mixture out.
+
+Rows that share a doc_id are one document: a stage that drops it drops them all. Rows without a
+doc_id are judged as one document too.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, mixing, rules
+from tidemark.llm import decontam, forest, lines, mixing, rules
 from tidemark.llm.common import saved, table
 
 
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the listed doc_ids. The list is the smaller side, written and measured, so
+    Spark broadcasts it where it is small and else sorts both sides."""
+    listed = saved(dropped.select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
+    return docs.join(listed, docs["doc_id"].eqNullSafe(listed["_gone"]), "left_anti")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and their host keep."""
-    kept = rules.quality_rules(docs).where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    """Documents that pass the rules and whose host passes."""
+    return _without(docs, rules.quality_rules(docs).where("NOT kept"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,24 +31,52 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each class of similar ones."""
+    return _without(docs, forest.similar(docs).where("NOT doc_id <=> class_id"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return _without(docs, decontam.contaminated(docs, table(spark, sf_dir, "benchmark")))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies of every document that bring its source to its weight."""
-    return mixing.mix(docs)
+    """The documents of the mix, with the number of copies that each has in it.
+
+    Adds size, source_size, target, copies and taken to the columns of ``docs``. Rows that share
+    doc_id and size are one document here, which takes their copies together.
+    """
+    keys = ["doc_id", "size"]
+    mixed = mixing.mix(docs).where("copies > 0").groupBy(*keys)
+    mixed = mixed.agg(
+        F.first("source_size").alias("source_size"),
+        F.first("target").alias("target"),
+        F.sum("copies").cast("int").alias("copies"),
+        F.sum("taken").alias("taken"),
+    )
+    mixed = saved(mixed, "mixed").withColumnsRenamed({k: f"_{k}" for k in keys})
+    sized = docs.withColumn("size", mixing.document_size()).dropDuplicates(keys)
+    same = sized["doc_id"].eqNullSafe(mixed["_doc_id"]) & (sized["size"] == mixed["_size"])
+    return sized.join(mixed, same).drop("_doc_id", "_size")
 
 
 STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
-    ("mixing", mixture),
+    ("n-gram Jaccard join", ngram_jaccard),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixture),
 ]
 
+# Similarity classes, random walks and drawn copies have no SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES):
+    for number, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = saved(docs, "stage")
+        if number < len(STAGES):
+            docs = saved(docs, f"stage-{number}")
     return docs

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import saved, text_of, word_count
@@ -18,6 +18,11 @@ BLOCK = 4096
 WEIGHTS = (1, 2, 3)
 
 
+def document_size() -> Column:
+    """Words of the text; 0 for a NULL one."""
+    return word_count(text_of())
+
+
 def ranked_sources(sizes: DataFrame) -> DataFrame:
     """Sources with their size, count and rank by code point, NULL last.
 
@@ -173,7 +178,7 @@ def mix(
     table gives no rows.
     """
     sizes = saved(
-        documents.select("doc_id", "source", word_count(text_of()).alias("size")), "sizes"
+        documents.select("doc_id", "source", document_size().alias("size")), "sizes"
     )
     sources = saved(source_targets(ranked_sources(sizes), weights, max_copies), "targets")
     largest = sources.agg(F.max("n_documents")).first()[0] or 0

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, forest, lines, mixing, pulearn, rules, toxicity, warc
+from tidemark.llm import (
+    chat,
+    decontam,
+    forest,
+    lines,
+    mixing,
+    pulearn,
+    repeats,
+    rules,
+    toxicity,
+    warc,
+)
 from tidemark.llm.common import table
 
 
@@ -15,6 +26,12 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return result.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    result = repeats.drop_repeats(table(spark, folder, "documents"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return result.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return forest.similar(table(spark, folder, "documents"))
 
@@ -56,6 +73,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_toxicity": op5_toxicity,
