@@ -106,9 +106,7 @@ def drop_lines(
     stay = F.array_except(F.sequence(F.lit(0), last), _positions(F.col("bitmap")))
     joined = once(joined, "stay", F.when(changed, stay))
     kept = F.array_join(F.transform("stay", lambda i: F.get("lines", i)), "\n")
-    columns = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
-    return joined.select(
-        *[F.col("row").getField(c).alias(c) for c in columns if c != "text"],
+    cleaned = F.struct(
         F.when(changed, kept).otherwise(F.col("row.text")).alias("text"),
         F.size("lines").cast("long").alias("n_lines"),
         F.when(changed, F.size("lines") - F.size("stay"))
@@ -116,3 +114,9 @@ def drop_lines(
         .cast("long")
         .alias("n_dropped"),
     )
+    joined = joined.select("row", cleaned.alias("cleaned"))
+    own = {"text", "n_lines", "n_dropped"}
+    return joined.select(
+        *[F.col("row").getField(c).alias(c) for c in documents.columns if c not in own],
+        "cleaned.*",
+    )
