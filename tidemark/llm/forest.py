@@ -26,8 +26,8 @@ class Settings:
     """``trees`` tries over ``depth`` values each; ``block`` texts meet in one task."""
 
     similarity: float = 0.8
-    recall: float = 0.995
-    trees: int = 12
+    recall: float = 0.99999
+    trees: int = 24
     depth: int = 5
     block: int = 1024
 
