@@ -218,8 +218,22 @@ def _candidate_starts(hashes: np.ndarray, owner: np.ndarray, search: Search) ->
     return np.flatnonzero(np.cumsum(change[:-1]) > 0)
 
 
+def _clusters(at: np.ndarray, owner: np.ndarray, search: Search) -> list[tuple[int, int]]:
+    """Runs of windows that begin close to each other in one text, of bounded length."""
+    gap = np.r_[True, (owner[1:] != owner[:-1]) | (at[1:] - at[:-1] > search.slack)]
+    heads = np.flatnonzero(gap)
+    out = []
+    for head, end in zip(heads, np.r_[heads[1:], len(at)], strict=True):
+        while at[end - 1] - at[head] > search.longest:
+            cut = head + int(np.searchsorted(at[head:end], at[head] + search.longest, "right"))
+            out.append((head, cut))
+            head = cut
+        out.append((head, end))
+    return out
+
+
 def _scan(search: Search):
-    """Windows whose keys may be an item's: start, keys, and the words around."""
+    """Places where a window's key may be an item's: the keys there, and the words around."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,13 +258,13 @@ def _scan(search: Search):
                     continue
                 order = np.argsort(at, kind="stable")
                 at, key = at[order], key[order]
-                cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
                 rows = []
-                for group, lo in zip(np.split(key, cuts[1:]), at[cuts], strict=True):
-                    text = owner[lo]
-                    low = max(heads[text], lo - search.slack)
-                    high = min(heads[text + 1], lo + search.longest + search.slack)
-                    rows.append((first + int(text), int(lo - heads[text]), group, hashes[low:high]))
+                for lo, hi in _clusters(at, owner[at], search):
+                    text = owner[at[lo]]
+                    low = max(heads[text], at[lo] - search.slack)
+                    high = min(heads[text + 1], at[hi - 1] + search.longest + search.slack)
+                    own = np.unique(key[lo:hi])
+                    rows.append((first + int(text), int(low - heads[text]), own, hashes[low:high]))
                 ids = batch.column("doc_id").take(pa.array([r[0] for r in rows]))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -326,7 +340,8 @@ def contaminated(
     grams surround (a condition that any match meets), REPEATS random walks embed the item-sized
     windows of each length class, keys of SAMPLES sampled steps are looked up among the items'
     keys, and pairs that share a key are verified by exact edit distance over the words. Only
-    windows that may share a key leave the scan; a document's text is never shuffled.
+    places whose keys may be an item's leave the scan, windows that begin close to each other
+    as one; a document's text is never shuffled.
 
     NULL and empty texts hold nothing; items without a word are ignored. Rows that share a doc_id
     (or have none) give one row per item with the best match, and so do repeated items. Other
@@ -345,10 +360,14 @@ def contaminated(
         _scan(search), f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, "
         "start long, keys array<long>, span array<long>"
     )
-    windows = saved(found, "windows")
-    hits = windows.select("doc_id", "start", "span", F.explode("keys").alias("key"))
-    keys = items.select("item_id", "words", F.explode("keys").alias("key"))
-    pairs = hits.join(keys, "key").drop("key").distinct()
+    name = F.xxhash64("doc_id", "start", "span").alias("window")
+    windows = saved(found.select(name, "doc_id", "keys", "span"), "windows")
+    hits = windows.select("window", F.explode("keys").alias("key"))
+    name = F.xxhash64("item_id", "words").alias("item")
+    keys = items.select(name, F.explode("keys").alias("key"))
+    pairs = hits.join(keys, "key").select("window", "item").distinct()
+    texts = items.select(name, "item_id", "words").dropDuplicates(["item"])
+    pairs = pairs.join(windows.drop("keys"), "window").join(texts, "item")
     verified = pairs.select("doc_id", "item_id", "words", "span").mapInArrow(
         _verify(similarity), schema
     )
