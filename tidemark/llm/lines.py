@@ -61,7 +61,8 @@ def keep_bitmaps(
         .agg(F.count_if("is_first").alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_documents)
     )
-    dropped = placed.join(repeated, ["h1", "h2"]).where(
+    # Written, so that both sides of the join are plain shuffles, whose skew Spark can split.
+    dropped = placed.join(saved(repeated, "repeated"), ["h1", "h2"]).where(
         F.col("doc_id").isNull() | (F.col("doc_id") < F.col("keeper"))
     )
     words = dropped.groupBy("doc_id", F.expr("CAST(at DIV 64 AS INT)").alias("word")).agg(
