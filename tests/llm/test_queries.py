@@ -1,0 +1,96 @@
+"""The operators' queries against their SQL twins, and the pipeline stage by stage."""
+
+import re
+from collections import defaultdict
+
+import compare
+import pytest
+from conftest import SMALL
+from test_line_rules import plain_lines, plain_measures, plain_targets
+from test_search import brute_similar, least_edits
+
+import __spark_entry__ as registry
+import corpus_pipeline
+from tidemark.llm import decontam, rules
+from tidemark.llm.common import saved, table
+from tidemark.llm.oracle import ORACLE
+from tidemark.llm.queries import QUERIES
+
+
+def test_queries_are_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(registry.queries())
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert "pipeline" not in registry.oracle_sql() and set(ORACLE) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_same_as_sql(spark, name):
+    duck = compare.connect(SMALL)
+    assert compare.difference(QUERIES[name](spark, SMALL), duck, ORACLE[name]) is None
+
+
+def terms(text):
+    text = "".join(c.lower() if c < "\x80" else c for c in text or "")
+    return re.findall(r"[^\x20\x09-\x0D!-/:-@\[-`{-~]+", text)
+
+
+def test_stages_match_brute_force(spark):
+    """Each stage on its own input, over the smallest tables."""
+    docs = table(spark, SMALL, "documents")
+    before = {r.doc_id: r for r in docs.collect()}
+    names = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+    assert len(stages) == 5
+
+    docs = saved(stages["quality rules"](spark, docs, SMALL), "test")
+    assert docs.columns == names
+    failed = {d for d, r in before.items() if plain_measures(r.text)[-1]}
+    by_host = defaultdict(list)
+    for doc, row in before.items():
+        by_host[row.source].append(doc in failed)
+    assert all(sum(f) / len(f) < rules.MAX_HOST_RATE for f in by_host.values())
+    assert {r.doc_id for r in docs.collect()} == set(before) - failed
+
+    rows = sorted((r.doc_id, r.text, r.source) for r in docs.collect())
+    docs = saved(stages["line dedup"](spark, docs, SMALL), "test")
+    assert docs.columns == names
+    cleaned = {r.doc_id: r for r in docs.collect()}
+    assert {d: r.text for d, r in cleaned.items()} == {d: t for d, _, _, t in plain_lines(rows)}
+    assert all(len(r.text) == r.n_chars for r in cleaned.values())
+
+    docs = saved(stages["n-gram Jaccard join"](spark, docs, SMALL), "test")
+    assert docs.columns == names
+    plain = {d: " ".join(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for d, r in cleaned.items()}
+    classes = brute_similar(list(plain.items()))
+    kept = {r.doc_id for r in docs.collect()}
+    assert kept == {d for d, (root, _) in classes.items() if root == d}
+
+    docs = saved(stages["benchmark decontamination"](spark, docs, SMALL), "test")
+    assert docs.columns == names
+    items = [terms(r.text) for r in table(spark, SMALL, "benchmark").collect()]
+    grams = [{tuple(i[k : k + 3]) for k in range(len(i) - 2)} for i in items]
+    held = set()
+    for doc in kept:
+        own = terms(cleaned[doc].text)
+        own_grams = {tuple(own[k : k + 3]) for k in range(len(own) - 2)}
+        for item, item_grams in zip(items, grams, strict=True):
+            if item_grams & own_grams and least_edits(item, own) <= decontam.allowed(len(item)):
+                held.add(doc)
+    assert {r.doc_id for r in docs.collect()} == kept - held
+
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    mixed = stages["mixing sources to target weights"](spark, docs, SMALL).collect()
+    source_of = {d: s for d, _, s in rows}
+    targets, taken = plain_targets(rows), defaultdict(int)
+    for row in mixed:
+        assert row.copies > 0 and row.taken == row.copies * row.size <= 3 * row.size
+        assert row.text == cleaned[row.doc_id].text
+        taken[source_of[row.doc_id]] += row.taken
+    largest = max(row.size for row in mixed)
+    assert all(abs(taken[s] - t) <= largest for s, t in targets.items())
+
+
+def test_pipeline_runs_its_stages(spark):
+    result = registry.queries()["pipeline"](spark, SMALL)
+    assert {"doc_id", "text", "copies", "taken"} <= set(result.columns)
+    assert result.count() > 0

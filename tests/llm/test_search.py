@@ -66,7 +66,7 @@ def repeat_rows():
 def test_repeats_match_brute_force(spark, monkeypatch, hot):
     if hot:
         monkeypatch.setattr(repeats, "MIN_HOT", 4)
-        monkeypatch.setattr(repeats, "MAX_CONTEXTS", 2)
+        monkeypatch.setattr(repeats, "MAX_CONTEXTS", 12)
     rows = repeat_rows()
     frame = frame_of(spark, rows).withColumn("doc", F.lit(1)).withColumn("twin", F.lit("x"))
     result = repeats.drop_repeats(frame, length=40).collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +19,17 @@ NO_ID = -(1 << 63)
 PIECE = 1 << 23
 # Bytes of context that one task transforms.
 BLOCK_BYTES = 1 << 20
-# Anchors with more rows than MIN_HOT are added up before they are shuffled: the largest MAX_HOT.
+# Anchors, and their contexts, with more rows than MIN_HOT are dealt out: the largest MAX_HOT.
 MIN_HOT = 10_000
 MAX_HOT = 100_000
 # Different contexts of an anchor that are transformed together.
 MAX_CONTEXTS = 4096
 SPAN, CONTEXT, WINDOWS = 0, 1, 2
+# Rules of rows besides these kinds: all rows of the anchor are in one part; a copy, whatever else
+# is in the part.
+ALL_AT_ONCE, COPIED = 3, 8
+# Parts that a frequent context is dealt out to.
+SPREAD = 256
 
 _KEY = "doc long, twin int"
 
@@ -91,49 +97,82 @@ def domains(
         yield hashes[anchor], context, text[rows], begin, count
 
 
-def _isin(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+def _place(values: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each value is in ``ordered``, and where."""
     if not len(ordered):
-        return np.zeros(len(values), bool)
+        return np.zeros(len(values), bool), np.zeros(len(values), np.int64)
     at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
-    return ordered[at] == values
+    return ordered[at] == values, at
 
 
-def _scan(length: int, hot: np.ndarray | None = None, wanted: bool = False):
-    """Rows of ``domains``; with ``hot`` only those whose anchor is in it, or is not."""
+@dataclass(frozen=True)
+class Frequent:
+    """Anchors of very many rows and, of those, contexts of very many rows; sorted.
+
+    ``kinds`` says how the contexts of each anchor are compared: SPAN for one context (there is
+    nothing to compare), else CONTEXT or WINDOWS.
+    """
+
+    anchors: np.ndarray
+    kinds: np.ndarray
+    contexts: np.ndarray
+
+
+def _scan(length: int, frequent: Frequent, only_frequent: bool = False):
+    """Rows of ``domains``, with the part of the anchor and the rule they go under.
+
+    The rows of most anchors are one part.  A frequent anchor is dealt out by context, and a
+    frequent context by text besides.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, twin = (batch.column(n).to_numpy() for n in ("doc", "twin"))
             for first, _, data, offsets in words.chunks(batch.column("text")):
                 for anchor, context, text, start, count in domains(data, offsets, length):
-                    anchor, context = anchor.view(np.int64), context.view(np.int64)
-                    keep = slice(None) if hot is None else _isin(anchor, hot) == wanted
-                    text = text[keep] + first
-                    columns = [anchor[keep], context[keep], doc[text], twin[text]]
-                    columns += [start[keep].astype(np.int64), count[keep].astype(np.int32)]
+                    hot, at = _place(anchor, frequent.anchors)
+                    if only_frequent:
+                        anchor, context, text, start, count, at = (
+                            c[hot] for c in (anchor, context, text, start, count, at)
+                        )
+                        hot = hot[hot]
+                    rule = np.full(len(anchor), ALL_AT_ONCE, np.int32)
+                    part = np.zeros(len(anchor), np.uint64)
+                    owner = text + first
+                    if hot.any():
+                        rule[hot] = frequent.kinds[at[hot]]
+                        part[hot] = context[hot]
+                        known, _ = _place(context, frequent.contexts)
+                        known &= hot
+                        rule[known] += COPIED
+                        spread = doc[owner[known]].view(np.uint64) % np.uint64(SPREAD)
+                        part[known] = words.mixed(part[known] + spread)
+                    columns = [anchor.view(np.int64), part.view(np.int64), context.view(np.int64)]
+                    columns += [doc[owner], twin[owner], start.astype(np.int64)]
+                    columns += [count.astype(np.int32), rule]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _DOMAIN_NAMES)
 
     return run
 
 
-_DOMAIN_NAMES = ["anchor", "context", "doc", "twin", "start", "count"]
-_DOMAIN = f"anchor long, context long, {_KEY}, start long, count int"
+_DOMAIN_NAMES = ["anchor", "part", "context", "doc", "twin", "start", "count", "rule"]
+_DOMAIN = f"anchor long, part long, context long, {_KEY}, start long, count int, rule int"
 _FOUND_NAMES = ["kind", "anchor", "doc", "twin", "start", "count"]
 _FOUND = f"kind int, anchor long, {_KEY}, start long, count int"
 
 
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by anchor and context: what is repeated, and what must be compared.
+    """Over rows sorted by anchor, part and context: what is repeated, what must be compared.
 
-    A context that occurs twice is repeated as a whole. One row of every context of an anchor with
+    A context that occurs twice is repeated as a whole.  One row of every context of an anchor with
     several goes on to be compared byte by byte.
     """
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         rest = table if rest is None else pa.concat_tables([rest, table])
-        anchor = rest.column("anchor").to_numpy()
-        cuts = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
+        anchor, part = (rest.column(n).to_numpy() for n in ("anchor", "part"))
+        cuts = np.flatnonzero((anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])) + 1
         if len(cuts):
             yield from _decided(rest.slice(0, int(cuts[-1])))
             rest = rest.slice(int(cuts[-1]))
@@ -142,40 +181,53 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _decided(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    anchor, context = (rows.column(n).to_numpy() for n in ("anchor", "context"))
+    anchor, part, context, rule = (
+        rows.column(n).to_numpy() for n in ("anchor", "part", "context", "rule")
+    )
     n = len(anchor)
-    new_anchor = np.r_[True, anchor[1:] != anchor[:-1]]
-    new_context = new_anchor | np.r_[True, context[1:] != context[:-1]]
+    new_part = np.r_[True, (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])]
+    new_context = new_part | np.r_[True, context[1:] != context[:-1]]
     heads = np.flatnonzero(new_context)
     size = np.diff(np.r_[heads, n])
-    copied = np.repeat(size > 1, size)
-    of = np.cumsum(new_anchor)[heads] - 1
+    copied = np.repeat(size > 1, size) | (rule >= COPIED)
+    of = np.cumsum(new_part)[heads] - 1
     contexts = np.bincount(of)[of]
-    several = heads[contexts > 1]
-    kind = np.where(contexts[contexts > 1] > MAX_CONTEXTS, WINDOWS, CONTEXT)
-    index = np.r_[np.flatnonzero(copied), several]
+    own = rule[heads] % COPIED
+    whole = own == ALL_AT_ONCE
+    kind = np.where(whole, np.where(contexts > MAX_CONTEXTS, WINDOWS, CONTEXT), own)
+    asked = np.where(whole, contexts > 1, own != SPAN)
+    index = np.r_[np.flatnonzero(copied), heads[asked]]
     if not len(index):
         return
-    kinds = np.r_[np.full(int(copied.sum()), SPAN), kind].astype(np.int32)
+    kinds = np.r_[np.full(int(copied.sum()), SPAN), kind[asked]].astype(np.int32)
     columns = [rows.column(name).to_numpy()[index] for name in _FOUND_NAMES[1:]]
     yield pa.RecordBatch.from_arrays([pa.array(c) for c in [kinds, *columns]], _FOUND_NAMES)
 
 
-def _hot_found(rows: DataFrame) -> DataFrame:
-    """As ``_decide``, for anchors of very many rows, which are added up before each shuffle."""
-    rows = saved(rows, "hot-domains")
-    contexts = rows.groupBy("anchor", "context").agg(
-        F.count("*").alias("n"),
-        F.min(F.struct("doc", "twin", "start", "count")).alias("one"),
-    )
-    contexts = saved(contexts, "hot-contexts")
-    copied = saved(contexts.where("n > 1").select("anchor", "context"), "hot-copied")
-    spans = rows.join(copied, ["anchor", "context"]).withColumn("kind", F.lit(SPAN))
-    several = contexts.groupBy("anchor").agg(F.count("*").alias("contexts"))
-    several = saved(several.where("contexts > 1"), "hot-several")
-    kind = F.when(F.col("contexts") > MAX_CONTEXTS, WINDOWS).otherwise(CONTEXT)
-    compared = contexts.join(several, "anchor").select("anchor", "one.*", kind.alias("kind"))
-    return spans.select(_FOUND_NAMES).unionByName(compared.select(_FOUND_NAMES))
+def _counted_frequent(texts: DataFrame, length: int) -> Frequent:
+    """The anchors with over MIN_HOT rows, and their contexts with as many: MAX_HOT at most.
+
+    Rows are added up in their tasks before they are shuffled.
+    """
+    none = np.empty(0, np.uint64)
+    nothing = Frequent(none, np.empty(0, np.int32), none)
+    rows = texts.mapInArrow(_scan(length, nothing), _DOMAIN).select("anchor")
+    many = rows.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > MIN_HOT)
+    listed = many.orderBy(F.desc("n"), "anchor").limit(MAX_HOT).collect()
+    if not listed:
+        return nothing
+    anchors = np.sort(np.array([row["anchor"] for row in listed], np.int64).view(np.uint64))
+    first = Frequent(anchors, np.zeros(len(anchors), np.int32), none)
+    rows = texts.mapInArrow(_scan(length, first, only_frequent=True), _DOMAIN)
+    contexts = rows.groupBy("anchor", "context").agg(F.count("*").alias("n"))
+    contexts = saved(contexts, "frequent")
+    kinds = np.zeros(len(anchors), np.int32)
+    for row in contexts.groupBy("anchor").agg(F.count("*").alias("n")).collect():
+        at = np.searchsorted(anchors, np.int64(row["anchor"]).view(np.uint64))
+        kinds[at] = SPAN if row["n"] == 1 else CONTEXT if row["n"] <= MAX_CONTEXTS else WINDOWS
+    often = contexts.where(F.col("n") > MIN_HOT).orderBy(F.desc("n"), "context").limit(MAX_HOT)
+    copied = np.array([row["context"] for row in often.collect()], np.int64).view(np.uint64)
+    return Frequent(anchors, kinds, np.sort(copied))
 
 
 def _contexts(length: int):
@@ -260,18 +312,10 @@ def _transform(length: int):
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, twin, low, high): byte spans that cover every repeated string; they may overlap."""
-    anchors = texts.mapInArrow(_scan(length), _DOMAIN).select("anchor")
-    hot = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > MIN_HOT)
-    listed = hot.orderBy(F.desc("n"), "anchor").limit(MAX_HOT).collect()
-    frequent = np.sort(np.array([row["anchor"] for row in listed], np.int64))
-    cold = texts.mapInArrow(_scan(length, frequent), _DOMAIN)
-    cold = cold.repartition("anchor").sortWithinPartitions("anchor", "context")
-    found = cold.mapInArrow(_decide, _FOUND)
-    if listed:
-        found = found.unionByName(
-            _hot_found(texts.mapInArrow(_scan(length, frequent, wanted=True), _DOMAIN))
-        )
-    found = saved(found, "found")
+    frequent = _counted_frequent(texts, length)
+    rows = texts.mapInArrow(_scan(length, frequent), _DOMAIN)
+    rows = rows.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "context")
+    found = saved(rows.mapInArrow(_decide, _FOUND), "found")
     asked = (
         found.where(F.col("kind") != SPAN)
         .groupBy("doc", "twin")
@@ -333,9 +377,9 @@ def drop_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     Strings meet under an anchor that they share (see ``domains``). Under an anchor, contexts that
     occur twice are repeated as a whole; the others are joined to blocks, and a Burrows-Wheeler
     transform of each block finds the strings in it that have a common prefix of ``length`` with
-    another. Anchors of very many rows are added up before they are shuffled; where one
-    has more than MAX_CONTEXTS different contexts, its strings are counted singly by 128 bits
-    of hash, so no task gets an unbounded group.
+    another. Anchors of very many rows are counted first and dealt out by context, contexts of very
+    many rows by text as well; where an anchor has more than MAX_CONTEXTS different contexts, its
+    strings are counted singly by 128 bits of hash. So no task gets an unbounded group.
 
     A NULL text is empty; texts shorter than ``length`` lose nothing. Rows that share a doc_id are
     separate texts, and a repeated row repeats all its strings. ``length`` must be 8 or more.
