@@ -10,7 +10,7 @@ import pyarrow as pa
 from tidemark.llm.common import SPACE
 
 # Bytes handled together; a longer text is handled alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
