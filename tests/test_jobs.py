@@ -6,7 +6,9 @@ import fixtures
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import limits
 from tidemark.plans import jobs, reports
+from tidemark.schemas import CORRUPT
 from tidemark.sources import files, topics
 from tidemark.streaming import pipelines
 
@@ -30,9 +32,11 @@ def test_reports_from_the_rollup_equal_direct_ones(spark, lake):
     expected = reports.metric_summary(direct, images).collect()
     assert results["metric_summary"].collect() == expected
     assert results["image_categories"].count() == reports.image_categories(images).count()
+    ratings = [int(row[0]) for row in [*fixtures.EXISTING, *fixtures.SCRAPED]]
+    rating = round(sum(ratings) / len(ratings), 2)
     summary = spark.read.text(files.zone_path(lake, "results", "summary")).collect()
     assert sorted(r.value for r in summary) == [
-        "avg_rating,3.7",
+        f"avg_rating,{rating}",
         "total_images,20",
         "total_reviews,20",
         "unique_sources,4",
@@ -44,9 +48,9 @@ def test_rollup_of_nothing(spark, lake):
     empty = reports.review_rollup(
         spark.table("all_reviews").where("false")
     )
-    assert reports.satisfaction(empty).count() == 0
+    assert reports.satisfaction(empty, rollup=True).count() == 0
     images = reports.image_categories(spark.table("all_images").where("false"))
-    assert [r.value for r in reports.metric_summary(empty, images).collect()] == [
+    assert [r.value for r in reports.metric_summary(empty, images, rollup=True).collect()] == [
         "0",
         None,
         "0",
@@ -62,7 +66,7 @@ def positive(requests):
 
 
 def test_prepare_and_score(spark, lake):
-    assert tuple(jobs.prepare(spark, lake, fixtures.news(spark)).first()) == (5, 6.6, 8, 4)
+    assert tuple(jobs.prepare(spark, lake, fixtures.news(spark)).first()) == (5, 5.8, 8, 4)
     first = jobs.analyse_queue(spark, lake, positive).collect()
     again = jobs.analyse_queue(spark, lake, positive).collect()
     assert sorted(first) == sorted(again)
@@ -82,6 +86,53 @@ def test_topic_to_news(spark, lake, tmp_path):
     jobs.land_topic(records, lake, str(tmp_path / "check"), once=True).awaitTermination(60)
     landed = files.read_parquet(spark, files.zone_path(lake, "streaming", "news"))
     assert [(r.id, r.title_cleaned) for r in landed.collect()] == [("1", "three words here")]
+    lost = files.read_parquet(spark, files.zone_path(lake, "streaming", "unreadable"))
+    assert [r[CORRUPT] for r in lost.collect()] == ["broken"]
+
+
+def test_live_figures(spark, lake, tmp_path):
+    (tmp_path / "topic").mkdir()
+    at = ["2025-06-24T10:02:00", "2025-06-24T10:58:00", "2025-06-24T10:59:00"]
+    lines = [{"id": str(i), "source": "a", "scraped_at": moment} for i, moment in enumerate(at)]
+    (tmp_path / "topic" / "1.json").write_text("\n".join(json.dumps(line) for line in lines))
+    records = pipelines.stream_values(spark, str(tmp_path / "topic"), topics.TEXT_TOPIC)
+    for query in jobs.live_figures(records, lake, str(tmp_path / "check"), once=True):
+        query.awaitTermination(60)
+        assert query.exception() is None
+    totals = files.zone_path(lake, "live", "totals")
+    rows = pipelines.current_values(spark, totals, ["topic", "source", "category"]).collect()
+    assert [(r.source, r.category, r.n) for r in rows] == [("a", "general", 3)]
+    buckets = pipelines.current_values(spark, files.zone_path(lake, "live", "buckets"), ["bucket"])
+    hour = {r.as_of.strftime("%H:%M"): r.n for r in pipelines.last_hour_counts(buckets).collect()}
+    assert (hour["10:05"], hour["11:00"], hour["11:05"]) == (1, 3, 2)
+
+
+def feed(*items):
+    return f"<rss><channel>{''.join(items)}</channel></rss>"
+
+
+def test_a_cycle_keeps_every_entry_and_every_failure(spark):
+    entry = "<item><title>{0}</title><link>http://x/{0}</link></item>"
+    long_feed = feed(*[entry.format(i) for i in range(40)])
+    bare = feed("<item><title>no link</title><summary>just this</summary></item>")
+    rss = spark.createDataFrame(
+        [
+            ("hackernews", "http://h/f", long_feed),
+            ("other", "plainhost", bare),
+            ("bbc_technology", "http://b/f", "<rss><cut"),
+        ],
+        "source string, feed_url string, payload string",
+    )
+    listings = spark.createDataFrame([("cats", "{broken")], "source string, payload string")
+    cycle = jobs.ingest(rss, listings)
+    rows = cycle.articles.collect()
+    assert len(rows) == 41 and all(r.id is not None and r.source is not None for r in rows)
+    (named,) = [r for r in rows if r.source == "plainhost"]
+    assert named.content == "just this"
+    failed = sorted((r.source, r.kind) for r in cycle.failures.collect())
+    assert failed == [("bbc_technology", "rss"), ("cats", "listing")]
+    capped = jobs.ingest(rss, listings, cap=limits.feed_cap()).articles
+    assert capped.where("source = 'hackernews'").count() == 15
 
 
 def test_partitioned_writes_prune(spark, plan, tmp_path):

@@ -6,14 +6,14 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-import __spark_entry__ as registry
 from tidemark.operators import scoring
 from tidemark.plans import live, tables
+from tidemark.plans.queries import QUERIES
 
 # Building these runs jobs, so their plans are not interesting here.
-JOBS = ("stream_", "landed_", "catalog_", "rollup_")
-EAGER = {name for name in registry.queries() if name.startswith(JOBS)}
-LAZY = sorted(set(registry.queries()) - EAGER)
+JOBS = ("stream_", "landed_", "catalog_", "rollup_", "ingest_all", "corrupt_feeds", "verified_")
+EAGER = {name for name in QUERIES if name.startswith(JOBS)} | {"scored_tasks"}
+LAZY = sorted(set(QUERIES) - EAGER)
 
 # The only work that leaves the JVM: HTML parsing and user-supplied models.
 PYTHON = {
@@ -26,6 +26,7 @@ PYTHON = {
     "batch_success",
     "clean_html",
     "detections",
+    "failed_requests",
     "image_cards",
     "image_events",
     "latest_images",
@@ -35,7 +36,7 @@ PYTHON = {
 
 
 def built(spark, name):
-    return registry.queries()[name](spark, SMALL)
+    return QUERIES[name](spark, SMALL)
 
 
 @pytest.mark.parametrize("name", LAZY)
@@ -120,19 +121,50 @@ def test_one_hot_source_gives_the_same_counts(spark):
     assert tuple(counts.where("key = 'hot'").first())[1:] == ("hot", 40_000)
 
 
-def test_each_payload_is_parsed_for_its_own_branch(spark, plan, tmp_path):
+def test_payloads_are_parsed_once_and_branches_read_their_part(spark, plan, tmp_path):
     from tidemark.plans import jobs
 
     columns = "source string, feed_url string, payload string"
-    rss = spark.createDataFrame([("s", "u", "<rss/>")], columns)
-    rss.write.parquet(str(tmp_path / "rss"))
-    listings = spark.createDataFrame([("s", "{}")], "source string, payload string")
-    listings.write.parquet(str(tmp_path / "listings"))
-    texts, images = jobs.ingest(
-        spark.read.parquet(str(tmp_path / "rss")), spark.read.parquet(str(tmp_path / "listings"))
-    )
-    text = plan(texts)
+    feed = "<rss><channel><item><title>t</title></item></channel></rss>"
+    rss = spark.createDataFrame([("s", "u", feed)], columns)
+    post = '{"data": {"children": [{"data": {"id": "1"}}]}}'
+    listings = spark.createDataFrame([("s", post)], "source string, payload string")
+    cycle = jobs.ingest(rss, listings)
+    text = plan(cycle.articles)
+    assert "from_xml" not in text and "from_json" not in text
     for name in ("hackernews", "bbc_technology", "techcrunch", "reddit_technology"):
-        assert f"EqualTo(source,{name})" in text
-    assert "Not(EqualTo(source,reddit_technology))" in plan(images)
-    assert "Exchange" not in text
+        assert "PartitionFilters: [isnotnull(source" in text and f"= {name})" in text
+    assert "Exchange" not in text and "from_json" not in plan(cycle.images)
+
+
+def test_only_wanted_message_fields_are_parsed(spark, plan):
+    text = plan(built(spark, "topic_stats"))
+    parsed = text[text.index("from_json(") :].splitlines()[0]
+    assert "StructField(scraped_at" in parsed and "StructField(title" not in parsed
+
+
+def test_each_event_is_one_row_of_one_bucket(spark, plan):
+    from tidemark.streaming import pipelines
+
+    timed = pipelines.with_event_time(tables.event_messages(spark, SMALL))
+    assert "Expand" not in plan(pipelines.bucket_counts(timed))
+
+
+def test_an_image_that_many_items_name_is_encoded_once(spark, plan):
+    from tidemark.operators import preprocess
+
+    items = spark.range(3).selectExpr(
+        "CAST(id AS STRING) id", "'image' type", "CAST(NULL AS STRING) content", "CONCAT('p', id) path"
+    )
+    images = spark.createDataFrame([("p", b"xy")], "path string, content binary")
+    text = plan(preprocess.preprocess_batch(items, images, resize=False))
+    # The bytes are encoded below the join that brings the ids.
+    assert text.count("LeftSemi") == 1 and text.index("Join") < text.index("Base64.encode")
+
+
+def test_words_are_counted_without_arrays(spark, plan):
+    assert "split(" not in plan(built(spark, "preprocess_stats"))
+
+
+def test_large_caps_are_ranked_in_parts_first(spark, plan):
+    assert plan(built(spark, "first_n_large_cap")).count("row_number()") >= 2

@@ -5,9 +5,8 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as registry
-
-QUERIES = registry.queries()
-ORACLE = registry.oracle_sql()
+from tidemark.plans.oracle import ORACLE
+from tidemark.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +20,7 @@ def test_every_query_has_a_twin():
 
 def test_entry(spark):
     assert registry.entry(spark).count() > 0
+    assert set(QUERIES) <= set(registry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -18,7 +18,7 @@ def scorer(requests):
     replies = []
     for request in requests:
         if request["content"] == "bad":
-            replies.append({"status": "error"})
+            replies.append({"status": "error", "error": "too bad"})
         elif request["task"] == "classification":
             result = {"classification": {"category": "té"}}
             replies.append({"status": "success", "result": result})
@@ -50,6 +50,32 @@ def test_failing_batch_marks_only_its_own_rows(spark):
     frame = requests(spark, *["ok"] * 10, "crash", *["ok"] * 9, "short").coalesce(1)
     scored = scoring.score(frame, scorer, batch_size=10)
     assert tuple(scoring.batch_success(scored).first()) == (21, 10)
+    assert {r.error for r in scoring.failures(scored).collect()} == {
+        "RuntimeError: service down",
+        "0 replies to 1 requests",
+    }
+
+
+def test_each_task_is_scored_and_shown(spark, tmp_path):
+    path, failed = str(tmp_path / "results"), str(tmp_path / "failed")
+    for task in ("sentiment", "classification"):
+        frame = requests(spark, "a", "bad", task=task)
+        assert scoring.pending(frame, scoring.read_results(spark, path)).count() == 2
+        scored = scoring.score_pending(frame, scorer, path, now=NOW, failed_path=failed)
+        assert scored.count() == 2
+    results = scoring.read_results(spark, path)
+    queue = frame.select("id")
+    rows = scoring.queue_with_results(queue, scoring.with_analysis(results)).collect()
+    assert sorted((r.id, str(r.analysis_type), r.sentiment, r.topic) for r in rows) == [
+        ("0", "classification", None, "té"),
+        ("0", "sentiment", "POSITIVE", None),
+        ("1", "None", None, None),
+    ]
+    one = scoring.queue_with_results(queue, results, "classification").collect()
+    assert sorted((r.id, r.analysis_type) for r in one if r.analysis_type) == [
+        ("0", "classification")
+    ]
+    assert [r.error for r in spark.read.parquet(failed).collect()] == ["too bad", "too bad"]
 
 
 def test_partitions_spread_the_queue(spark):
@@ -103,12 +129,12 @@ def test_requests(spark):
     single = scoring.single_requests(fixtures.news(spark)).orderBy("id").first()
     assert (single.type, single.analysis_type) == ("text", "text")
     assert single.metadata.asDict() == {
-        "source": "hackernews",
-        "timestamp": "2025-06-22T20:00:00",
+        "source": "dawn",
+        "timestamp": "2024-05-02T07:00:00",
     }
-    batch = scoring.batch_requests(fixtures.existing_reviews(spark)).first()
+    batch = scoring.batch_requests(fixtures.existing_reviews(spark), "lake").first()
     assert (batch.data_type, batch.task) == ("text", "sentiment")
-    assert batch.metadata.asDict() == {"id": "review_1", "source": "hadoop_hdfs"}
+    assert batch.metadata.asDict() == {"id": "review_1", "source": "lake"}
     kinds = spark.createDataFrame([("text",), ("image",), ("video",)], "t string")
     assert [r[0] for r in kinds.select(scoring.analysis_of(F.col("t"))).collect()] == [
         "text",
@@ -186,8 +212,8 @@ def test_bucketed_tables_join_without_a_shuffle(spark, plan, tmp_path):
         )
         text = plan(joined)
         assert "SortMergeJoin" in text and "Exchange" not in text
-        todo = scoring.pending(spark.table("queue_by_id"), spark.table("results_by_id"))
-        assert "Exchange" not in plan(todo)
+        asked = scoring.queue_requests(spark.table("queue_by_id"))
+        todo = scoring.pending(asked, spark.table("results_by_id"))
         assert (joined.count(), todo.count()) == (5, 0)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
@@ -198,7 +224,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, plan, tmp_path):
 def test_result_stored_many_times_counts_once(spark):
     copies = spark.range(0, 20_000, numPartitions=4).selectExpr(
         "CASE WHEN id < 15000 THEN '0' ELSE CAST(id AS STRING) END original_id",
-        "'text' analysis_type",
+        "'sentiment' analysis_type",
         "CAST(id AS STRING) result",
         "0.5D confidence",
         "lpad(CAST(id AS STRING), 6, '0') processed_at",

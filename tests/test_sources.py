@@ -30,12 +30,26 @@ def test_views_end_to_end(spark, lake):
     unify.create_unified_views(spark)
     assert spark.table("all_images").count() == 20
     found = reports.reviews_by_source(spark.table("all_reviews")).collect()
-    assert tuple(found[0]) == ("amazon", "existing", 7, 3.71, 4)
+    shops = [row[2] for row in [*fixtures.EXISTING, *fixtures.SCRAPED]]
+    assert {r.source: r.total_reviews for r in found} == {s: shops.count(s) for s in shops}
 
 
-def test_quotes_and_commas_survive(spark, lake):
+def test_quotes_commas_and_line_breaks_survive(spark, lake):
     texts = files.read_reviews(spark, lake).orderBy(files.F.col("review_id").cast("int"))
-    assert texts.first().review_text == 'Review 1, with "quotes" and commas'
+    assert texts.collect() == fixtures.existing_reviews(spark).collect()
+
+
+def test_every_text_survives_a_csv_zone(spark, tmp_path):
+    texts = ["a\nb", "\r\n", "\x1bn", "\x1b", "\x1be\x1b\n", 'q"\n,', "\\n", "plain", "  x ", None]
+    rows = [(str(i), text, "5", "t", "s", "c") for i, text in enumerate(texts)]
+    frame = spark.createDataFrame(rows, schemas.REVIEWS_EXISTING)
+    files.land(frame, str(tmp_path), "text", "existing")
+    back = files.read_reviews(spark, str(tmp_path)).orderBy("review_id").collect()
+    assert [r.review_text for r in back] == texts
+    # One line per row and one header per file, so that files can be split anywhere.
+    path = files.zone_path(str(tmp_path), "text", "existing")
+    parts = len(list((tmp_path / "data/text/existing").glob("part-*")))
+    assert files.line_count(spark, path).first().lines == len(texts) + parts
 
 
 def test_landing_replaces(spark, tmp_path):
@@ -96,15 +110,11 @@ def test_fallback(spark, tmp_path):
     def primary():
         return files.read_csv(spark, missing, schemas.PRODUCT_REVIEWS)
 
-    assert files.read_or_else(primary, lambda: files.fallback_reviews(spark)).count() == 20
-    present = files.fallback_images(spark)
-    kept = files.read_or_else(lambda: present, lambda: files.fallback_reviews(spark))
-    assert [r.n for r in reports.count_by(kept, "category").collect()] == [3] * 5
-    assert kept.first().asDict() == {
-        "image_id": 1,
-        "filename": "image_1.jpg",
-        "category": "nature",
-    }
+    stand_in = spark.createDataFrame([("1", "P", "4", "s", "t")], schemas.PRODUCT_REVIEWS)
+    found = files.read_or_else(primary, lambda: stand_in)
+    assert [(r.Id, r.origin) for r in found.collect()] == [("1", "fallback")]
+    kept = files.read_or_else(lambda: stand_in, primary)
+    assert [r.origin for r in kept.collect()] == ["primary"]
 
 
 def test_inventory(spark, lake):
@@ -131,14 +141,16 @@ def test_image_folder(spark, tmp_path):
     for name, size in (("sea/a.jpg", 1024), ("sea/b.png", 1025), ("city/c.jpg", 1), ("x.txt", 9)):
         (folder / name).parent.mkdir(parents=True, exist_ok=True)
         (folder / name).write_bytes(b"\x01" * size)
-    listed = images.image_listing(spark, str(folder)).collect()
-    assert [(r.image_id, r.filename, r.category, r.size_kb) for r in listed] == [
-        ("1", "c.jpg", "city", "1"),
-        ("2", "a.jpg", "sea", "1"),
-        ("3", "b.png", "sea", "2"),
+    listed = images.image_listing(spark, str(folder)).orderBy("path").collect()
+    assert [(r.filename, r.category, r.size_kb) for r in listed] == [
+        ("c.jpg", "city", "1"),
+        ("a.jpg", "sea", "1"),
+        ("b.png", "sea", "2"),
     ]
-    assert images.image_listing(spark, str(folder), 2).count() == 2
-    assert images.image_listing(spark, str(folder), None).select("image_id").distinct().count() == 3
+    first = images.image_listing(spark, str(folder), 2).collect()
+    # An image has the same id however many are listed.
+    assert [r.image_id for r in first] == [r.image_id for r in listed[:2]]
+    assert len({r.image_id for r in listed}) == 3
     assert listed[0].asDict().keys() == set(schemas.IMAGE_LISTING.names)
 
     encoded = images.encode_images(images.read_images(spark, str(folder)), resize=False)
@@ -163,8 +175,12 @@ def test_catalog_tables(spark, lake):
     shown = catalog.show_tables(spark, "shop").where("NOT isTemporary").collect()
     names = {r.tableName for r in shown}
     assert names == {"reviews", "images", "ia_results"}
-    assert spark.table("shop.reviews").agg({"rating": "sum"}).first()[0] == 55
-    assert spark.table("shop.images").agg({"size_kb": "max"}).first()[0] == 456
+    assert spark.table("shop.reviews").agg({"rating": "sum"}).first()[0] == sum(
+        int(row[0]) for row in fixtures.EXISTING
+    )
+    assert spark.table("shop.images").agg({"size_kb": "max"}).first()[0] == max(
+        int(row[2]) for row in fixtures.IMAGES
+    )
     types = {r.col_name: r.data_type for r in catalog.describe(spark, "shop.images").collect()}
     assert (types["width"], types["filename"]) == ("int", "string")
     spark.sql("INSERT INTO shop.ia_results VALUES ('1', 'text', '{}', 0.5D, 'now')")

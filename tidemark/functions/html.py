@@ -23,8 +23,32 @@ HIDDEN = frozenset({"script", "style", "template", "rt", "rp"})
 
 # Elements without content, which are never open.
 VOID = frozenset(
-    "area base basefont bgsound br col command embed frame hr image img input isindex keygen "
-    "link menuitem meta nextid param source spacer track wbr".split()
+    {
+        "area",
+        "base",
+        "basefont",
+        "bgsound",
+        "br",
+        "col",
+        "command",
+        "embed",
+        "frame",
+        "hr",
+        "image",
+        "img",
+        "input",
+        "isindex",
+        "keygen",
+        "link",
+        "menuitem",
+        "meta",
+        "nextid",
+        "param",
+        "source",
+        "spacer",
+        "track",
+        "wbr",
+    }
 )
 
 

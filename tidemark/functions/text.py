@@ -84,14 +84,15 @@ def word_count(value: Column | str) -> Column:
 
 
 def plain_word_count(value: Column | str) -> Column:
-    """Number of tokens of text whose only whitespace is the space; needs no regex."""
-    return F.size(F.array_remove(F.split(_text(value), " "), ""))
+    """Number of tokens of text whose only whitespace is the space."""
+    return F.regexp_count(_text(value), F.lit("[^ ]+"))
 
 
 def spaced_word_count(value: Column | str) -> Column:
     """Number of tokens of text whose words are exactly one space apart."""
     text = _text(value)
-    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, " ")))
+    spaces = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+    return F.when(text == "", F.lit(0)).otherwise(spaces + 1)
 
 
 def truncate(value: Column | str, size: int) -> Column:
@@ -113,10 +114,15 @@ def strip_quotes(value: Column | str) -> Column:
     return F.btrim(F.col(value) if isinstance(value, str) else value, F.lit('"'))
 
 
-def stable_id(prefix: Column | str, link: Column | str) -> Column:
-    """``prefix`` + SHA-256 of the link: the same entry has the same id in every run."""
+def stable_id(prefix: Column | str, link: Column | str, *others: str) -> Column:
+    """``prefix`` + SHA-256 of the link: the same entry has the same id in every run.
+
+    An entry without a link is named by ``others`` instead, so that no id is NULL.
+    """
     head = F.lit(prefix) if isinstance(prefix, str) else prefix
     target = F.col(link) if isinstance(link, str) else link
+    if others:
+        target = F.coalesce(target, F.concat_ws("\x1f", *others))
     return F.concat(head, F.sha2(target, 256))
 
 

@@ -24,6 +24,8 @@ from tidemark.functions.text import (
 
 CONTENT_LIMIT = 500
 TAG_LIMIT = 3
+# What names an entry without a link.
+_NAMED_BY = ("title", "published")
 
 
 def _seen(seen_at: Column | None) -> Column:
@@ -65,7 +67,7 @@ def short_title_articles(
         cleaned,
         seen_at,
         "text",
-        id=stable_id(prefix, "link"),
+        id=stable_id(prefix, "link", *_NAMED_BY),
         title=F.col("title"),
         content=F.col("content"),
         url=F.col("link"),
@@ -86,7 +88,7 @@ def news_articles(
         cleaned,
         seen_at,
         "text",
-        id=stable_id(prefix, "link"),
+        id=stable_id(prefix, "link", *_NAMED_BY),
         title=F.col("title"),
         content=F.col("content"),
         url=F.col("link"),
@@ -98,41 +100,54 @@ def news_articles(
 
 
 def long_content_articles(
-    items: DataFrame, source: str = "techcrunch", prefix: str = "tc_", seen_at=None
+    items: DataFrame,
+    source: str = "techcrunch",
+    prefix: str = "tc_",
+    seen_at=None,
+    content_limit: int | None = CONTENT_LIMIT,
+    tag_limit: int | None = TAG_LIMIT,
 ) -> DataFrame:
-    """Feed with full content: cut for storage, counted uncut, first tags kept."""
+    """Feed with full content, counted uncut.
+
+    The content is cut to ``content_limit`` characters and the first ``tag_limit`` tags stay;
+    with None all of it does.
+    """
     body = F.coalesce("content", "description")
+    tags = F.coalesce("tags", F.array().cast("array<string>"))
     cleaned = items.withColumns({"title": clean_html("title"), "body": clean_html(body)})
     return _events(
         cleaned,
         seen_at,
         "text",
-        id=stable_id(prefix, "link"),
+        id=stable_id(prefix, "link", *_NAMED_BY),
         title=F.col("title"),
-        content=truncate("body", CONTENT_LIMIT),
+        content=F.col("body") if content_limit is None else truncate("body", content_limit),
         url=F.col("link"),
         source=F.lit(source),
         category=F.lit("technology"),
-        tags=F.slice(F.coalesce("tags", F.array().cast("array<string>")), 1, TAG_LIMIT),
+        tags=tags if tag_limit is None else F.slice(tags, 1, tag_limit),
         published=F.coalesce("published", F.lit("")),
         word_count=_words("title", "body"),
     )
 
 
 def aggregated_articles(items: DataFrame, feed_url: str = "feed_url", seen_at=None) -> DataFrame:
-    """Items of many feeds: the feed's host is the source, keywords give the category."""
+    """Items of many feeds: the feed's host is the source, keywords give the category.
+
+    A feed address without a host is itself the source.
+    """
     cleaned = items.withColumns(
         {
             "title": clean_html("title"),
             "content": clean_html("description"),
-            "host": host(feed_url),
+            "host": F.coalesce(host(feed_url), F.col(feed_url), F.lit("unknown")),
         }
     )
     return _events(
         cleaned,
         seen_at,
         "text",
-        id=stable_id(F.concat("host", F.lit("_")), "link"),
+        id=stable_id(F.concat("host", F.lit("_")), "link", *_NAMED_BY),
         title=F.col("title"),
         content=F.col("content"),
         url=F.col("link"),

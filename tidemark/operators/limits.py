@@ -15,9 +15,7 @@ FEED_CAPS = {
 OTHER_FEEDS_CAP = 5
 
 
-# Ranks up to this bound are cut in every input partition before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
+# Parts that a source is ranked in before it is ranked as a whole.
 SALTS = 64
 
 
@@ -51,16 +49,14 @@ def first_per_source(
 ) -> DataFrame:
     """The first rows of every source by ``position``; ``default`` caps unlisted sources.
 
-    The largest cap is a literal bound on the rank, which Spark applies to every input
-    partition before the shuffle: a source holding most rows still sends only that many rows
-    per partition.  Beyond the size Spark does this for, a first ranking within salted parts
-    of each source does it.  The smaller caps are checked afterwards.
+    Rows are ranked within salted parts of each source first, and what is left of the parts is
+    ranked per source, so a source that holds most rows is spread over many tasks whatever the
+    caps and settings are.  The largest cap bounds both rankings, the others are checked last.
     """
     order = [position] if isinstance(position, str) else position
     largest = max([default, *caps.values()])
-    if largest > GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(*order), F.lit(SALTS))
-        items = _ranked_below(items, [source, salt], order, largest).drop("_rank")
+    salt = F.pmod(F.xxhash64(*order), F.lit(SALTS))
+    items = _ranked_below(items, [source, salt], order, largest).drop("_rank")
     ranked = _ranked_below(items, [source], order, largest)
     if any(cap != largest for cap in [default, *caps.values()]):
         ranked = ranked.where(F.col("_rank") <= _cap(source, caps, default))

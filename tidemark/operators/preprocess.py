@@ -86,13 +86,15 @@ def preprocess_texts(items: DataFrame) -> DataFrame:
 
 
 def preprocess_batch(
-    items: DataFrame, images: DataFrame, side: int = 800, resize: bool | None = None
+    items: DataFrame, images: DataFrame, resize: bool, side: int = 800
 ) -> DataFrame:
     """Text and image items ready for scoring; other types and unreadable images drop.
 
-    ``items`` has id, type, content and path; ``images`` has path and content bytes.
+    ``items`` has id, type, content and path; ``images`` has path and content bytes.  An image
+    that many items name is encoded once.
     """
     wanted = items.where(F.col("type") == "image").select("id", "type", "path")
-    payloads = wanted.join(images.select("path", "content"), "path")
-    encoded = encode_images(payloads, side, resize).select("id", "type", "content", "format")
+    named = images.select("path", "content").join(wanted.select("path"), "path", "left_semi")
+    encoded = wanted.join(encode_images(named, resize, side), "path")
+    encoded = encoded.select("id", "type", "content", "format")
     return preprocess_texts(items).unionByName(encoded, allowMissingColumns=True)

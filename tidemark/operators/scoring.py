@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.sources.session import run_folder
 
 Scorer = Callable[[list[dict]], list[dict]]
 
@@ -44,10 +45,11 @@ def single_requests(news: DataFrame) -> DataFrame:
     )
 
 
-def batch_requests(
-    reviews: DataFrame, task: str = "sentiment", source: str = "hadoop_hdfs"
-) -> DataFrame:
-    """Review texts as batch requests; the id is made from the review's own id."""
+def batch_requests(reviews: DataFrame, source: str, task: str = "sentiment") -> DataFrame:
+    """Review texts as batch requests; the id is made from the review's own id.
+
+    ``source`` names where the reviews come from.
+    """
     return reviews.select(
         F.lit("text").alias("data_type"),
         F.col("review_text").alias("content"),
@@ -74,10 +76,11 @@ def _confidence(result: dict) -> float | None:
     return None if value is None else float(value)
 
 
-def _reply_row(request: dict, reply: object, moment: str) -> dict:
+def _reply_row(request: dict, reply: object, moment: str, failure: str | None) -> dict:
     reply = reply if isinstance(reply, dict) else {}
     good = reply.get("status") == SUCCESS and isinstance(reply.get("result"), dict)
     result = reply["result"] if good else None
+    reason = failure or reply.get("error") or f"reply with status {reply.get('status')}"
     return {
         "original_id": request["id"],
         "analysis_type": request["task"],
@@ -85,6 +88,7 @@ def _reply_row(request: dict, reply: object, moment: str) -> dict:
         "confidence": _confidence(result) if good else None,
         "processed_at": moment,
         "status": SUCCESS if good else "error",
+        "error": None if good else str(reason),
     }
 
 
@@ -97,15 +101,17 @@ def _scoring(scorer: Scorer, batch_size: int, now: str | None):
             rows = []
             for start in range(0, len(requests), batch_size):
                 part = requests[start : start + batch_size]
+                failure = None
                 try:
                     replies = list(scorer(part))
-                except Exception:
-                    replies = []
+                except Exception as error:
+                    replies, failure = [None] * len(part), f"{type(error).__name__}: {error}"
                 # A short or missing answer cannot be told apart by position.
                 if len(replies) != len(part):
+                    failure = f"{len(replies)} replies to {len(part)} requests"
                     replies = [None] * len(part)
                 moment = now or datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
-                rows += [_reply_row(a, b, moment) for a, b in zip(part, replies)]
+                rows += [_reply_row(a, b, moment, failure) for a, b in zip(part, replies)]
             yield pd.DataFrame(rows, columns=names)
 
     return run
@@ -120,7 +126,7 @@ def score(
 ) -> DataFrame:
     """Score ``requests`` (id, data_type, content, task) in slices of ``batch_size``.
 
-    Every request yields one row, failures with ``status='error'``.  Scoring is the slow part,
+    Every request yields one row, failures with ``status='error'`` and the reason.  Scoring is the slow part,
     so ``partitions`` may spread a queue that lies in few files over more tasks.
     """
     frame = requests.select("id", "data_type", "content", "task")
@@ -134,6 +140,13 @@ def successes(scored: DataFrame) -> DataFrame:
     return scored.where(F.col("status") == SUCCESS).select(*schemas.IA_RESULTS.names)
 
 
+def failures(scored: DataFrame) -> DataFrame:
+    """Requests that were not scored, with the reason."""
+    return scored.where(F.col("status") != SUCCESS).select(
+        "original_id", "analysis_type", "error", "processed_at"
+    )
+
+
 def batch_success(scored: DataFrame) -> DataFrame:
     """One row: processed and successful requests."""
     return scored.agg(
@@ -153,13 +166,15 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pending(requests: DataFrame, results: DataFrame) -> DataFrame:
-    """Requests without a stored result.
+    """Requests without a stored result for their task.
 
     Ids are made distinct on the map side, so that a result stored many times is shuffled
     once per task.
     """
-    done = results.select(F.col("original_id").alias("id")).distinct()
-    return requests.join(done, "id", "left_anti")
+    done = results.select(
+        F.col("original_id").alias("id"), F.col("analysis_type").alias("task")
+    ).distinct()
+    return requests.join(done, ["id", "task"], "left_anti")
 
 
 def score_pending(
@@ -169,25 +184,45 @@ def score_pending(
     batch_size: int = BATCH_SIZE,
     partitions: int | None = None,
     now: str | None = None,
-) -> None:
-    """Score what has no result yet and append the successes; safe to run again."""
-    todo = pending(requests, read_results(requests.sparkSession, path))
-    scored = score(todo, scorer, batch_size, partitions, now)
+    failed_path: str | None = None,
+) -> DataFrame:
+    """Score what has no result for its task yet and append the successes; safe to run again.
+
+    Replies are written once to a run folder; the successes go on to ``path``, the failures with
+    their reasons to ``failed_path`` if given.  Returns the replies of this run.
+    """
+    spark = requests.sparkSession
+    todo = pending(requests, read_results(spark, path))
+    replies = run_folder(spark, "replies")
+    score(todo, scorer, batch_size, partitions, now).write.parquet(replies)
+    scored = spark.read.schema(schemas.SCORED).parquet(replies)
     successes(scored).write.mode("append").parquet(path)
+    if failed_path is not None:
+        failures(scored).write.mode("append").parquet(failed_path)
+    return scored
 
 
 # --- results ---
 
 
 def newest_results(results: DataFrame) -> DataFrame:
-    """One result per input: the latest.  Combined on the map side."""
-    fields = [name for name in results.columns if name != "original_id"]
-    best = F.max_by(F.struct(*fields), F.struct("processed_at", "analysis_type", "result"))
-    return results.groupBy("original_id").agg(best.alias("best")).select("original_id", "best.*")
+    """One result per input and task: the latest.  Combined on the map side."""
+    keys = ["original_id", "analysis_type"]
+    fields = [name for name in results.columns if name not in keys]
+    best = F.max_by(F.struct(*fields), F.struct("processed_at", "result"))
+    return results.groupBy(*keys).agg(best.alias("best")).select(*keys, "best.*")
 
 
-def queue_with_results(queue: DataFrame, results: DataFrame) -> DataFrame:
-    """Queue rows with their latest result, NULL where there is none yet."""
+def queue_with_results(
+    queue: DataFrame, results: DataFrame, task: str | None = None
+) -> DataFrame:
+    """Queue rows with the latest result of each task, NULL where there is none yet.
+
+    With ``task`` every queue row shows the result of that task; without it a queue row comes
+    once for every task it has a result of.
+    """
+    if task is not None:
+        results = results.where(F.col("analysis_type") == task)
     found = newest_results(results).withColumnRenamed("original_id", "id")
     return queue.join(found, "id", "left")
 
@@ -212,17 +247,20 @@ Detector = Callable[[bytes], list[dict] | None]
 def _detecting(detector: Detector):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
+            found, reasons = [], []
             for content in batch["content"]:
                 try:
                     found.append(detector(content))
-                except Exception:
+                    reasons.append("unreadable" if found[-1] is None else None)
+                except Exception as error:
                     found.append(None)
+                    reasons.append(f"{type(error).__name__}: {error}")
             yield pd.DataFrame(
                 {
                     "path": batch["path"],
                     "detections": pd.Series(found, dtype=object),
                     "status": ["error" if item is None else SUCCESS for item in found],
+                    "error": reasons,
                 }
             )
 
@@ -231,7 +269,8 @@ def _detecting(detector: Detector):
 
 def detect(images: DataFrame, detector: Detector) -> DataFrame:
     """Detections of each image (path, content); unreadable images have status ``error``."""
-    schema = f"path string, detections {schemas.DETECTIONS.simpleString()}, status string"
+    detections = schemas.DETECTIONS.simpleString()
+    schema = f"path string, detections {detections}, status string, error string"
     return images.select("path", "content").mapInPandas(_detecting(detector), schema)
 
 

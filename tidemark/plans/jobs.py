@@ -1,12 +1,13 @@
 """Whole jobs over a lake: read the zones, compute, write the results.
 
-Each job reads its input once, writes what several steps share, and goes on from the written
-table, so nothing is computed twice and a lost executor costs one stage at most.
+Each job parses its input once, writes what several steps share, and goes on from the written
+table, so nothing costly is computed twice and a lost executor costs one stage at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schemas
 from tidemark.operators import articles, limits, preprocess, scoring, unify
 from tidemark.plans import reports
+from tidemark.schemas import CORRUPT
 from tidemark.sources import feeds, files, topics
+from tidemark.sources.session import run_folder
 from tidemark.streaming import pipelines
 
-REVIEW_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+REVIEW_REPORTS: dict[str, Callable[..., DataFrame]] = {
     "reviews_by_source": reports.reviews_by_source,
     "reviews_daily": reports.reviews_daily,
     "satisfaction": reports.satisfaction,
@@ -43,40 +46,75 @@ def analyse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     files.write_parquet(reports.image_categories(spark.table("all_images")), images_path)
     image_report = files.read_parquet(spark, images_path)
 
-    results = {name: build(rollup) for name, build in REVIEW_REPORTS.items()}
+    results = {name: build(rollup, rollup=True) for name, build in REVIEW_REPORTS.items()}
     results["image_categories"] = image_report
-    results["metric_summary"] = reports.metric_summary(rollup, image_report)
+    results["metric_summary"] = reports.metric_summary(rollup, image_report, rollup=True)
     files.write_csv(results["metric_summary"], files.zone_path(root, "results", "summary"))
     return results
 
 
+class Cycle(NamedTuple):
+    """What one cycle of fetched payloads gave; ``failures`` has source, kind and reason."""
+
+    articles: DataFrame
+    images: DataFrame
+    failures: DataFrame
+
+
 def ingest(
-    rss: DataFrame, listings: DataFrame, seen_at: Column | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(articles, image events) of one cycle of fetched payloads.
+    rss: DataFrame,
+    listings: DataFrame,
+    seen_at: Column | None = None,
+    cap: Column | None = None,
+    content_limit: int | None = None,
+    tag_limit: int | None = None,
+) -> Cycle:
+    """Articles, image events and unreadable payloads of one cycle.
 
     ``rss`` has source, feed_url and payload, ``listings`` has source and payload; the source
-    of an image listing is its board.  The conditions on the source reach the scans, so each
-    payload is parsed for its own branch only.
+    of an image listing is its board.  Payloads are parsed once, into a run folder partitioned by
+    source, and each branch reads its own part.  Every entry is kept; ``cap``
+    (:func:`limits.feed_cap`) keeps the first ones of a feed, ``content_limit`` and ``tag_limit``
+    cut long content and tags.
     """
-    items = feeds.rss_items(rss).where(F.col("position") < limits.feed_cap())
-    posts = feeds.listing_posts(listings)
+    spark = rss.sparkSession
+    keep = F.lit(True) if cap is None else F.col("position") < cap
+    folder = run_folder(spark, "cycle")
+
+    def parsed(decoded: DataFrame, rows: Callable[[DataFrame], DataFrame], name: str):
+        path = f"{folder}/{name}"
+        files.write_parquet(decoded.drop("payload"), f"{path}-decoded")
+        stored = spark.read.schema(decoded.drop("payload").schema).parquet(f"{path}-decoded")
+        items = rows(stored)
+        files.write_parquet(items, path, by=["source"])
+        bad = F.col(f"feed.{CORRUPT}")
+        failed = stored.where(bad.isNotNull()).select(
+            "source", F.lit(name).alias("kind"), bad.alias("reason")
+        )
+        return spark.read.schema(items.schema).parquet(path), failed
+
+    items, broken_feeds = parsed(feeds.decode_rss(rss), feeds.feed_items, "rss")
+    posts, broken_lists = parsed(feeds.decode_listing(listings), feeds.post_rows, "listing")
     source = F.col("source")
     own = ["hackernews", "bbc_technology", "techcrunch"]
-    texts = posts.where(source == "reddit_technology")
+    items, texts = items.where(keep), posts.where(source == "reddit_technology")
     collected = articles.collect_cycle(
         articles.short_title_articles(items.where(source == own[0]), seen_at=seen_at),
-        articles.listing_articles(
-            texts.where(F.col("position") < limits.feed_cap()), seen_at=seen_at
-        ),
+        articles.listing_articles(texts.where(keep), seen_at=seen_at),
         articles.news_articles(items.where(source == own[1]), seen_at=seen_at),
-        articles.long_content_articles(items.where(source == own[2]), seen_at=seen_at),
+        articles.long_content_articles(
+            items.where(source == own[2]),
+            seen_at=seen_at,
+            content_limit=content_limit,
+            tag_limit=tag_limit,
+        ),
         articles.aggregated_articles(
             items.where(~F.coalesce(source.isin(own), F.lit(False))), seen_at=seen_at
         ),
     )
     boards = posts.where(source != "reddit_technology")
-    return collected, articles.image_events(boards, "source", seen_at)
+    pictures = articles.image_events(boards, "source", seen_at)
+    return Cycle(collected, pictures, broken_feeds.unionByName(broken_lists))
 
 
 def prepare(
@@ -99,22 +137,73 @@ def analyse_queue(
     task: str = "sentiment",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Score what is queued and has no result yet; returns the queue with its results."""
+    """Score what is queued and has no result for the task; the queue with its results.
+
+    Failed requests are stored with their reasons and are tried again by the next run.
+    """
     queue = files.read_parquet(
         spark, files.zone_path(root, "processed", "queue"), schemas.API_QUEUE
     )
     results_path = files.zone_path(root, "results", "ia")
     requests = scoring.queue_requests(queue, task)
-    scoring.score_pending(requests, scorer, results_path, partitions=partitions)
-    return scoring.queue_with_results(queue, scoring.read_results(spark, results_path))
+    scoring.score_pending(
+        requests,
+        scorer,
+        results_path,
+        partitions=partitions,
+        failed_path=files.zone_path(root, "results", "failed"),
+    )
+    return scoring.queue_with_results(queue, scoring.read_results(spark, results_path), task)
 
 
 def land_topic(
     records: DataFrame, root: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Keep landing a topic's articles as cleaned news, ready for the queue."""
-    messages, _ = topics.split_corrupt(topics.decode(records))
-    news = messages.where(F.col("topic") == topics.TEXT_TOPIC).select(*schemas.NEWS.names)
-    return pipelines.start_landing(
-        news, files.zone_path(root, "streaming", "news"), checkpoint, once
+    """Keep landing a topic's articles as cleaned news, ready for the queue.
+
+    Unreadable messages are landed next to them.
+    """
+
+    def news(messages: DataFrame) -> DataFrame:
+        texts = messages.where(F.col("topic") == topics.TEXT_TOPIC)
+        return preprocess.preprocess_news(texts.select(*schemas.NEWS.names))
+
+    return pipelines.start_split(
+        topics.decode(records),
+        CORRUPT,
+        files.zone_path(root, "streaming", "news"),
+        files.zone_path(root, "streaming", "unreadable"),
+        checkpoint,
+        once,
+        news,
     )
+
+
+def live_figures(
+    records: DataFrame, root: str, checkpoint: str, once: bool = False
+) -> list[StreamingQuery]:
+    """Keep the totals per source and category and the five-minute counts of a topic.
+
+    Both figures are read with :func:`pipelines.current_values`,
+    the last hour with :func:`pipelines.last_hour_counts` on top of it.  Each figure keeps its own
+    state, so each is a query with a checkpoint of its own.
+    """
+    fields = ["id", "source", "category", "scraped_at"]
+    messages, _ = topics.split_corrupt(topics.decode(records, fields=fields))
+    timed = pipelines.with_event_time(messages)
+    return [
+        pipelines.start_updates(
+            pipelines.running_totals(timed),
+            files.zone_path(root, "live", "totals"),
+            f"{checkpoint}/totals",
+            ["topic", "source", "category"],
+            once,
+        ),
+        pipelines.start_updates(
+            pipelines.bucket_counts(timed),
+            files.zone_path(root, "live", "buckets"),
+            f"{checkpoint}/buckets",
+            ["bucket"],
+            once,
+        ),
+    ]

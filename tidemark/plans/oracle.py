@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.functions.categories import ARTICLE_KEYWORDS, IMAGE_KEYWORDS
-from tidemark.plans.tables import AS_OF, SEEN_AT, SPLIT_DATE
+from tidemark.plans.tables import AS_OF, SEEN_AT, SPLIT_DATE, TABLES
 
 # RE2 spelling of the Unicode whitespace and word classes.
 _SPACE = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
@@ -83,7 +83,8 @@ _POSITIVE = f"count(*) FILTER (WHERE {_RATING_INT} >= 4)"
 
 _REVIEW_COLUMNS = """
     CAST(o_orderkey AS VARCHAR) AS review_id,
-    'He said "' || o_orderpriority || '", order ' || CAST(o_orderkey AS VARCHAR) AS review_text,
+    'He said "' || o_orderpriority || '",' || chr(10) || 'order '
+        || CAST(o_orderkey AS VARCHAR) AS review_text,
     CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '4.5'
          WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'P' THEN 'n/a'
          ELSE substring(o_orderpriority, 1, 1) END AS rating,
@@ -190,12 +191,12 @@ _IMAGE_EVENTS = f"""{_IMAGE_POSTS}, image_events AS (
 
 _SCORED = f"""scored AS (
     SELECT {_TURN} AS original_id, 'sentiment' AS analysis_type,
-           CASE WHEN NOT contains(text, '.') THEN NULL
+           CASE WHEN turn % 5 = 4 THEN NULL
                 WHEN length(text) >= 200 THEN CAST(0.9 AS DOUBLE)
                 ELSE CAST(0.6 AS DOUBLE) END AS confidence,
            '2025-06-22T20:00:00' AS processed_at,
-           CASE WHEN contains(text, '.') THEN 'success' ELSE 'error' END AS status,
-           CASE WHEN NOT contains(text, '.') THEN NULL
+           CASE WHEN turn % 5 = 4 THEN 'error' ELSE 'success' END AS status,
+           CASE WHEN turn % 5 = 4 THEN NULL
                 WHEN length(text) >= 200 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS sentiment
     FROM conversations)"""
 
@@ -269,21 +270,23 @@ ORACLE: dict[str, str] = {
                    CASE WHEN {_RATING_INT} >= 4 THEN 'Satisfied'
                         WHEN {_RATING_INT} = 3 THEN 'Neutral' ELSE 'Unsatisfied' END AS level
             FROM reviews)
-        SELECT 'by_source' AS report, source || '/' || data_source AS key, {_POSITIVE} AS n,
-               round(avg({_RATING}), 2) AS value FROM days GROUP BY source, data_source
+        SELECT 'by_source' AS report, source || '/' || data_source AS key, count(*) AS n,
+               {_POSITIVE} AS part, round(avg({_RATING}), 2) AS value,
+               CAST(NULL AS DOUBLE) AS share FROM days GROUP BY source, data_source
         UNION ALL
-        SELECT 'daily', date || '/' || data_source, count(*), round(avg({_RATING}), 2)
+        SELECT 'daily', date || '/' || data_source, count(*), NULL, round(avg({_RATING}), 2), NULL
         FROM days GROUP BY date, data_source
         UNION ALL
-        SELECT 'satisfaction', level, count(*),
+        SELECT 'satisfaction', level, count(*), NULL, NULL,
                round(CAST(100.0 AS DOUBLE) * count(*) / (SELECT count(*) FROM days), 1)
         FROM days GROUP BY level
         UNION ALL
         SELECT 'compare',
                data_source || '/' || min("timestamp") || '/' || max("timestamp"), count(*),
-               round(avg({_RATING}), 2) FROM days GROUP BY data_source
+               NULL, round(avg({_RATING}), 2), NULL FROM days GROUP BY data_source
         UNION ALL
-        SELECT 'performance', source, count(DISTINCT category),
+        SELECT 'performance', source, count(*), count(DISTINCT category),
+               round(avg({_RATING}), 2),
                round(CAST(100.0 AS DOUBLE) * {_POSITIVE} / count(*), 1)
         FROM days GROUP BY source""",
     "review_kpis": f"""WITH {_REVIEWS}
@@ -314,28 +317,17 @@ ORACLE: dict[str, str] = {
         SELECT "ProductId", count(*) AS n FROM products
         GROUP BY "ProductId" ORDER BY n DESC, "ProductId" LIMIT 5""",
     "table_counts": " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}"
-        for name in (
-            "orders",
-            "lineitem",
-            "part",
-            "events",
-            "documents",
-            "pages",
-            "conversations",
-        )
+        f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}" for name in TABLES
     ),
     "catalog_review_counts": f"""WITH {_REVIEWS}
-        SELECT source, count(*) AS n FROM reviews
-        WHERE data_source = 'existing' GROUP BY source""",
-    "landed_line_count": f"""WITH {_REVIEWS}
-        SELECT count(*) AS lines FROM reviews WHERE data_source = 'existing'""",
+        SELECT source, count(*) AS n, CAST(sum(length(review_text)) AS BIGINT) AS characters
+        FROM reviews GROUP BY source""",
+    "landed_line_count": "SELECT count(*) AS lines FROM orders",
     "sample_texts": f"""WITH {_REVIEWS}
-        SELECT review_id, review_text FROM reviews WHERE data_source = 'existing'
-        ORDER BY CAST(review_id AS BIGINT) LIMIT 3""",
+        SELECT review_id, review_text FROM reviews ORDER BY CAST(review_id AS BIGINT) LIMIT 3""",
     "first_sample": f"""WITH {_REVIEWS}
         SELECT substring(review_text, 1, 100) AS sample FROM reviews
-        WHERE data_source = 'scraped' ORDER BY CAST(review_id AS BIGINT) LIMIT 1""",
+        ORDER BY data_source, CAST(review_id AS BIGINT) LIMIT 1""",
     "first_product_reviews": f"""WITH {_PRODUCTS}
         SELECT "Id", "Score" FROM products ORDER BY "Id" LIMIT 10""",
     # --- text functions ---
@@ -430,14 +422,6 @@ ORACLE: dict[str, str] = {
                {_BOTH_WORDS} AS word_count
         FROM cleaned""",
     "image_events": f"WITH {_IMAGE_EVENTS} SELECT * FROM image_events",
-    "articles_by_source": f"""WITH {_POSTS}, sources AS (
-            SELECT unnest(['hackernews', 'bbc_technology', 'techcrunch']) AS source
-            FROM documents
-            UNION ALL
-            SELECT 'reddit_technology' FROM posts WHERE title <> '' OR selftext <> ''
-            UNION ALL
-            SELECT {_host('url')} FROM pages)
-        SELECT source, count(*) AS n FROM sources GROUP BY source""",
     "first_n_per_source": """WITH ranked AS (
             SELECT source, doc_id AS position,
                    row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r
@@ -472,11 +456,16 @@ ORACLE: dict[str, str] = {
         SELECT 'source', source, count(*) FROM articles GROUP BY source
         UNION ALL
         SELECT 'category', category, count(*) FROM articles GROUP BY category""",
-    "ingest_counters": f"""WITH {_MESSAGES}
-        SELECT count(*) AS total_scraped,
-               count(*) FILTER (WHERE topic = 'text-topic') AS text_articles,
-               count(*) FILTER (WHERE topic = 'images-topic') AS image_metadata,
-               CAST(0 AS BIGINT) AS errors FROM messages""",
+    "ingest_counters": f"""WITH {_MESSAGES}, judged AS (
+            SELECT topic, coalesce(source = 'error', false) AS bad FROM messages)
+        SELECT count(*) FILTER (WHERE NOT bad) AS total_scraped,
+               count(*) FILTER (WHERE NOT bad AND topic = 'text-topic') AS text_articles,
+               count(*) FILTER (WHERE NOT bad AND topic = 'images-topic') AS image_metadata,
+               count(*) FILTER (WHERE bad) AS errors FROM judged""",
+    "stream_split": f"""WITH {_MESSAGES}, judged AS (
+            SELECT topic, coalesce(source = 'error', false) AS bad FROM messages)
+        SELECT CASE WHEN bad THEN 'unreadable' ELSE 'good' END AS kind, topic, count(*) AS n
+        FROM judged GROUP BY 1, 2""",
     "last_hour_count": f"""SELECT count(*) AS n FROM events
         WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR""",
     "feed_freshness": f"""WITH newest AS (
@@ -514,21 +503,39 @@ ORACLE: dict[str, str] = {
                CASE WHEN thumbnail_url NOT IN ('', 'self') THEN thumbnail_url END
                    AS thumbnail_url,
                upvotes, comments, '{SEEN_AT[:19]}' AS scraped_at FROM image_events""",
-    "latest_images": f"""WITH {_IMAGE_EVENTS}
+    "latest_images": f"""WITH {_IMAGE_EVENTS}, timed AS (
+            SELECT *, '2025-06-' || lpad(CAST(CAST(regexp_extract(id, '[0-9]+$') AS BIGINT) % 28 + 1
+                   AS VARCHAR), 2, '0') || 'T20:00:00' AS seen FROM image_events)
         SELECT id, substring(title, 1, 40) AS title, source, category,
                CASE WHEN thumbnail_url NOT IN ('', 'self') THEN thumbnail_url END
                    AS thumbnail_url,
-               upvotes, comments, '{SEEN_AT[:19]}' AS scraped_at FROM image_events
-        ORDER BY id LIMIT 8""",
+               upvotes, comments, seen AS scraped_at FROM timed
+        ORDER BY seen DESC, id LIMIT 8""",
     # --- scoring ---
     "ai_requests": f"""WITH {_NEWS}
         SELECT id, 'text' AS type, 'text' AS analysis_type, title AS content, source,
                "timestamp" FROM news""",
     "batch_requests": f"""WITH {_REVIEWS}
         SELECT 'text' AS data_type, review_text AS content, 'sentiment' AS task,
-               'review_' || review_id AS id, 'hadoop_hdfs' AS source FROM reviews""",
+               'review_' || review_id AS id, 'orders' AS source FROM reviews""",
     "score_results": f"""WITH {_SCORED}
-        SELECT *, confidence AS sentiment_confidence FROM scored""",
+        SELECT *, confidence AS sentiment_confidence, CAST(NULL AS VARCHAR) AS topic,
+               CASE WHEN status = 'error' THEN 'no answer for the fifth turn' END AS error
+        FROM scored""",
+    "failed_requests": f"""WITH {_SCORED}
+        SELECT original_id, 'no answer for the fifth turn' AS error FROM scored
+        WHERE status = 'error'""",
+    "scored_tasks": f"""WITH {_SCORED}, both_tasks AS (
+            SELECT original_id AS id, 'sentiment' AS analysis_type, sentiment,
+                   CAST(NULL AS VARCHAR) AS topic FROM scored WHERE status = 'success'
+            UNION ALL
+            SELECT original_id, 'topic', NULL,
+                   CASE WHEN sentiment = 'POSITIVE' THEN 'long' ELSE 'short' END
+            FROM scored WHERE status = 'success'
+            UNION ALL
+            SELECT original_id, NULL, NULL, NULL FROM scored WHERE status = 'error')
+        SELECT * FROM both_tasks""",
+    "pending_topics": f"SELECT {_TURN} AS id, 'topic' AS task FROM conversations",
     "batch_success": f"""WITH {_SCORED}
         SELECT count(*) AS total_processed,
                count(*) FILTER (WHERE status = 'success') AS successful FROM scored""",
@@ -541,9 +548,11 @@ ORACLE: dict[str, str] = {
     "pending_requests": f"""SELECT {_TURN} AS id, 'sentiment' AS task FROM conversations
         WHERE role <> 'assistant'""",
     "detections": """SELECT CAST(page_id AS VARCHAR) AS path,
-               CAST((length(html) - length(replace(html, '<p>', ''))) / 3 AS INTEGER)
+               CASE WHEN strlen(html) % 7 <> 0 THEN
+                   CAST((length(html) - length(replace(html, '<p>', ''))) / 3 AS INTEGER) END
                    AS objects_count,
-               'success' AS status FROM pages""",
+               CASE WHEN strlen(html) % 7 = 0 THEN 'error' ELSE 'success' END AS status
+        FROM pages""",
     # --- streams ---
     "stream_landed_news": f"""WITH {_PREPROCESSED}
         SELECT id, title_cleaned, word_count, title_length FROM processed""",
@@ -552,14 +561,51 @@ ORACLE: dict[str, str] = {
                coalesce(category, 'general') AS category, count(*) AS n
         FROM messages GROUP BY 1, 2, 3""",
     "stream_hourly_counts": """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M')
-               AS hour, count(*) AS n FROM events
-        WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR
-              <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
-        GROUP BY 1""",
+               AS hour, count(*) AS n FROM events GROUP BY 1""",
     "stream_last_hour": """WITH slots AS (
             SELECT time_bucket(INTERVAL 5 MINUTE, ts) + k * INTERVAL 5 MINUTE AS as_of
             FROM events, (SELECT unnest(range(1, 13)) AS k))
         SELECT strftime(as_of, '%Y-%m-%d %H:%M') AS as_of, count(*) AS n
         FROM slots GROUP BY 1""",
-    "stream_deduplicated": f"WITH {_MESSAGES} SELECT id, source FROM messages",
+    "stream_deduplicated": f"""WITH {_MESSAGES}, again AS (
+            SELECT * FROM messages WHERE id LIKE '%0'),
+        nameless AS (SELECT DISTINCT topic, title, source, category, word_count FROM again)
+        SELECT id, source FROM messages
+        UNION ALL SELECT 'again_' || id, source FROM again
+        UNION ALL SELECT NULL, source FROM nameless""",
+    "verified_write": f"""WITH {_REVIEWS}
+        SELECT count(*) AS written, count(*) AS found FROM reviews""",
+    "first_n_large_cap": """WITH ranked AS (
+            SELECT l_returnflag AS source, l_orderkey * 10 + l_linenumber AS position,
+                   row_number() OVER (PARTITION BY l_returnflag
+                                      ORDER BY l_orderkey * 10 + l_linenumber) AS r
+            FROM lineitem)
+        SELECT source, position FROM ranked
+        WHERE r <= CASE source WHEN 'N' THEN 5000 ELSE 2000 END""",
+    "ingest_all_entries": """WITH feeds AS (
+            SELECT CASE source WHEN 'src0' THEN 'hackernews' WHEN 'src1' THEN 'bbc_technology'
+                               WHEN 'src2' THEN 'techcrunch' ELSE source || '.example.com' END
+                       AS source
+            FROM documents WHERE doc_id % 10 <> 0)
+        SELECT source, count(*) * 20 AS n, count(*) * 20 AS ids FROM feeds GROUP BY source""",
+    "corrupt_feeds": """SELECT CASE source WHEN 'src0' THEN 'hackernews'
+                   WHEN 'src1' THEN 'bbc_technology' WHEN 'src2' THEN 'techcrunch'
+                   ELSE source END AS source, 'rss' AS kind, count(*) AS n
+        FROM documents WHERE doc_id % 10 = 0 GROUP BY 1""",
 }
+
+# Articles and words of a whole cycle, from the twins of its branches.
+ORACLE["articles_by_source"] = (
+    "SELECT source, count(*) AS n, CAST(sum(word_count) AS BIGINT) AS words FROM ("
+    + " UNION ALL ".join(
+        f"SELECT source, word_count FROM ({ORACLE[name]})"
+        for name in (
+            "articles_title_wc",
+            "articles_news",
+            "articles_truncated",
+            "articles_fallback",
+            "articles_host",
+        )
+    )
+    + ") GROUP BY source"
+)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import casts, categories, html, text
 from tidemark.operators import articles, limits, preprocess, quality, scoring, unify
-from tidemark.plans import live, reports, tables
+from tidemark.operators.once import with_once
+from tidemark.plans import jobs, live, reports, tables
 from tidemark.sources import catalog, feeds, files, topics
 from tidemark.sources.session import run_folder
 from tidemark.streaming import pipelines
@@ -142,12 +143,11 @@ def top_products(spark, folder):
 
 @query
 def table_counts(spark, folder):
-    names = ["orders", "lineitem", "part", "events", "documents", "pages", "conversations"]
     counts = [
         tables.table(spark, folder, name)
         .agg(F.count("*").alias("n"))
         .select(F.lit(name).alias("table_name"), "n")
-        for name in names
+        for name in tables.TABLES
     ]
     return reduce(DataFrame.unionByName, counts)
 
@@ -165,49 +165,57 @@ def rollup_reports(spark, folder):
     files.write_parquet(reports.review_rollup(_all_reviews(spark, folder)), path)
     rollup = files.read_parquet(spark, path)
 
-    def rows(name, report, key, count, value):
+    def rows(name, report, key, n, part=None, value=None, share=None):
+        def measure(column, kind):
+            return F.lit(None).cast(kind) if column is None else F.col(column).cast(kind)
+
         return report.select(
             F.lit(name).alias("report"),
             F.concat_ws("/", *key).alias("key"),
-            F.col(count).alias("n"),
-            F.col(value).alias("value"),
+            F.col(n).alias("n"),
+            measure(part, "long").alias("part"),
+            measure(value, "double").alias("value"),
+            measure(share, "double").alias("share"),
         )
 
     parts = [
         rows(
             "by_source",
-            reports.reviews_by_source(rollup),
+            reports.reviews_by_source(rollup, rollup=True),
             ["source", "data_source"],
-            "positive_reviews",
-            "avg_rating",
+            "total_reviews",
+            part="positive_reviews",
+            value="avg_rating",
         ),
         rows(
             "daily",
-            reports.reviews_daily(rollup),
+            reports.reviews_daily(rollup, rollup=True),
             ["date", "data_source"],
             "daily_reviews",
-            "daily_avg_rating",
+            value="daily_avg_rating",
         ),
         rows(
             "satisfaction",
-            reports.satisfaction(rollup),
+            reports.satisfaction(rollup, rollup=True),
             ["satisfaction_level"],
             "count",
-            "percentage",
+            share="percentage",
         ),
         rows(
             "compare",
-            reports.compare_sources(rollup),
+            reports.compare_sources(rollup, rollup=True),
             ["data_source", "earliest_review", "latest_review"],
             "total_reviews",
-            "avg_rating",
+            value="avg_rating",
         ),
         rows(
             "performance",
-            reports.source_performance(rollup),
+            reports.source_performance(rollup, rollup=True),
             ["source"],
-            "categories_count",
-            "satisfaction_rate",
+            "total_reviews",
+            part="categories_count",
+            value="avg_rating",
+            share="satisfaction_rate",
         ),
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -225,39 +233,52 @@ def landed_csv_reviews(spark, folder):
     )
 
 
+def _landable(spark, folder):
+    """All reviews in the layout of the existing ones."""
+    existing, scraped = tables.review_sets(spark, folder)
+    return existing.unionByName(scraped.select(*existing.columns))
+
+
 @query
 def catalog_review_counts(spark, folder):
-    """Reviews per source, counted in a catalog table over a landed zone."""
+    """Reviews and their characters per source, from a catalog table over a landed zone."""
     root = run_folder(spark, "tables")
-    files.land(tables.review_sets(spark, folder)[0], root, "text", "existing")
+    files.land(_landable(spark, folder), root, "text", "existing")
     spark.sql("DROP TABLE IF EXISTS landed_reviews")
     spark.sql(
         f"CREATE TABLE landed_reviews ({catalog.REVIEWS_DDL}) USING csv "
         "OPTIONS (header 'true', quote '\"', escape '\"') "
         f"LOCATION '{files.zone_path(root, 'text', 'existing')}'"
     )
-    return reports.count_by(spark.table("landed_reviews"), "source")
+    landed = catalog.read_table(spark, "landed_reviews")
+    return landed.groupBy("source").agg(
+        F.count("*").alias("n"), F.sum(F.length("review_text")).alias("characters")
+    )
 
 
 @query
 def landed_line_count(spark, folder):
     """Text lines of a dataset landed as one line per review, without headers."""
     path = run_folder(spark, "lines")
-    files.write_csv(tables.review_sets(spark, folder)[0], path)
+    files.write_csv(_landable(spark, folder), path)
     return files.line_count(spark, path)
 
 
+@query
+def verified_write(spark, folder):
+    """Rows written and rows found when reading back."""
+    counts = quality.write_and_verify(_all_reviews(spark, folder), run_folder(spark, "verify"))
+    return spark.createDataFrame([counts], "written long, found long")
+
+
 @query
 def sample_texts(spark, folder):
-    return files.sample_texts(tables.review_sets(spark, folder)[0])
+    return files.sample_texts(_landable(spark, folder))
 
 
 @query
 def first_sample(spark, folder):
-    """The sample comes from the second source, since the first has no rows."""
-    existing, scraped = tables.review_sets(spark, folder)
-    nothing = existing.where(F.col("source") == "nowhere")
-    return files.first_sample([nothing, scraped], "no data")
+    return files.first_sample(list(tables.review_sets(spark, folder)), "no data")
 
 
 @query
@@ -467,7 +488,7 @@ def image_events(spark, folder):
 
 @query
 def articles_by_source(spark, folder):
-    """Articles of a whole cycle, counted per source."""
+    """Articles of a whole cycle and their words, per source."""
     items = tables.feed_items(spark, folder)
     cycle = articles.collect_cycle(
         articles.short_title_articles(items),
@@ -476,7 +497,30 @@ def articles_by_source(spark, folder):
         articles.long_content_articles(items),
         articles.aggregated_articles(tables.page_items(spark, folder)),
     )
-    return live.articles_by_source(cycle)
+    return cycle.groupBy("source").agg(
+        F.count("*").alias("n"), F.sum("word_count").alias("words")
+    )
+
+
+@query
+def ingest_all_entries(spark, folder):
+    """Every entry of every readable feed, by source; no id is missing."""
+    cycle = _cycle(spark, folder)
+    return cycle.articles.groupBy("source").agg(
+        F.count("*").alias("n"), F.countDistinct("id").alias("ids")
+    )
+
+
+@query
+def corrupt_feeds(spark, folder):
+    """Feeds that could not be read, by source."""
+    failures = _cycle(spark, folder).failures.where("reason IS NOT NULL")
+    return failures.groupBy("source", "kind").agg(F.count("*").alias("n"))
+
+
+def _cycle(spark, folder):
+    listings = spark.createDataFrame([], "source string, payload string")
+    return jobs.ingest(tables.feed_payloads(spark, folder), listings, seen_at=_seen())
 
 
 @query
@@ -487,6 +531,16 @@ def first_n_per_source(spark, folder):
     return limits.first_per_source(items, "position", caps, limits.OTHER_FEEDS_CAP)
 
 
+@query
+def first_n_large_cap(spark, folder):
+    """Caps beyond a thousand rows; one source holds half of them all."""
+    items = tables.table(spark, folder, "lineitem").select(
+        F.col("l_returnflag").alias("source"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("position"),
+    )
+    return limits.first_per_source(items, "position", {"N": 5000}, 2000)
+
+
 @query
 def rss_items(spark, folder):
     """Documents written as one-item feeds and read back."""
@@ -557,13 +611,7 @@ def json_roundtrip(spark, folder):
 @query
 def corrupt_messages(spark, folder):
     """Values cut off on the way, told apart from the readable ones."""
-    records = tables.topic_records(spark, folder)
-    damaged = records.withColumn(
-        "value",
-        F.when(F.col("value").contains('"source":"error"'), F.concat(F.lit("{"), "value"))
-        .otherwise(F.col("value")),
-    )
-    _, bad = topics.split_corrupt(topics.decode(damaged))
+    _, bad = topics.split_corrupt(topics.decode(tables.damaged_records(spark, folder)))
     return bad.select("topic", "key", F.substring(topics.CORRUPT, 1, 2).alias("start"))
 
 
@@ -582,19 +630,17 @@ def newest_messages(spark, folder):
 # --- live figures ---
 
 
-def _messages(spark, folder):
-    decoded, _ = topics.split_corrupt(topics.decode(tables.topic_records(spark, folder)))
-    return decoded
-
-
 @query
 def topic_stats(spark, folder):
-    return live.topic_stats(_messages(spark, folder), tables.as_of())
+    records = tables.topic_records(spark, folder)
+    decoded = topics.decode(records, fields=["source", "category", "scraped_at"])
+    messages, _ = topics.split_corrupt(decoded)
+    return live.topic_stats(messages, tables.as_of())
 
 
 @query
 def ingest_counters(spark, folder):
-    decoded = topics.decode(tables.topic_records(spark, folder))
+    decoded = topics.decode(tables.damaged_records(spark, folder), fields=["id"])
     return live.ingest_counters(decoded, F.col(topics.CORRUPT).isNotNull())
 
 
@@ -650,20 +696,30 @@ def latest_articles(spark, folder):
 
 @query
 def latest_images(spark, folder):
-    events = articles.image_events(tables.image_posts(spark, folder), seen_at=_seen())
-    return live.latest_images(events)
+    """The newest are taken before their titles are cleaned."""
+    posts = tables.image_posts(spark, folder).where(text.is_image_link("url"))
+    day = F.lpad((F.col("id").cast("long") % 28 + 1).cast("string"), 2, "0")
+    seen = F.concat(F.lit("2025-06-"), day, F.lit("T20:00:00.000000"))
+    # Spark moves a projection below a limit; it does not move one below a generator.
+    newest = with_once(limits.latest(posts, seen, 8, "id"), "newest", F.lit(True))
+    return live.image_cards(articles.image_events(newest, seen_at=seen))
 
 
 # --- scoring ---
 
 
 def length_scorer(requests: list[dict]) -> list[dict]:
-    """Stand-in model: long texts are positive, texts without a full stop fail."""
+    """Stand-in model: long texts are positive; every fifth turn of a conversation fails."""
     replies = []
     for request in requests:
         content = request["content"]
-        if "." not in content:
-            replies.append({"status": "error"})
+        if int(request["id"].rpartition("_")[2]) % 5 == 4:
+            replies.append({"status": "error", "error": "no answer for the fifth turn"})
+            continue
+        if request["task"] == "topic":
+            category = "long" if len(content) >= 200 else "short"
+            result = {"classification": {"category": category}}
+            replies.append({"status": "success", "result": result})
             continue
         label, confidence = ("POSITIVE", 0.9) if len(content) >= 200 else ("NEGATIVE", 0.6)
         sentiment = {"label": label, "confidence": confidence}
@@ -672,7 +728,12 @@ def length_scorer(requests: list[dict]) -> list[dict]:
 
 
 def paragraph_detector(content: bytes) -> list[dict]:
-    """Stand-in detector: every paragraph tag is an object at its byte offset."""
+    """Stand-in detector: every paragraph tag is an object at its byte offset.
+
+    Images whose size is a multiple of seven are unreadable.
+    """
+    if len(content) % 7 == 0:
+        raise ValueError("unreadable image")
     found, start = [], content.find(b"<p>")
     while start >= 0:
         box = [[float(start), 0.0, float(start + 3), 1.0]]
@@ -702,7 +763,7 @@ def ai_requests(spark, folder):
 
 @query
 def batch_requests(spark, folder):
-    requests = scoring.batch_requests(_all_reviews(spark, folder))
+    requests = scoring.batch_requests(_all_reviews(spark, folder), "orders")
     return requests.select(
         "data_type",
         "content",
@@ -723,9 +784,35 @@ def score_results(spark, folder):
         "status",
         "sentiment",
         "sentiment_confidence",
+        "topic",
+        "error",
     )
 
 
+@query
+def failed_requests(spark, folder):
+    return scoring.failures(_scored(spark, folder)).select("original_id", "error")
+
+
+@query
+def scored_tasks(spark, folder):
+    """A queue scored for sentiment, then for topics; each row shows the results of both."""
+    queue = tables.score_requests(spark, folder)
+    path = run_folder(spark, "results")
+    for task in ("sentiment", "topic"):
+        scoring.score_pending(queue.withColumn("task", F.lit(task)), length_scorer, path)
+    stored = scoring.with_analysis(scoring.read_results(spark, path))
+    joined = scoring.queue_with_results(queue.select("id"), stored)
+    return joined.select("id", "analysis_type", "sentiment", "topic")
+
+
+@query
+def pending_topics(spark, folder):
+    """No request for a second task is done by the results of the first."""
+    queue = tables.score_requests(spark, folder).withColumn("task", F.lit("topic"))
+    return scoring.pending(queue, tables.stored_results(spark, folder)).select("id", "task")
+
+
 @query
 def batch_success(spark, folder):
     return scoring.batch_success(_scored(spark, folder))
@@ -786,44 +873,88 @@ def stream_running_totals(spark, folder):
     """Running totals per source and category, kept by a stream."""
     run = run_folder(spark, "totals")
     totals = pipelines.running_totals(tables.as_messages(_event_stream(spark, folder)))
+    keys = ["topic", "source", "category"]
     pipelines.start_updates(
-        totals, f"{run}/totals", f"{run}/checkpoint", once=True
+        totals, f"{run}/totals", f"{run}/checkpoint", keys, once=True
     ).awaitTermination()
-    return pipelines.current_values(spark, f"{run}/totals", ["topic", "source", "category"])
+    return pipelines.current_values(spark, f"{run}/totals", keys)
 
 
 @query
 def stream_hourly_counts(spark, folder):
-    """Hours the watermark has closed: those that end an hour before the last event."""
+    """Count of every hour, the open ones included, kept by a stream."""
     run = run_folder(spark, "hours")
     timed = pipelines.with_event_time(tables.as_messages(_event_stream(spark, folder)))
-    pipelines.start_parquet(
-        pipelines.hourly_windows(timed), f"{run}/hours", f"{run}/checkpoint", once=True
+    pipelines.start_updates(
+        pipelines.hourly_windows(timed), f"{run}/hours", f"{run}/checkpoint", ["hour"], once=True
     ).awaitTermination()
-    hours = files.read_parquet(spark, f"{run}/hours")
+    hours = pipelines.current_values(spark, f"{run}/hours", ["hour"])
     return hours.select(F.date_format("hour", "yyyy-MM-dd HH:mm").alias("hour"), "n")
 
 
 @query
 def stream_last_hour(spark, folder):
-    """Count of the last hour at every five minutes, kept by a stream."""
+    """Count of the last hour at every five minutes, from bucket counts kept by a stream."""
     run = run_folder(spark, "sliding")
     timed = pipelines.with_event_time(tables.as_messages(_event_stream(spark, folder)))
     pipelines.start_updates(
-        pipelines.last_hour_windows(timed), f"{run}/sliding", f"{run}/checkpoint", once=True
+        pipelines.bucket_counts(timed),
+        f"{run}/buckets",
+        f"{run}/checkpoint",
+        ["bucket"],
+        once=True,
     ).awaitTermination()
-    counts = pipelines.current_values(spark, f"{run}/sliding", ["as_of"])
+    buckets = pipelines.current_values(spark, f"{run}/buckets", ["bucket"])
+    counts = pipelines.last_hour_counts(buckets)
     return counts.select(F.date_format("as_of", "yyyy-MM-dd HH:mm").alias("as_of"), "n")
 
 
+@query
+def stream_split(spark, folder):
+    """Readable and unreadable messages of a topic, landed side by side."""
+    run = run_folder(spark, "split")
+    records = tables.damaged_records(spark, folder).select("topic", "value")
+    files.write_parquet(records, f"{run}/topic")
+    stream = pipelines.stream_parquet(spark, f"{run}/topic", records.schema)
+    pipelines.start_split(
+        topics.decode(stream),
+        topics.CORRUPT,
+        f"{run}/good",
+        f"{run}/unreadable",
+        f"{run}/checkpoint",
+        once=True,
+    ).awaitTermination()
+    parts = [
+        files.read_parquet(spark, f"{run}/{kind}").select(F.lit(kind).alias("kind"), "topic")
+        for kind in ("good", "unreadable")
+    ]
+    return parts[0].unionByName(parts[1]).groupBy("kind", "topic").agg(F.count("*").alias("n"))
+
+
 @query
 def stream_deduplicated(spark, folder):
-    """Every message sent twice, landed once."""
+    """Messages landed once: sent twice, late and fresh in one batch, and without an id.
+
+    After the first batch the watermark is an hour before the last event. The second holds, for
+    every tenth message, a late copy of a new id and two fresh ones, and two copies without id.
+    """
     run = run_folder(spark, "unique")
-    messages = tables.as_messages(_event_stream(spark, folder))
+    messages = tables.event_messages(spark, folder)
     twice = messages.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("send"))
-    unique = pipelines.deduplicated(pipelines.with_event_time(twice))
-    pipelines.start_parquet(
-        unique.select("id", "source"), f"{run}/unique", f"{run}/checkpoint", once=True
-    ).awaitTermination()
+    tenth = messages.where(F.col("id").endswith("0"))
+    fresh = F.lit("2024-02-01T00:00:00.000000")
+    again = tenth.withColumn("id", F.concat(F.lit("again_"), "id"))
+    nameless = tenth.withColumns({"id": F.lit(None).cast("string"), "scraped_at": fresh})
+    late = again.withColumn("scraped_at", F.lit("2023-01-01T00:00:00.000000"))
+    fresh_rows = again.withColumn("scraped_at", fresh)
+    second = reduce(
+        DataFrame.unionByName, [late, fresh_rows, fresh_rows, nameless, nameless]
+    )
+    for batch in (twice.drop("send"), second):
+        files.write_parquet(batch, f"{run}/sent", mode="append")
+        stream = pipelines.stream_parquet(spark, f"{run}/sent", messages.schema)
+        unique = pipelines.deduplicated(pipelines.with_event_time(stream))
+        pipelines.start_parquet(
+            unique.select("id", "source"), f"{run}/unique", f"{run}/checkpoint", once=True
+        ).awaitTermination()
     return files.read_parquet(spark, f"{run}/unique")

@@ -26,7 +26,7 @@ def review_rollup(reviews: DataFrame) -> DataFrame:
         "source",
         "data_source",
         "category",
-        _day(reviews).alias("date"),
+        _day(False).alias("date"),
         to_double("rating").alias("rating"),
     ).agg(
         F.count("*").alias("n"),
@@ -35,11 +35,7 @@ def review_rollup(reviews: DataFrame) -> DataFrame:
     )
 
 
-# --- measures of reviews or of a rollup ---
-
-
-def _is_rollup(reviews: DataFrame) -> bool:
-    return "n" in reviews.columns
+# --- measures of reviews, or of a rollup of them where ``rollup`` says so ---
 
 
 def _rated(reviews: DataFrame) -> DataFrame:
@@ -47,23 +43,23 @@ def _rated(reviews: DataFrame) -> DataFrame:
     return reviews.withColumn("rating", to_double("rating"))
 
 
-def _day(reviews: DataFrame) -> Column:
-    return F.col("date") if _is_rollup(reviews) else F.col("timestamp").try_cast("date")
+def _day(rollup: bool) -> Column:
+    return F.col("date") if rollup else F.col("timestamp").try_cast("date")
 
 
-def _rows(reviews: DataFrame) -> Column:
-    return F.coalesce(F.sum("n"), F.lit(0)) if _is_rollup(reviews) else F.count("*")
+def _rows(rollup: bool) -> Column:
+    return F.coalesce(F.sum("n"), F.lit(0)) if rollup else F.count("*")
 
 
-def _rows_where(reviews: DataFrame, condition: Column) -> Column:
-    if _is_rollup(reviews):
+def _rows_where(rollup: bool, condition: Column) -> Column:
+    if rollup:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
     return F.count_if(condition)
 
 
-def _avg_rating(reviews: DataFrame) -> Column:
+def _avg_rating(rollup: bool) -> Column:
     rating = F.col("rating")
-    if _is_rollup(reviews):
+    if rollup:
         return F.sum(rating * F.col("n")) / F.sum(F.when(rating.isNotNull(), F.col("n")))
     return F.avg(rating)
 
@@ -77,39 +73,39 @@ def _share(part: Column, whole: Column) -> Column:
     return F.round(F.lit(100.0).cast("double") * part / whole, 1)
 
 
-def _positive(reviews: DataFrame) -> Column:
-    return _rows_where(reviews, to_int("rating") >= SATISFIED_FROM)
+def _positive(rollup: bool) -> Column:
+    return _rows_where(rollup, to_int("rating") >= SATISFIED_FROM)
 
 
 # --- review reports ---
 
 
-def reviews_by_source(reviews: DataFrame) -> DataFrame:
+def reviews_by_source(reviews: DataFrame, rollup: bool = False) -> DataFrame:
     reviews = _rated(reviews)
     return (
         reviews.groupBy("source", "data_source")
         .agg(
-            _rows(reviews).alias("total_reviews"),
-            _round(_avg_rating(reviews)).alias("avg_rating"),
-            _positive(reviews).alias("positive_reviews"),
+            _rows(rollup).alias("total_reviews"),
+            _round(_avg_rating(rollup)).alias("avg_rating"),
+            _positive(rollup).alias("positive_reviews"),
         )
         .orderBy(F.desc("total_reviews"), "source", "data_source")
     )
 
 
-def reviews_daily(reviews: DataFrame) -> DataFrame:
+def reviews_daily(reviews: DataFrame, rollup: bool = False) -> DataFrame:
     reviews = _rated(reviews)
     return (
-        reviews.groupBy(_day(reviews).alias("date"), "data_source")
+        reviews.groupBy(_day(rollup).alias("date"), "data_source")
         .agg(
-            _rows(reviews).alias("daily_reviews"),
-            _round(_avg_rating(reviews)).alias("daily_avg_rating"),
+            _rows(rollup).alias("daily_reviews"),
+            _round(_avg_rating(rollup)).alias("daily_avg_rating"),
         )
         .orderBy(F.desc("date"), "data_source")
     )
 
 
-def satisfaction(reviews: DataFrame) -> DataFrame:
+def satisfaction(reviews: DataFrame, rollup: bool = False) -> DataFrame:
     """Satisfaction levels with their share of all reviews.
 
     There are three levels, so all counts fit one global aggregate.  A rating that cannot be
@@ -117,9 +113,9 @@ def satisfaction(reviews: DataFrame) -> DataFrame:
     """
     reviews = _rated(reviews)
     counts = reviews.agg(
-        _positive(reviews).alias("high"),
-        _rows_where(reviews, to_int("rating") == NEUTRAL).alias("mid"),
-        _rows(reviews).alias("total"),
+        _positive(rollup).alias("high"),
+        _rows_where(rollup, to_int("rating") == NEUTRAL).alias("mid"),
+        _rows(rollup).alias("total"),
     )
     levels = counts.select(
         "total",
@@ -144,56 +140,55 @@ def satisfaction(reviews: DataFrame) -> DataFrame:
     )
 
 
-def compare_sources(reviews: DataFrame) -> DataFrame:
+def compare_sources(reviews: DataFrame, rollup: bool = False) -> DataFrame:
     """Existing against scraped; times are ISO text, whose order is the time order."""
     reviews = _rated(reviews)
     first, last = (
-        ("first_at", "last_at") if _is_rollup(reviews) else ("timestamp", "timestamp")
+        ("first_at", "last_at") if rollup else ("timestamp", "timestamp")
     )
     return reviews.groupBy("data_source").agg(
-        _rows(reviews).alias("total_reviews"),
-        _round(_avg_rating(reviews)).alias("avg_rating"),
+        _rows(rollup).alias("total_reviews"),
+        _round(_avg_rating(rollup)).alias("avg_rating"),
         F.min(first).alias("earliest_review"),
         F.max(last).alias("latest_review"),
     )
 
 
-def source_performance(reviews: DataFrame) -> DataFrame:
+def source_performance(reviews: DataFrame, rollup: bool = False) -> DataFrame:
     reviews = _rated(reviews)
     return (
         reviews.groupBy("source")
         .agg(
-            _rows(reviews).alias("total_reviews"),
-            _round(_avg_rating(reviews)).alias("avg_rating"),
-            _share(_positive(reviews), _rows(reviews)).alias("satisfaction_rate"),
+            _rows(rollup).alias("total_reviews"),
+            _round(_avg_rating(rollup)).alias("avg_rating"),
+            _share(_positive(rollup), _rows(rollup)).alias("satisfaction_rate"),
             F.countDistinct("category").alias("categories_count"),
         )
         .orderBy(F.desc("satisfaction_rate"), F.desc("total_reviews"), "source")
     )
 
 
-def avg_rating_by_category(reviews: DataFrame) -> DataFrame:
+def avg_rating_by_category(reviews: DataFrame, rollup: bool = False) -> DataFrame:
     reviews = _rated(reviews)
     return (
         reviews.groupBy("category")
-        .agg(_avg_rating(reviews).alias("avg_rating"))
+        .agg(_avg_rating(rollup).alias("avg_rating"))
         .orderBy("category")
     )
 
 
-def metric_summary(reviews: DataFrame, images: DataFrame) -> DataFrame:
+def metric_summary(reviews: DataFrame, images: DataFrame, rollup: bool = False) -> DataFrame:
     """Four headline metrics as (metric, value) text rows: one scan per table.
 
-    ``images`` may be the image rows or :func:`image_categories` of them.
+    With ``rollup`` the reviews are a rollup and ``images`` are :func:`image_categories`.
     """
     reviews = _rated(reviews)
     review_row = reviews.agg(
-        _rows(reviews).cast("string").alias("total_reviews"),
-        _round(_avg_rating(reviews)).cast("string").alias("avg_rating"),
+        _rows(rollup).cast("string").alias("total_reviews"),
+        _round(_avg_rating(rollup)).cast("string").alias("avg_rating"),
         F.countDistinct("source").cast("string").alias("unique_sources"),
     )
-    counted = "image_count" in images.columns
-    total = F.coalesce(F.sum("image_count"), F.lit(0)) if counted else F.count("*")
+    total = F.coalesce(F.sum("image_count"), F.lit(0)) if rollup else F.count("*")
     image_row = images.agg(total.cast("string").alias("total_images"))
 
     def as_rows(row: DataFrame) -> DataFrame:

@@ -14,6 +14,23 @@ SEEN_AT = "2025-06-22T20:00:00.000000"
 AS_OF = "2024-01-31T00:00:00"
 SPLIT_DATE = "1999-01-01"
 
+TABLES = [
+    "region",
+    "nation",
+    "customer",
+    "supplier",
+    "part",
+    "orders",
+    "lineitem",
+    "events",
+    "documents",
+    "embeddings",
+    "pages",
+    "benchmark",
+    "labels",
+    "conversations",
+]
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -36,7 +53,8 @@ def _reviews(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").cast("string").alias("review_id"),
         F.concat(
-            F.lit('He said "'), priority, F.lit('", order '), F.col("o_orderkey").cast("string")
+            # A quote, a comma and a line break, as in real reviews.
+            F.lit('He said "'), priority, F.lit('",\norder '), F.col("o_orderkey").cast("string")
         ).alias("review_text"),
         # Fractions and junk are part of what the reports must cope with.
         F.when(priority == "4-NOT SPECIFIED", "4.5")
@@ -204,6 +222,40 @@ def image_posts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+FEED_NAMES = {"src0": "hackernews", "src1": "bbc_technology", "src2": "techcrunch"}
+FEED_ITEMS = 20
+
+
+def feed_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as feeds of twenty items; every tenth is cut off and cannot be read."""
+    documents = table(spark, folder, "documents")
+    source = F.col("source")
+    for name, feed in FEED_NAMES.items():
+        source = F.when(F.col("source") == name, feed).otherwise(source)
+    number = F.col("doc_id").cast("string")
+    items = F.transform(
+        F.sequence(F.lit(1), F.lit(FEED_ITEMS)),
+        lambda i: F.concat(
+            F.lit("<item><title>Entry "),
+            i.cast("string"),
+            F.lit("</title><link>https://example.com/"),
+            number,
+            F.lit("/"),
+            i.cast("string"),
+            F.lit("</link><summary>All of it</summary></item>"),
+        ),
+    )
+    body = F.concat(
+        F.lit("<rss><channel>"), F.array_join(items, ""), F.lit("</channel></rss>")
+    )
+    return documents.select(
+        source.alias("source"),
+        F.concat(F.lit("https://"), "source", F.lit(".example.com/feed")).alias("feed_url"),
+        F.when(F.col("doc_id") % 10 == 0, F.lit("<rss><channel><item>cut")).otherwise(body)
+        .alias("payload"),
+    )
+
+
 # --- events ---
 
 
@@ -234,6 +286,14 @@ def topic_records(spark: SparkSession, folder: str) -> DataFrame:
     return encode(event_messages(spark, folder), F.col("topic"), F.lit(AS_OF))
 
 
+def damaged_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The records, with the values of the source ``error`` made unreadable."""
+    records = topic_records(spark, folder)
+    is_bad = F.col("value").contains('"source":"error"')
+    broken = F.when(is_bad, F.concat(F.lit("{"), "value")).otherwise(F.col("value"))
+    return records.withColumn("value", broken)
+
+
 # --- scoring ---
 
 

@@ -112,6 +112,7 @@ RSS_ITEM = StructType(
         StructField("title", StringType()),
         StructField("link", StringType()),
         StructField("description", StringType()),
+        StructField("summary", StringType()),
         StructField("content:encoded", StringType()),
         StructField("category", ArrayType(StringType())),
         StructField("pubDate", StringType()),
@@ -195,7 +196,10 @@ IA_RESULTS = StructType(
         StructField("processed_at", StringType()),
     ]
 )
-SCORED = StructType(IA_RESULTS.fields + [StructField("status", StringType())])
+SCORED = StructType(
+    IA_RESULTS.fields
+    + [StructField("status", StringType()), StructField("error", StringType())]
+)
 
 # Shape of the JSON kept in ``ia_results.result``.
 ANALYSIS = StructType(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schemas import IA_RESULTS
-from tidemark.sources.files import zone_path
+from tidemark.sources.files import with_line_breaks, zone_path
 
 DATABASE = "analytics"
 
@@ -59,6 +59,11 @@ def save_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     )
 
 
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """A catalog table over a CSV zone, with the line breaks of its texts put back."""
+    return with_line_breaks(spark.table(table))
+
+
 def show_tables(spark: SparkSession, database: str = DATABASE) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}")
 

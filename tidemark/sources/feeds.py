@@ -45,20 +45,24 @@ def corrupt_payloads(decoded: DataFrame) -> DataFrame:
 
 
 def _keep(payloads: DataFrame) -> list[Column]:
-    return [F.col(name) for name in payloads.columns if name != "payload"]
+    return [F.col(name) for name in payloads.columns if name not in ("payload", "feed")]
 
 
 def rss_items(payloads: DataFrame) -> DataFrame:
     """One row per feed item, with its position in the feed."""
-    items = decode_rss(payloads).select(
-        *_keep(payloads), F.posexplode("feed.channel.item").alias("position", "item")
-    )
+    return feed_items(decode_rss(payloads))
+
+
+def feed_items(decoded: DataFrame) -> DataFrame:
+    """The items of decoded feeds."""
+    kept = _keep(decoded)
+    items = decoded.select(*kept, F.posexplode("feed.channel.item").alias("position", "item"))
     return items.select(
-        *_keep(payloads),
+        *kept,
         "position",
         F.col("item.title").alias("title"),
         F.col("item.link").alias("link"),
-        F.col("item.description").alias("description"),
+        F.coalesce("item.description", "item.summary").alias("description"),
         F.col("item.`content:encoded`").alias("content"),
         F.col("item.category").alias("tags"),
         F.col("item.pubDate").alias("published"),
@@ -67,7 +71,11 @@ def rss_items(payloads: DataFrame) -> DataFrame:
 
 def listing_posts(payloads: DataFrame) -> DataFrame:
     """One row per post of a listing, with its position."""
-    posts = decode_listing(payloads).select(
-        *_keep(payloads), F.posexplode("feed.data.children").alias("position", "child")
-    )
-    return posts.select(*_keep(payloads), "position", "child.data.*")
+    return post_rows(decode_listing(payloads))
+
+
+def post_rows(decoded: DataFrame) -> DataFrame:
+    """The posts of decoded listings."""
+    kept = _keep(decoded)
+    posts = decoded.select(*kept, F.posexplode("feed.data.children").alias("position", "child"))
+    return posts.select(*kept, "position", "child.data.*")

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -23,11 +23,50 @@ ZONES = {
     ("processed", "queue"): "data/test/api_queue",
     ("processed", "rollup"): "data/analytics/review_rollup",
     ("processed", "images"): "data/analytics/image_categories",
+    ("streaming", "unreadable"): "data/streaming/unreadable",
+    ("live", "totals"): "data/live/totals",
+    ("live", "buckets"): "data/live/buckets",
     ("results", "ia"): "data/ia_results",
+    ("results", "failed"): "data/ia_failed",
     ("results", "summary"): "data/analytics_summary",
 }
 
 
+# A line break inside a CSV field is written as this mark and a letter, so that
+# files can be split at line breaks.
+MARK = "\x1b"
+BREAKS = {"\n": "n", "\r": "r"}
+
+
+def _string_columns(schema: StructType) -> list[str]:
+    return [field.name for field in schema.fields if field.dataType == StringType()]
+
+
+def with_marked_breaks(df: DataFrame) -> DataFrame:
+    """Text columns on one line each."""
+
+    def marked(name: str) -> Column:
+        text = F.replace(F.col(name), F.lit(MARK), F.lit(f"{MARK}e"))
+        for char, letter in BREAKS.items():
+            text = F.replace(text, F.lit(char), F.lit(MARK + letter))
+        return F.when(F.col(name).rlike(f"[{MARK}\n\r]"), text).otherwise(F.col(name))
+
+    return df.withColumns({name: marked(name) for name in _string_columns(df.schema)})
+
+
+def with_line_breaks(df: DataFrame) -> DataFrame:
+    """Undo :func:`with_marked_breaks`; text without the mark is passed on as it is."""
+
+    def plain(name: str) -> Column:
+        text = F.col(name)
+        for char, letter in BREAKS.items():
+            text = F.replace(text, F.lit(MARK + letter), F.lit(char))
+        text = F.replace(text, F.lit(f"{MARK}e"), F.lit(MARK))
+        return F.when(F.col(name).contains(MARK), text).otherwise(F.col(name))
+
+    return df.withColumns({name: plain(name) for name in _string_columns(df.schema)})
+
+
 def zone_path(root: str, kind: str, origin: str) -> str:
     return f"{root.rstrip('/')}/{ZONES[kind, origin]}"
 
@@ -41,9 +80,10 @@ def read_csv(
     """Headered CSV with a fixed schema; quotes are escaped by doubling them.
 
     ``enforceSchema`` is off, so a file whose header does not fit fails instead of being
-    mapped by position.  ``DROPMALFORMED`` leaves out blank and short rows.
+    mapped by position.  ``DROPMALFORMED`` leaves out blank and short rows.  Line breaks that
+    :func:`write_csv` has marked are put back.
     """
-    return (
+    rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("quote", '"')
@@ -52,6 +92,7 @@ def read_csv(
         .option("mode", mode)
         .csv(path)
     )
+    return with_line_breaks(rows)
 
 
 def read_complete_rows(
@@ -137,15 +178,18 @@ def sample_texts(reviews: DataFrame, rows: int = 3) -> DataFrame:
 def read_or_else(
     primary: Callable[[], DataFrame], fallback: Callable[[], DataFrame]
 ) -> DataFrame:
-    """``primary()``, or ``fallback()`` when its path is missing or it has no row."""
+    """``primary()``, or ``fallback()`` when its path is missing or it has no row.
+
+    The column ``origin`` says which: stand-in rows never pass for real ones.
+    """
     try:
         frame = primary()
         if not frame.isEmpty():
-            return frame
+            return frame.withColumn("origin", F.lit("primary"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    return fallback()
+    return fallback().withColumn("origin", F.lit("fallback"))
 
 
 def first_sample(
@@ -169,32 +213,6 @@ def first_sample(
     return best.select(F.substring("review_text", 1, size).alias("sample"))
 
 
-def fallback_reviews(spark: SparkSession) -> DataFrame:
-    """Stand-in product reviews: twenty rows."""
-    # Scores of the stand-in reviews.
-    scores = [5, 1, 3, 5, 2, 5, 3, 5, 2, 5, 4, 3, 2, 5, 1, 4, 5, 3, 2, 4]
-    number = F.col("id") + 1
-    return spark.range(len(scores)).select(
-        number.cast("int").alias("Id"),
-        F.concat(F.lit("B00"), number, F.lit("E4KFG0")).alias("ProductId"),
-        F.get(F.lit(scores), F.col("id").cast("int")).alias("Score"),
-        F.concat(F.lit("Review "), number).alias("Summary"),
-        F.concat(F.lit("Sample review text "), number).alias("Text"),
-    )
-
-
-def fallback_images(spark: SparkSession) -> DataFrame:
-    """Stand-in image metadata: fifteen rows over five categories."""
-    # Categories of the stand-in images.
-    categories = ["nature", "animal", "vehicle", "building", "food"]
-    number = F.col("id") + 1
-    return spark.range(3 * len(categories)).select(
-        number.cast("int").alias("image_id"),
-        F.concat(F.lit("image_"), number, F.lit(".jpg")).alias("filename"),
-        F.get(F.lit(categories), (F.col("id") % len(categories)).cast("int")).alias("category"),
-    )
-
-
 # --- folders ---
 
 
@@ -242,11 +260,16 @@ def land(df: DataFrame, root: str, kind: str, origin: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
+    """One line per row: line breaks inside a field are marked."""
     (
-        df.write.mode("overwrite")
+        with_marked_breaks(df)
+        .write.mode("overwrite")
         .option("header", header)
         .option("quote", '"')
         .option("escape", '"')
+        # Spaces at the ends of a field are part of it.
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import importlib.util
 import io
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import base64_line
@@ -16,21 +15,17 @@ from tidemark.sources.files import list_files
 IMAGE_PATTERN = "*.{jpg,png}"
 
 
-def image_listing(spark: SparkSession, path: str, limit: int | None = 100) -> DataFrame:
-    """File name, category (parent folder), path and size in KB of the images of a folder.
+def image_listing(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """Id, file name, category (parent folder), path and size in KB of the images of a folder.
 
-    The first ``limit`` paths get running numbers as ids.  Without a limit the id is a hash
-    of the path, since numbering everything would need one task to see every row.
+    The id is a hash of the path.  ``limit`` takes the first paths only.
     """
     files = list_files(spark, path, IMAGE_PATTERN)
-    if limit is None:
-        identity = F.sha2("path", 256)
-    else:
+    if limit is not None:
         files = files.orderBy("path").limit(limit)
-        identity = F.row_number().over(Window.orderBy("path")).cast("string")
     parts = F.split("path", "/")
     return files.select(
-        identity.alias("image_id"),
+        F.sha2("path", 256).alias("image_id"),
         F.element_at(parts, -1).alias("filename"),
         F.element_at(parts, -2).alias("category"),
         "path",
@@ -48,10 +43,6 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def can_resize() -> bool:
-    return importlib.util.find_spec("PIL") is not None
-
-
 def _bounded_jpeg(side: int):
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from PIL import Image
@@ -73,13 +64,14 @@ def _bounded_jpeg(side: int):
     return encode
 
 
-def encode_images(df: DataFrame, side: int = 800, resize: bool | None = None) -> DataFrame:
-    """Base64 of the images in ``content``; unreadable ones are left out.
+def encode_images(df: DataFrame, resize: bool, side: int = 800) -> DataFrame:
+    """Base64 of the images in ``content``.
 
-    With Pillow on the cluster, images are first shrunk into a ``side`` x ``side`` box and
-    stored as JPEG.  Without it the bytes are encoded as they are and only empty files drop.
+    With ``resize`` images are first shrunk into a ``side`` x ``side`` box and stored as JPEG,
+    and unreadable ones are left out; the executors need Pillow.  Without it the bytes
+    are encoded as they are and only empty files drop.
     """
-    if can_resize() if resize is None else resize:
+    if resize:
         df = df.mapInPandas(_bounded_jpeg(side), df.schema)
     usable = df.where(F.octet_length("content") > 0)
     return usable.withColumns({"content": base64_line("content"), "format": F.lit("base64")})

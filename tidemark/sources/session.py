@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+RUNS = "tidemark-runs"
 
 
 # Settings the jobs are laid out for; everything else is left to the cluster.
@@ -62,4 +64,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new, never used path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{RUNS}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_runs(spark: SparkSession, older_than_seconds: float) -> int:
+    """Remove the run folders that have not changed for so long; how many there were.
+
+    Frames that still read such a folder stop working, so give it longer than any job takes.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{RUNS}")
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(root):
+        return 0
+    oldest = (time.time() - older_than_seconds) * 1000
+    old = [s for s in store.listStatus(root) if s.getModificationTime() <= oldest]
+    for status in old:
+        store.delete(status.getPath(), True)
+    return len(old)

@@ -6,6 +6,8 @@ same code runs on Kafka, on landed files and in tests.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -57,11 +59,18 @@ def stream_topics(
     return reader.load()
 
 
-def decode(records: DataFrame, schema: StructType = schemas.MESSAGE) -> DataFrame:
+def decode(
+    records: DataFrame,
+    schema: StructType = schemas.MESSAGE,
+    fields: Sequence[str] | None = None,
+) -> DataFrame:
     """Topic, key and position of each record and the fields of its JSON value.
 
-    Values that are no JSON object keep their text in the corrupt column.
+    Only ``fields`` are parsed, if given.  Values that are no JSON object keep their text in the
+    corrupt column.
     """
+    if fields is not None:
+        schema = StructType([field for field in schema.fields if field.name in fields])
     value = F.col("value").cast("string")
     # The key is taken from the record; a message's own fields follow.
     place = [

@@ -7,9 +7,8 @@ five minutes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -21,6 +20,9 @@ from tidemark.sources.topics import IMAGES_TOPIC, TEXT_TOPIC
 
 CYCLE = "300 seconds"
 LATENESS = "1 hour"
+BUCKET = "5 minutes"
+# Versions of the current values that are kept side by side; readers take the newest rows.
+VERSIONS = 4
 
 
 # --- sources ---
@@ -54,25 +56,19 @@ def with_event_time(messages: DataFrame, when: Column | str = "scraped_at") -> D
     return messages.withColumn("event_time", moment.cast("timestamp"))
 
 
-def _first_of_batch(position: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            repeated = batch.column(position).to_pandas().duplicated()
-            yield batch.filter(pa.array(~repeated))
-
-    return run
-
-
 def deduplicated(messages: DataFrame, delay: str = LATENESS, key: str = "id") -> DataFrame:
     """Each id once within ``delay``, which must exceed the time between two re-sends.
 
-    Copies inside one Arrow batch are dropped before the shuffle by id, so that an id sent
-    very often does not bring all its copies to one task.
+    Rows behind the watermark are dropped first, so a late copy never hides a fresh one: nothing
+    may be dropped before that.  A message without an id is a copy only of one that is equal in
+    every column.  All copies of an id go to the task that keeps its state, as rows that stream
+    by; the state is one row per id.
     """
-    thinned = messages.mapInArrow(
-        _first_of_batch(messages.columns.index(key)), messages.schema
-    )
-    return thinned.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([key])
+    named = F.concat(F.lit("id:"), F.col(key).cast("string"))
+    unnamed = F.concat(F.lit("row:"), F.xxhash64(*messages.columns).cast("string"))
+    keyed = messages.withColumn("_copy_of", F.coalesce(named, unnamed))
+    kept = keyed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["_copy_of"])
+    return kept.drop("_copy_of")
 
 
 def running_totals(messages: DataFrame) -> DataFrame:
@@ -97,15 +93,26 @@ def hourly_windows(messages: DataFrame, delay: str = LATENESS) -> DataFrame:
     )
 
 
-def last_hour_windows(
-    messages: DataFrame, slide: str = "5 minutes", delay: str = LATENESS
+def bucket_counts(
+    messages: DataFrame, bucket: str = BUCKET, delay: str = LATENESS
 ) -> DataFrame:
-    """Messages of the hour before each slide boundary."""
+    """Messages per bucket of time.  Each message is one row of one bucket."""
     return (
         messages.withWatermark("event_time", delay)
-        .groupBy(F.window("event_time", "1 hour", slide).alias("w"))
+        .groupBy(F.window("event_time", bucket).alias("w"))
         .agg(F.count("*").alias("n"))
-        .select(F.col("w.end").alias("as_of"), "n")
+        .select(F.col("w.start").alias("bucket"), "n")
+    )
+
+
+def last_hour_counts(buckets: DataFrame, bucket: str = BUCKET) -> DataFrame:
+    """Messages of the hour before the end of each bucket, from the current bucket counts."""
+    step = F.expr(f"INTERVAL {bucket}")
+    ends = F.sequence(F.col("bucket") + step, F.col("bucket") + F.expr("INTERVAL 1 HOUR"), step)
+    return (
+        buckets.select(F.explode(ends).alias("as_of"), "n")
+        .groupBy("as_of")
+        .agg(F.sum("n").alias("n"))
     )
 
 
@@ -145,27 +152,46 @@ def start_landing(
     return start_parquet(preprocess_news(news, now), path, checkpoint, once)
 
 
-def _write_epoch(path: str) -> Callable[[DataFrame, int], None]:
+def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The row of the last epoch of every group, with its epoch."""
+    values = [name for name in rows.columns if name not in (*keys, "epoch")]
+    best = F.max_by(F.struct(*values), "epoch").alias("best")
+    return rows.groupBy(*keys).agg(best, F.max("epoch").alias("epoch")).select(
+        *keys, "best.*", "epoch"
+    )
+
+
+def _merge_epoch(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, epoch: int) -> None:
-        # A repeated batch replaces its own folder, so a restart does not count twice.
-        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        rows = batch.withColumn("epoch", F.lit(epoch).cast("long"))
+        if epoch > 0:
+            last = f"{path}/version={(epoch - 1) % VERSIONS}"
+            known = batch.sparkSession.read.schema(rows.schema).parquet(last)
+            rows = _newest(known.unionByName(rows), keys)
+        # A repeated batch starts from the same version and replaces its own, so a restart does
+        # not count twice.
+        rows.write.mode("overwrite").parquet(f"{path}/version={epoch % VERSIONS}")
 
     return write
 
 
 def start_updates(
-    df: DataFrame, path: str, checkpoint: str, once: bool = False
+    df: DataFrame, path: str, checkpoint: str, keys: list[str], once: bool = False
 ) -> StreamingQuery:
-    """Write the groups that changed in each batch, one folder per batch."""
-    writer = df.writeStream.outputMode("update").foreachBatch(_write_epoch(path))
+    """Keep the current row of every group (``keys``) below ``path``.
+
+    Each batch merges its changed groups into the last version and writes the next; VERSIONS of
+    them take turns, so the folder holds a fixed number of rows per group however long it runs.
+    A new checkpoint needs a new path.
+    """
+    writer = df.writeStream.outputMode("update").foreachBatch(_merge_epoch(path, keys))
     return _triggered(writer.option("checkpointLocation", checkpoint), once).start()
 
 
 def current_values(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """The latest row of every group that :func:`start_updates` wrote."""
-    rows = spark.read.parquet(path)
-    values = [name for name in rows.columns if name not in (*keys, "epoch")]
-    return rows.groupBy(*keys).agg(*[F.max_by(name, "epoch").alias(name) for name in values])
+    rows = spark.read.parquet(path).drop("version")
+    return _newest(rows, keys).drop("epoch")
 
 
 def start_split(
@@ -175,18 +201,24 @@ def start_split(
     bad_path: str,
     checkpoint: str,
     once: bool = False,
+    prepare: Callable[[DataFrame], DataFrame] = lambda good: good,
 ) -> StreamingQuery:
-    """Land readable messages, and unreadable ones next to them, from one read."""
+    """Land readable messages as ``prepare`` makes them, and unreadable ones next to them.
+
+    Both come from one read of the topic; a repeated batch replaces its own folders.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch.persist()
-        bad = F.col(corrupt).isNotNull()
-        good_rows = batch.where(~bad).drop(corrupt)
-        good_rows.write.mode("overwrite").parquet(f"{good_path}/epoch={epoch}")
-        batch.where(bad).select("topic", corrupt).write.mode("overwrite").parquet(
-            f"{bad_path}/epoch={epoch}"
-        )
-        batch.unpersist()
+        try:
+            bad = F.col(corrupt).isNotNull()
+            good_rows = prepare(batch.where(~bad).drop(corrupt))
+            good_rows.write.mode("overwrite").parquet(f"{good_path}/epoch={epoch}")
+            batch.where(bad).select("topic", corrupt).write.mode("overwrite").parquet(
+                f"{bad_path}/epoch={epoch}"
+            )
+        finally:
+            batch.unpersist()
 
     writer = decoded.writeStream.foreachBatch(write)
     return _triggered(writer.option("checkpointLocation", checkpoint), once).start()
