@@ -16,7 +16,10 @@ from tidemark.schemas import CORRUPT
 
 
 def read_payloads(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """One row per file below ``path``; the parent folder names the source."""
+    """One row per file below ``path``; the parent folder names the source.
+
+    A file is one value, so this is for feeds, which fit a task.
+    """
     files = spark.read.text(
         path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern
     )
