@@ -44,21 +44,25 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, with the number of copies that each has in it.
 
-    Adds size, source_size, target, copies and taken to the columns of ``docs``. Rows that share
-    doc_id and size are one document here, which takes their copies together.
+    Adds size, source_size, target, copies and taken to the columns of ``docs``. Rows that agree in
+    doc_id, source and text are one document here, which takes their copies together. Texts are
+    shuffled once, to meet their copies.
     """
-    keys = ["doc_id", "size"]
-    mixed = mixing.mix(docs).where("copies > 0").groupBy(*keys)
+    content = [F.col(c) for c in ("doc_id", "source", "text")]
+    keyed = docs.withColumns(
+        {"_key": F.xxhash64(*content), "_twin": F.xxhash64(F.lit("twin"), *content)}
+    )
+    mixed = mixing.mix(keyed.select(F.col("_key").alias("doc_id"), "source", "text"))
+    mixed = mixed.where("copies > 0").groupBy(F.col("doc_id").alias("_key"))
     mixed = mixed.agg(
+        F.first("size").alias("size"),
         F.first("source_size").alias("source_size"),
         F.first("target").alias("target"),
         F.sum("copies").cast("int").alias("copies"),
         F.sum("taken").alias("taken"),
     )
-    mixed = saved(mixed, "mixed").withColumnsRenamed({k: f"_{k}" for k in keys})
-    sized = docs.withColumn("size", mixing.document_size()).dropDuplicates(keys)
-    same = sized["doc_id"].eqNullSafe(mixed["_doc_id"]) & (sized["size"] == mixed["_size"])
-    return sized.join(mixed, same).drop("_doc_id", "_size")
+    taken = keyed.join(saved(mixed, "mixed"), "_key").dropDuplicates(["_key", "_twin"])
+    return taken.drop("_key", "_twin")
 
 
 STAGES = [
