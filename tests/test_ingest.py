@@ -256,7 +256,16 @@ def test_cycle_of_all_feeds(spark):
         [("reddit_technology", listing), ("EarthPorn", listing)],
         "source string, payload string",
     )
-    texts, images = jobs.ingest(rss, listings, seen())
+    whole = jobs.ingest(rss, listings, seen())
+    assert {r.source: r.n for r in live.articles_by_source(whole.articles).collect()} == {
+        "hackernews": 40,
+        "reddit_technology": 30,
+        "bbc_technology": 40,
+        "techcrunch": 40,
+        "rss.c.org": 40,
+    }
+    texts, images, failures = jobs.ingest(rss, listings, seen(), cap=limits.feed_cap())
+    assert [(r.source, r.kind) for r in failures.collect()] == [("hackernews", "rss")]
     assert {r.source: r.n for r in live.articles_by_source(texts).collect()} == {
         "hackernews": 15,
         "reddit_technology": 12,
