@@ -260,3 +260,66 @@ def test_search_takes_repeats_and_empty_tables(spark):
     ]
     assert decontam.contaminated(docs, benchmark.limit(0)).collect() == []
     assert decontam.contaminated(frame_of(spark, []), benchmark).collect() == []
+
+
+def edited_between(rng, item, edits, low, high):
+    """``item`` with its words of a range replaced, cut and added to, ``edits`` in all."""
+    places = sorted(rng.sample(range(low, high), min(edits, high - low)), reverse=True)
+    out = list(item)
+    for at in places:
+        kind = rng.randrange(3)
+        out[at : at + 1] = [[f"typo{rng.getrandbits(40)}"], [], [out[at], f"more{rng.getrandbits(40)}"]][kind]
+    return out
+
+
+def test_search_finds_edits_at_the_limit_wherever_they_lie(spark):
+    rng = random.Random(23)
+    items = [words_of(rng, n, 5000) for n in (5, 9, 10, 16, 31, 59, 100, 127, 250)]
+    docs, expected = [], {}
+    for number, item in enumerate(items):
+        n, edits = len(item), decontam.allowed(len(item))
+        copies = [item[edits:], item[:-edits], item[: n // 2] + item[n // 2 + edits :]]
+        copies += [[f"new{i}" for i in range(edits)] + item[edits:]]
+        copies += [item[:-edits] + [f"new{i}" for i in range(edits)]]
+        part = max(edits, n * 9 // 20)
+        for low in (0, (n - part) // 2, n - part):
+            copies += [edited_between(rng, item, edits, low, low + part) for _ in range(6)]
+        copies += [edited_between(rng, item, edits, 0, n) for _ in range(6)]
+        for copy in copies:
+            around = [words_of(rng, rng.randrange(40), 5000) for _ in range(2)]
+            text = [*around[0], *copy, *around[1]]
+            own = [p for w in text for p in w.replace(".", " ").split()]
+            least = least_edits(item, own)
+            if least <= edits:
+                expected[len(docs), number] = least
+            docs.append((len(docs), " ".join(text)))
+    assert len(expected) > 0.8 * len(docs)
+    benchmark = [(i, " ".join(item)) for i, item in enumerate(items)]
+    benchmark = spark.createDataFrame(benchmark, "item_id long, text string")
+    result = decontam.contaminated(frame_of(spark, docs), benchmark).collect()
+    found = {(r.doc_id, r.item_id): r.distance for r in result}
+    assert found == expected
+
+
+def test_search_equals_brute_force_on_phrases_that_items_share(spark):
+    rng = random.Random(29)
+    heading = words_of(rng, 8, 40)
+    items = [heading + words_of(rng, rng.randrange(1, 40), 40) for _ in range(25)]
+    items += [words_of(rng, n, 40) for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11)]
+    docs = []
+    for _ in range(60):
+        item = rng.choice(items)
+        copy = edited(rng, item, decontam.allowed(len(item)) + rng.randrange(2))
+        copy = [w.replace(".", "") for w in copy]
+        docs.append([*words_of(rng, 60, 40), *heading, *copy, *words_of(rng, 200, 40)])
+    expected = {}
+    for doc, text in enumerate(docs):
+        for number, item in enumerate(items):
+            least = least_edits(item, text)
+            if least <= decontam.allowed(len(item)):
+                expected[doc, number] = least
+    benchmark = [(i, " ".join(item)) for i, item in enumerate(items)]
+    benchmark = spark.createDataFrame(benchmark, "item_id long, text string")
+    frame = frame_of(spark, [(i, " ".join(text)) for i, text in enumerate(docs)])
+    result = decontam.contaminated(frame, benchmark).collect()
+    assert {(r.doc_id, r.item_id): r.distance for r in result} == expected

@@ -7,22 +7,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
 from tidemark.llm.common import saved
 
 SIMILARITY = 0.8
-REPEATS = 24
-SAMPLES = 3
-SEED = 11
 # Bits of a bitmap of hashes: 2 MB each, however large the benchmark is.
 BITS = 1 << 24
 BUCKET = 1 << 15
 LONG_ITEM = 10
 GRAM = 3
-_END = np.uint64(0x5851F42D4C957F2D)
+# Starts of possible matches that leave the scan as one window, in units of the longest match.
+WINDOW = 2
 
 
 def allowed(length: int, similarity: float = SIMILARITY) -> int:
@@ -43,48 +41,16 @@ def gram_rule(length: int, similarity: float) -> tuple[int, int]:
     return min(length // (edits + 1), GRAM + 1), 1
 
 
-def walk_length(length: int) -> int:
-    """Steps of the walk that are sampled for an item: 1.5 times its length class."""
-    return max(1, 3 * (1 << (length.bit_length() - 1)) // 2)
+def seed_rule(length: int, similarity: float) -> tuple[int, int]:
+    """(grams, step): of an item's grams at every ``step`` words, so many cannot all be edited.
 
-
-def _random(*key: int) -> np.random.Generator:
-    return np.random.default_rng([SEED, *key])
-
-
-def _multipliers(repeat: int, steps: int) -> np.ndarray:
-    return _random(repeat).integers(0, 1 << 63, steps, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def _sampled(repeat: int, steps: int) -> np.ndarray:
-    return np.sort(_random(repeat, steps).integers(0, steps, SAMPLES))
-
-
-def embed(
-    symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, repeat: int, lengths: list[int]
-) -> list[np.ndarray]:
-    """Sampled symbols of the random walks from ``starts``, hashed: one key array per length.
-
-    A walk reads its current word at every step and moves on by one word or by none, as a random
-    bit of (step, word) says. Two texts that differ by few edits fall into step again after each,
-    so their walks differ in few steps; a key holds the words of a few sampled steps.
+    ``d`` edits touch at most ``q * d`` overlapping grams, or ``d`` of the pieces of a short item.
     """
-    most = max(lengths)
-    odd = _multipliers(repeat, most)
-    position = starts.copy()
-    picks = {length: _sampled(repeat, length) for length in lengths}
-    keys = {
-        length: np.full(len(starts), np.uint64(repeat * 1000003 + length), np.uint64)
-        for length in lengths
-    }
-    for step in range(most):
-        inside = position < ends
-        word = np.where(inside, symbols[np.minimum(position, len(symbols) - 1)], _END)
-        for length in lengths:
-            for _ in range(int((picks[length] == step).sum())):
-                keys[length] = words.mixed(keys[length] ^ words.mixed(word + np.uint64(step)))
-        position += ((word * odd[step]) >> np.uint64(63)).astype(np.int64)
-    return [keys[length] for length in lengths]
+    edits = allowed(length, similarity)
+    q, shared = gram_rule(length, similarity)
+    if length >= LONG_ITEM and length - GRAM + 1 - GRAM * edits >= 1:
+        return q * edits + 1, 1
+    return edits + 1, length // (edits + 1)
 
 
 def grams(hashes: np.ndarray, owner: np.ndarray, size: int) -> np.ndarray:
@@ -106,7 +72,7 @@ def _text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _item_rows(similarity: float):
-    """One row per item: its words, gram rule, gram hashes and keys."""
+    """One row per item: its words, gram and seed rules, and gram hashes by position."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,15 +85,13 @@ def _item_rows(similarity: float):
                     if not len(own):
                         continue
                     q, shared = gram_rule(len(own), similarity)
-                    steps, zero = walk_length(len(own)), np.zeros(1, np.int64)
-                    end = np.array([len(own)])
-                    keys = [embed(own, zero, end, r, [steps])[0][0] for r in range(REPEATS)]
-                    item_grams = grams(own, np.zeros(len(own)), q)
+                    n_seeds, step = seed_rule(len(own), similarity)
+                    item_grams = grams(own, np.zeros(len(own)), q)[: len(own) - q + 1]
                     rows.append(
                         (
-                            batch.column("item_id")[first + i].as_py(), len(own), q, shared, steps,
-                            own.view(np.int64), item_grams[item_grams != 0].view(np.int64),
-                            np.array(keys, np.uint64).view(np.int64),
+                            batch.column("item_id")[first + i].as_py(),
+                            len(own) + allowed(len(own), similarity), q, shared, n_seeds, step,
+                            own.view(np.int64), item_grams.view(np.int64),
                         )
                     )
                 if rows:
@@ -140,14 +104,27 @@ def _item_rows(similarity: float):
 
 
 _LIST = pa.list_(pa.int64())
-_ITEM_NAMES = ["item_id", "n_words", "q", "shared", "steps", "words", "grams", "keys"]
-_ITEM_TYPES = [pa.int64(), *[pa.int32()] * 4, _LIST, _LIST, _LIST]
+_ITEM_NAMES = ["item_id", "reach", "q", "shared", "n_seeds", "step", "words", "grams"]
+_ITEM_TYPES = [pa.int64(), *[pa.int32()] * 5, _LIST, _LIST]
 _ITEM_SCHEMA = (
-    "item_id long, n_words int, q int, shared int, steps int, "
-    "words array<long>, grams array<long>, keys array<long>"
+    "item_id long, reach int, q int, shared int, n_seeds int, step int, "
+    "words array<long>, grams array<long>"
 )
 
 
+def seeds(items: DataFrame) -> DataFrame:
+    """(item, q, gram): of every item, the grams of which any match has one as it is.
+
+    An item has its grams that the fewest items hold, so that a phrase of many items leads to none.
+    """
+    placed = items.select("item", "q", "n_seeds", "step", F.posexplode("grams").alias("at", "gram"))
+    held = placed.groupBy("gram").agg(F.count_distinct("item").alias("held"))
+    rarest = Window.partitionBy("item").orderBy("held", "gram", "at")
+    placed = placed.where("at % step = 0").join(held, "gram")
+    placed = placed.withColumn("rank", F.row_number().over(rarest))
+    return placed.where("rank <= n_seeds").select("item", "q", "gram").distinct()
+
+
 def bitmap(rows: DataFrame, column: str) -> np.ndarray:
     """A bitmap of the hashes in ``column``: 2 MB through the driver, however many rows."""
     # Spark numbers the bits of a bitmap from 1.
@@ -175,96 +152,87 @@ class Search:
 
     gram_bits: dict[int, np.ndarray]
     gram_needs: dict[int, int]
-    key_bits: np.ndarray
-    walks: list[int]
-    longest: int
-    slack: int
+    seed_bits: dict[int, np.ndarray]
+    reach: int
 
 
-def prepared(items: DataFrame) -> Search | None:
+def prepared(items: DataFrame, seeded: DataFrame) -> Search | None:
     """The bitmaps and lengths of written item rows; None for an empty benchmark."""
     rules = items.groupBy("q").agg(F.min("shared").alias("shared")).collect()
     if not rules:
         return None
     needs = {row["q"]: row["shared"] for row in rules}
-    walks = sorted(row["steps"] for row in items.select("steps").distinct().collect())
-    longest = items.agg(F.max("n_words")).first()[0]
+    # Words of the longest match: every allowed edit may add one.
+    reach = items.agg(F.max("reach")).first()[0]
     exploded = items.select("q", F.explode("grams").alias("gram"))
     return Search(
         {q: bitmap(exploded.where(F.col("q") == q), "gram") for q in needs},
         needs,
-        bitmap(items.select(F.explode("keys").alias("key")), "key"),
-        walks,
-        longest,
-        longest - int(longest * SIMILARITY) + 1,
+        {q: bitmap(seeded.where(F.col("q") == q), "gram") for q in needs},
+        reach,
     )
 
 
-def _candidate_starts(hashes: np.ndarray, owner: np.ndarray, search: Search) -> np.ndarray:
-    """Positions of windows that share enough grams with the benchmark to match an item."""
-    reach = search.longest + search.slack
+def _candidates(
+    hashes: np.ndarray, owner: np.ndarray, heads: np.ndarray, search: Search
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs (first, last) of places where a match may begin, with enough of the benchmark's grams
+    behind them; and the seeds (place, gram) among the words."""
     change = np.zeros(len(hashes) + 1, np.int64)
+    at, seed = [], []
     for q, bits in search.gram_bits.items():
         gram = grams(hashes, owner, q)
         hits = np.flatnonzero((gram != 0) & marked(gram, bits))
         need = search.gram_needs[q]
         if len(hits) < need:
             continue
+        sown = hits[marked(gram[hits], search.seed_bits[q])]
+        at.append(sown)
+        seed.append(gram[sown])
         lead, last = hits[: len(hits) - need + 1], hits[need - 1 :]
-        close = (last - lead < reach) & (owner[lead] == owner[last])
+        close = (last - lead < search.reach) & (owner[lead] == owner[last])
         lead, last = lead[close], last[close]
-        np.add.at(change, np.maximum(last - reach, 0), 1)
+        np.add.at(change, np.maximum(last + 1 - search.reach, heads[owner[lead]]), 1)
         np.add.at(change, lead + 1, -1)
-    return np.flatnonzero(np.cumsum(change[:-1]) > 0)
-
-
-def _clusters(at: np.ndarray, owner: np.ndarray, search: Search) -> list[tuple[int, int]]:
-    """Runs of windows that begin close to each other in one text, of bounded length."""
-    gap = np.r_[True, (owner[1:] != owner[:-1]) | (at[1:] - at[:-1] > search.slack)]
-    heads = np.flatnonzero(gap)
-    out = []
-    for head, end in zip(heads, np.r_[heads[1:], len(at)], strict=True):
-        while at[end - 1] - at[head] > search.longest:
-            cut = head + int(np.searchsorted(at[head:end], at[head] + search.longest, "right"))
-            out.append((head, cut))
-            head = cut
-        out.append((head, end))
-    return out
+    begins = (np.cumsum(change[:-1]) > 0).astype(np.int8)
+    # A run ends with its text.
+    inner = heads[1:-1]
+    edges = np.diff(np.r_[0, begins, 0])
+    both = inner[(inner > 0) & (inner < len(begins))]
+    both = both[(begins[both] == 1) & (begins[both - 1] == 1)]
+    first = np.sort(np.r_[np.flatnonzero(edges == 1), both])
+    last = np.sort(np.r_[np.flatnonzero(edges == -1), both]) - 1
+    if not at:
+        return first, last, np.empty(0, np.int64), np.empty(0, np.uint64)
+    at, seed = np.concatenate(at), np.concatenate(seed)
+    order = np.argsort(at, kind="stable")
+    return first, last, at[order], seed[order]
 
 
 def _scan(search: Search):
-    """Places where a window's key may be an item's: the keys there, and the words around."""
+    """Windows in which a match may lie: the seeds there, and the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = WINDOW * search.reach
         for batch in batches:
             for first, last, data, offsets in words.chunks(batch.column("text")):
                 hashes, owner = _text_words(data, offsets)
                 if not len(hashes):
                     continue
-                starts = _candidate_starts(hashes, owner, search)
-                if not len(starts):
-                    continue
                 heads = np.searchsorted(owner, np.arange(last - first + 1))
-                ends = heads[owner[starts] + 1]
-                found = [
-                    (starts[keep], keys[keep])
-                    for repeat in range(REPEATS)
-                    for keys in embed(hashes, starts, ends, repeat, search.walks)
-                    for keep in [marked(keys, search.key_bits)]
-                ]
-                at = np.concatenate([f[0] for f in found])
-                key = np.concatenate([f[1] for f in found])
-                if not len(at):
-                    continue
-                order = np.argsort(at, kind="stable")
-                at, key = at[order], key[order]
+                begins, ends, at, seed = _candidates(hashes, owner, heads, search)
                 rows = []
-                for lo, hi in _clusters(at, owner[at], search):
-                    text = owner[at[lo]]
-                    low = max(heads[text], at[lo] - search.slack)
-                    high = min(heads[text + 1], at[hi - 1] + search.longest + search.slack)
-                    own = np.unique(key[lo:hi])
-                    rows.append((first + int(text), int(low - heads[text]), own, hashes[low:high]))
+                for begin, end in zip(begins.tolist(), ends.tolist(), strict=True):
+                    text = owner[begin]
+                    for low in range(begin, end + 1, size):
+                        high = min(low + size - 1, end) + search.reach
+                        high = min(high, heads[text + 1])
+                        inside = slice(*np.searchsorted(at, [low, high]))
+                        own = np.unique(seed[inside])
+                        if len(own):
+                            rows.append((first + int(text), low - heads[text], own, hashes[low:high]))
+                if not rows:
+                    continue
                 ids = batch.column("doc_id").take(pa.array([r[0] for r in rows]))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -273,12 +241,27 @@ def _scan(search: Search):
                         pa.array([r[2].view(np.int64) for r in rows], _LIST),
                         pa.array([r[3].view(np.int64) for r in rows], _LIST),
                     ],
-                    ["doc_id", "start", "keys", "span"],
+                    ["doc_id", "start", "seeds", "span"],
                 )
 
     return run
 
 
+def _narrowed(item: np.ndarray, span: np.ndarray, similarity: float) -> np.ndarray | None:
+    """The words of the span that a match of the item can cover; None if it cannot match."""
+    q, shared = gram_rule(len(item), similarity)
+    own = grams(item.view(np.uint64), np.zeros(len(item)), q)[: len(item) - q + 1]
+    hits = np.flatnonzero(np.isin(grams(span.view(np.uint64), np.zeros(len(span)), q), own))
+    reach = len(item) + allowed(len(item), similarity)
+    if len(hits) < shared:
+        return None
+    lead, last = hits[: len(hits) - shared + 1], hits[shared - 1 :]
+    close = last - lead < reach
+    if not close.any():
+        return None
+    return span[max(0, last[close][0] + 1 - reach) : lead[close][-1] + reach]
+
+
 def distances(items: list[np.ndarray], spans: list[np.ndarray]) -> np.ndarray:
     """Least word edits that turn each item into some run of words of its span."""
     height, width = max(map(len, items)), max(map(len, spans))
@@ -310,6 +293,12 @@ def _verify(similarity: float):
                 part = batch.slice(first, 512)
                 items = part.column("words").to_numpy(zero_copy_only=False)
                 spans = part.column("span").to_numpy(zero_copy_only=False)
+                spans = [_narrowed(i, s, similarity) for i, s in zip(items, spans, strict=True)]
+                may = np.array([s is not None for s in spans])
+                if not may.any():
+                    continue
+                part = part.filter(pa.array(may))
+                items, spans = items[may], [s for s in spans if s is not None]
                 edits = distances(list(items), list(spans))
                 near = [e <= allowed(len(i), similarity) for e, i in zip(edits, items, strict=True)]
                 if not any(near):
@@ -336,12 +325,12 @@ def contaminated(
 
     A document holds an item if some run of its words is within ``(1 - similarity)`` times the
     item's length of word edits of it. Words are compared without case (A-Z) and ASCII
-    punctuation. Each whole text is scanned: at every position that enough of the benchmark's word
-    grams surround (a condition that any match meets), REPEATS random walks embed the item-sized
-    windows of each length class, keys of SAMPLES sampled steps are looked up among the items'
-    keys, and pairs that share a key are verified by exact edit distance over the words. Only
-    places whose keys may be an item's leave the scan, windows that begin close to each other
-    as one; a document's text is never shuffled.
+    punctuation. The search misses nothing: each whole text is scanned for places that enough of
+    the benchmark's word grams follow (a condition that any match meets), the windows there meet
+    the items whose seeds they hold (any match has one of them unedited), and each pair that shares
+    enough grams of the item is verified by exact edit distance over the words. The distance is
+    the least of all matches. Only the windows leave the scan; the rest of a text is never
+    shuffled.
 
     NULL and empty texts hold nothing; items without a word are ignored. Rows that share a doc_id
     (or have none) give one row per item with the best match, and so do repeated items. Other
@@ -350,24 +339,24 @@ def contaminated(
     items = benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(
         _item_rows(similarity), _ITEM_SCHEMA
     )
-    items = saved(items, "items")
-    search = prepared(items)
+    item = F.xxhash64("item_id", "words").alias("item")
+    items = saved(items.select("*", item), "items")
+    seeded = saved(seeds(items), "seeds")
+    search = prepared(items, seeded)
     schema = documents.select("doc_id").schema.add("item_id", "long").add("distance", "long")
     schema = schema.add("similarity", "double")
     if search is None:
         return documents.sparkSession.createDataFrame([], schema)
     found = documents.select("doc_id", "text").mapInArrow(
         _scan(search), f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, "
-        "start long, keys array<long>, span array<long>"
+        "start long, seeds array<long>, span array<long>"
     )
     name = F.xxhash64("doc_id", "start", "span").alias("window")
-    windows = saved(found.select(name, "doc_id", "keys", "span"), "windows")
-    hits = windows.select("window", F.explode("keys").alias("key"))
-    name = F.xxhash64("item_id", "words").alias("item")
-    keys = items.select(name, F.explode("keys").alias("key"))
-    pairs = hits.join(keys, "key").select("window", "item").distinct()
-    texts = items.select(name, "item_id", "words").dropDuplicates(["item"])
-    pairs = pairs.join(windows.drop("keys"), "window").join(texts, "item")
+    windows = saved(found.select(name, "doc_id", "seeds", "span"), "windows")
+    hits = windows.select("window", F.explode("seeds").alias("gram"))
+    pairs = hits.join(seeded.drop("q"), "gram").select("window", "item").distinct()
+    texts = items.select("item", "item_id", "words").dropDuplicates(["item"])
+    pairs = pairs.join(windows.drop("seeds"), "window").join(texts, "item")
     verified = pairs.select("doc_id", "item_id", "words", "span").mapInArrow(
         _verify(similarity), schema
     )
