@@ -1,7 +1,7 @@
 """The corpus pipeline: documents in, a clean and weighted mixture out.
 
-Rows that share a doc_id are one document: a stage that drops it drops them all. Rows without a
-doc_id are judged as one document too.
+Every row is judged by itself, whether it has a doc_id, shares it with others or has none. Rows
+that agree in doc_id, source and text are one document.
 """
 
 from __future__ import annotations
@@ -13,32 +13,71 @@ from tidemark.llm import decontam, forest, lines, mixing, rules
 from tidemark.llm.common import saved, table
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the listed doc_ids. The list is the smaller side, written and measured, so
-    Spark broadcasts it where it is small and else sorts both sides."""
-    listed = saved(dropped.select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
-    return docs.join(listed, docs["doc_id"].eqNullSafe(listed["_gone"]), "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with _key: 128 bits of hash of a row's doc_id, source and text."""
+    content = [c for name in ("doc_id", "source", "text") for c in (F.isnull(name), F.col(name))]
+    key = F.struct(
+        F.xxhash64(*content).alias("k1"), F.xxhash64(F.lit("twin"), *content).alias("k2")
+    )
+    return docs.withColumn("_key", key)
+
+
+def _by_key(keyed: DataFrame) -> DataFrame:
+    """What an operator reads, with the key as the doc_id."""
+    return keyed.select(F.col("_key").alias("doc_id"), "source", "text")
+
+
+def _without(keyed: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``keyed`` without the rows whose keys are listed as doc_id. The list is the smaller side,
+    written and measured, so Spark broadcasts it where it is small and else sorts both sides."""
+    listed = saved(dropped.select("doc_id.k1", "doc_id.k2").distinct(), "dropped")
+    same = (keyed["_key.k1"] == listed["k1"]) & (keyed["_key.k2"] == listed["k2"])
+    return keyed.join(listed, same, "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules and whose host passes."""
-    return _without(docs, rules.quality_rules(docs).where("NOT kept"))
+    keyed = _keyed(docs)
+    return _without(keyed, rules.quality_rules(_by_key(keyed)).where("NOT kept")).drop("_key")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that others repeat; n_chars follows the text."""
-    cleaned = lines.drop_lines(docs)
+    """Documents without the lines that others repeat; n_chars follows the text.
+
+    Documents are in the order of their doc_id, those without one first.
+    """
+    own = F.struct("doc_id", "_key.k1", "_key.k2")
+    cleaned = lines.drop_lines(_keyed(docs).withColumn("doc_id", own).drop("_key"))
+    cleaned = cleaned.withColumn("doc_id", F.col("doc_id.doc_id"))
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of similar ones."""
-    return _without(docs, forest.similar(docs).where("NOT doc_id <=> class_id"))
+    """The document with the smallest id of each class of similar ones; one without an id only
+    where no other has one. Links are searched by half of the key, which the forest takes as an id."""
+    keyed = _keyed(docs)
+    classes = forest.similar(keyed.select(F.col("_key.k1").alias("doc_id"), "text"))
+    classes = classes.select(F.col("doc_id").alias("k1"), "class_id")
+    rows = saved(keyed.select("doc_id", "_key.*").join(classes, "k1"), "rows")
+    order = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "k1", "k2")
+    least = rows.groupBy("class_id").agg(F.min(order).alias("least"), F.count("*").alias("n"))
+    least = saved(least.where("n > 1").select("class_id", "least"), "least")
+    others = rows.join(least, "class_id").where("k1 <> least.k1 OR k2 <> least.k2")
+    kept = _without(keyed, others.select(F.struct("k1", "k2").alias("doc_id")))
+    repeated = rows.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = saved(repeated.select("k1", "k2"), "repeated")
+    if repeated.isEmpty():
+        return kept.drop("_key")
+    same = (kept["_key.k1"] == repeated["k1"]) & (kept["_key.k2"] == repeated["k2"])
+    copies = kept.join(repeated, same, "left_semi").dropDuplicates(["_key"])
+    return kept.join(repeated, same, "left_anti").unionByName(copies).drop("_key")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return _without(docs, decontam.contaminated(docs, table(spark, sf_dir, "benchmark")))
+    keyed = _keyed(docs)
+    held = decontam.contaminated(_by_key(keyed), table(spark, sf_dir, "benchmark"))
+    return _without(keyed, held).drop("_key")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,3 +94,36 @@ def test_pipeline_runs_its_stages(spark):
     result = registry.queries()["pipeline"](spark, SMALL)
     assert {"doc_id", "text", "copies", "taken"} <= set(result.columns)
     assert result.count() > 0
+
+
+def test_stages_judge_rows_without_an_id_or_with_a_shared_one(spark):
+    """A verdict on one row leaves the other rows of its id, or without one, alone."""
+    stages = dict(corpus_pipeline.STAGES)
+    ids = (None, None, 7, 7)
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+
+    def after(name, rows):
+        frame = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], kind)
+        result = stages[name](spark, frame, SMALL)
+        assert result.columns == frame.columns
+        return sorted(((r.doc_id, r.text) for r in result.collect()), key=str)
+
+    own = [" ".join(f"{name}{i}" for i in range(40)) for name in "abcd"]
+    good = list(zip(ids, own, strict=True))
+    short = [(None, "too short"), (7, "short too")]
+    assert after("quality rules", good + short) == sorted(good, key=str)
+
+    item = table(spark, SMALL, "benchmark").orderBy("item_id").first().text
+    held = [(None, f"x {item}"), (7, f"y {item} z")]
+    assert after("benchmark decontamination", good + held) == sorted(good, key=str)
+
+    near = [(d, t + " more") for d, t in good]
+    copies = [(None, own[0]), (3, own[1]), (None, own[3]), (7, own[2])]
+    found = after("n-gram Jaccard join", good + near + copies)
+    assert len(found) == 4 and {t[:2] for _, t in found} == {"a0", "b0", "c0", "d0"}
+    assert {t[:2]: d for d, t in found} == {"a0": None, "b0": 3, "c0": 7, "d0": 7}
+
+    line = "A line that five documents without an id have in common"
+    rows = [(None, "\n" * i + f"{line}\nown {i}") for i in range(5)] + [(9, f"own\n{line}")]
+    expected = [(None, "\n" * i + f"own {i}") for i in range(5)] + [rows[-1]]
+    assert after("line dedup", rows) == sorted(expected, key=str)
