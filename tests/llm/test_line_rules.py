@@ -77,6 +77,15 @@ def test_null_and_repeated_ids_count_as_one_document(spark):
     ]
 
 
+def test_rows_of_one_id_lose_only_their_own_lines(spark):
+    rows = [(None, f"{LONG}\nown", "a"), (None, f"own\nx\n{LONG}", "a"), (None, "own\nx", "a")]
+    rows += [(1, f"{LONG}\nfirst", "a"), (1, f"second\nthird\n{LONG}", "a"), (1, "fourth", "a")]
+    rows += [(i, LONG, "a") for i in range(2, 6)]
+    result = lines.drop_lines(documents(spark, rows)).collect()
+    got = [(r.doc_id, r.n_lines, r.n_dropped, r.text or "") for r in result]
+    assert sorted(got, key=str) == plain_lines(rows)
+
+
 def test_line_columns_may_clash(spark):
     frame = documents(spark, LINE_ROWS)
     for name in ("bitmap", "stay", "lines", "row", "n_lines", "h1", "of"):

@@ -16,9 +16,16 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(SPACE)), UPPER, UPPER.lower())
 
 
+def text_key(text: Column) -> list[Column]:
+    """128 bits of hash, which tell the texts of one doc_id apart."""
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2")]
+
+
 def occurrences(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row per document and long line: 128 bits of hash and the line's position."""
-    lines = documents.select("doc_id", F.posexplode(F.split(text_of(), "\n")).alias("at", "line"))
+    """One row per text and long line: 128 bits of hash of both and the line's position."""
+    texts = documents.select("doc_id", *text_key(text_of()), text_of().alias("text"))
+    split = F.posexplode(F.split("text", "\n")).alias("at", "line")
+    lines = texts.select("doc_id", "t1", "t2", split)
     # An upper bound on the key's length, cheap to test before the key is made.
     lines = lines.where(F.char_length("line") >= min_chars)
     lines = lines.withColumn("key", F.explode(F.array(line_key(F.col("line")))))
@@ -26,6 +33,8 @@ def occurrences(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         F.xxhash64("key").alias("h1"),
         F.xxhash64(F.lit("second"), "key").alias("h2"),
         "doc_id",
+        "t1",
+        "t2",
         "at",
     )
 
@@ -45,7 +54,7 @@ def placed_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 def keep_bitmaps(
     documents: DataFrame, min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
-    """The lines to drop, as one compressed bitmap per document that loses any.
+    """The lines to drop, as one compressed bitmap per text of a document that loses any.
 
     Every partition of the sorted lines reduces its runs to a document count and a largest
     document before the next shuffle, so a frequent line is a few rows there. Lines that reach
@@ -65,10 +74,10 @@ def keep_bitmaps(
     dropped = placed.join(saved(repeated, "repeated"), ["h1", "h2"]).where(
         F.col("doc_id").isNull() | (F.col("doc_id") < F.col("keeper"))
     )
-    words = dropped.groupBy("doc_id", F.expr("CAST(at DIV 64 AS INT)").alias("word")).agg(
+    words = dropped.groupBy("doc_id", "t1", "t2", F.expr("CAST(at DIV 64 AS INT)").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("bits")
     )
-    return words.groupBy("doc_id").agg(
+    return words.groupBy("doc_id", "t1", "t2").agg(
         F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("bitmap")
     )
 
@@ -92,16 +101,21 @@ def drop_lines(
     hold it, except in the largest doc_id that does.
 
     A NULL or empty text is one empty line. Lines with a shorter key always stay. Rows that share
-    a doc_id count as one document, and each loses the positions that any of them loses. Rows
-    without a doc_id count together as one document below all others. A text that loses nothing is
-    passed on as it is. All columns stay; an input column called n_lines or n_dropped is replaced.
+    a doc_id count as one document, and rows without one count together as one below all others;
+    each row loses the lines that go from its own text. A text that loses nothing is passed on as
+    it is. All columns stay; an input column called n_lines or n_dropped is replaced.
     An empty table gives no rows.
     """
     bitmaps = keep_bitmaps(documents, min_chars, min_documents)
     rows = documents.select(F.struct("*").alias("row"))
     rows = rows.withColumns({"doc_id": F.col("row.doc_id"), "lines": F.split(text_of("row.text"), "\n")})
-    bitmaps = bitmaps.select(F.col("doc_id").alias("of"), "bitmap")
-    joined = rows.join(bitmaps, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    rows = rows.select("*", *text_key(text_of("row.text")))
+    bitmaps = bitmaps.select(
+        F.col("doc_id").alias("of"), F.col("t1").alias("of1"), F.col("t2").alias("of2"), "bitmap"
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("of"))
+    same &= (F.col("t1") == F.col("of1")) & (F.col("t2") == F.col("of2"))
+    joined = rows.join(bitmaps, same, "left")
     changed = F.col("bitmap").isNotNull()
     last = F.size("lines") - 1
     stay = F.array_except(F.sequence(F.lit(0), last), _positions(F.col("bitmap")))
