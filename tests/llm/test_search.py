@@ -74,6 +74,23 @@ def test_repeats_match_brute_force(spark, monkeypatch, hot):
     assert sorted(got, key=str) == brute_repeats(rows, 40)
 
 
+def test_texts_whose_short_hashes_agree_are_told_apart(spark):
+    numbers = spark.range(400_000).select(
+        F.concat(F.lit("own start "), F.repeat(F.col("id").cast("string"), 12)).alias("text")
+    )
+    short = numbers.groupBy(F.hash("text")).agg(F.collect_list("text").alias("t")).where("size(t) > 1")
+    one, two = sorted(short.first().t)[:2]
+    rows = [(None, one), (None, two), (1, one + " end"), (2, "x" * 30)]
+    rows += [(5, two), (5, one), (6, one[:60])]
+    result = repeats.drop_repeats(frame_of(spark, rows), length=40).collect()
+    got = [(r.doc_id, bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in result]
+    assert sorted(got, key=str) == brute_repeats(rows, 40)
+    lone = [(None, one), (None, two), (1, one[20:])]
+    result = repeats.drop_repeats(frame_of(spark, lone), length=40).collect()
+    got = [(r.doc_id, bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in result]
+    assert sorted(got, key=str) == brute_repeats(lone, 40)
+
+
 def test_long_texts_are_scanned_in_pieces(spark, monkeypatch):
     rng = random.Random(5)
     rows = [(i, " ".join(words_of(rng, 300, 60))) for i in range(4)]

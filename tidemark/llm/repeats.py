@@ -31,7 +31,8 @@ ALL_AT_ONCE, COPIED = 3, 8
 # Parts that a frequent context is dealt out to.
 SPREAD = 256
 
-_KEY = "doc long, twin int"
+# A text is named by its doc_id and 128 bits of hash.
+_KEY = "doc long, twin long, other long"
 
 
 def anchor_length(length: int) -> int:
@@ -127,7 +128,7 @@ def _scan(length: int, frequent: Frequent, only_frequent: bool = False):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, twin = (batch.column(n).to_numpy() for n in ("doc", "twin"))
+            doc, twin, other = (batch.column(n).to_numpy() for n in ("doc", "twin", "other"))
             for first, _, data, offsets in words.chunks(batch.column("text")):
                 for anchor, context, text, start, count in domains(data, offsets, length):
                     hot, at = _place(anchor, frequent.anchors)
@@ -148,16 +149,16 @@ def _scan(length: int, frequent: Frequent, only_frequent: bool = False):
                         spread = doc[owner[known]].view(np.uint64) % np.uint64(SPREAD)
                         part[known] = words.mixed(part[known] + spread)
                     columns = [anchor.view(np.int64), part.view(np.int64), context.view(np.int64)]
-                    columns += [doc[owner], twin[owner], start.astype(np.int64)]
+                    columns += [doc[owner], twin[owner], other[owner], start.astype(np.int64)]
                     columns += [count.astype(np.int32), rule]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _DOMAIN_NAMES)
 
     return run
 
 
-_DOMAIN_NAMES = ["anchor", "part", "context", "doc", "twin", "start", "count", "rule"]
+_DOMAIN_NAMES = ["anchor", "part", "context", "doc", "twin", "other", "start", "count", "rule"]
 _DOMAIN = f"anchor long, part long, context long, {_KEY}, start long, count int, rule int"
-_FOUND_NAMES = ["kind", "anchor", "doc", "twin", "start", "count"]
+_FOUND_NAMES = ["kind", "anchor", "doc", "twin", "other", "start", "count"]
 _FOUND = f"kind int, anchor long, {_KEY}, start long, count int"
 
 
@@ -236,15 +237,15 @@ def _contexts(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             asked = batch.column("asked").to_pylist()
-            doc, twin = (batch.column(n).to_pylist() for n in ("doc", "twin"))
+            doc, twin, other = (batch.column(n).to_pylist() for n in ("doc", "twin", "other"))
             for first, last, data, offsets in words.chunks(batch.column("text")):
                 rows = []
                 for i in range(first, last):
                     text = data[offsets[i - first] : offsets[i - first + 1]]
                     for one in asked[i]:
                         low, high = one["start"], one["start"] + one["count"] + length - 1
-                        rows.append((one["kind"], one["anchor"], doc[i], twin[i], low, one["count"],
-                                     text[low:high].tobytes()))
+                        rows.append((one["kind"], one["anchor"], doc[i], twin[i], other[i], low,
+                                     one["count"], text[low:high].tobytes()))
                 if rows:
                     yield from _split(rows, length)
 
@@ -252,27 +253,26 @@ def _contexts(length: int):
 
 
 def _split(rows: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
-    whole = [(*row[1:6], row[6], None, None) for row in rows if row[0] == CONTEXT]
+    whole = [(*row[1:], None, None) for row in rows if row[0] == CONTEXT]
     for row in rows:
         if row[0] != WINDOWS:
             continue
-        _, anchor, doc, twin, low, count, content = row
+        _, anchor, doc, twin, other, low, count, content = row
         sums = words.prefix_hashes(np.frombuffer(content, np.uint8))
         at = np.arange(count)
         w1 = words.span_hashes(sums, at, at + length)
-        other = words.prefix_hashes(np.frombuffer(content, np.uint8) ^ np.uint8(0x5A))
-        w2 = words.span_hashes(other, at, at + length)
+        salted = words.prefix_hashes(np.frombuffer(content, np.uint8) ^ np.uint8(0x5A))
+        w2 = words.span_hashes(salted, at, at + length)
         for i, a, b in zip(at.tolist(), w1.view(np.int64).tolist(), w2.view(np.int64).tolist(), strict=True):
-            whole.append((anchor, doc, twin, low + i, 1, None, a, b))
+            whole.append((anchor, doc, twin, other, low + i, 1, None, a, b))
     if whole:
         columns = zip(*whole, strict=True)
         arrays = [pa.array(c, t) for c, t in zip(columns, _CONTEXT_TYPES, strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, _CONTEXT_NAMES)
 
 
-_CONTEXT_NAMES = ["anchor", "doc", "twin", "start", "count", "content", "w1", "w2"]
-_CONTEXT_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(),
-                  pa.int64(), pa.int64()]
+_CONTEXT_NAMES = ["anchor", "doc", "twin", "other", "start", "count", "content", "w1", "w2"]
+_CONTEXT_TYPES = [*[pa.int64()] * 5, pa.int32(), pa.binary(), pa.int64(), pa.int64()]
 _CONTEXT = f"anchor long, {_KEY}, start long, count int, content binary, w1 long, w2 long"
 _SPAN = f"{_KEY}, low long, high long"
 
@@ -286,8 +286,8 @@ def _transform(length: int):
             return
         rows = pa.Table.from_batches(parts).combine_chunks()
         text = np.frombuffer(b"".join(rows.column("content").to_pylist()), np.uint8)
-        doc, twin, start, count = (
-            rows.column(n).to_numpy() for n in ("doc", "twin", "start", "count")
+        doc, twin, other, start, count = (
+            rows.column(n).to_numpy() for n in ("doc", "twin", "other", "start", "count")
         )
         count = count.astype(np.int64)
         sizes = count + length - 1
@@ -304,37 +304,43 @@ def _transform(length: int):
         low = start[of] + place[hit[heads]]
         high = start[of] + place[hit[tails]] + length
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in (doc[of], twin[of], low, high)], ["doc", "twin", "low", "high"]
+            [pa.array(c) for c in (doc[of], twin[of], other[of], low, high)],
+            ["doc", "twin", "other", "low", "high"],
         )
 
     return run
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, twin, low, high): byte spans that cover every repeated string; they may overlap."""
+    """(doc, twin, other, low, high): byte spans that cover every repeated string; they may overlap."""
     frequent = _counted_frequent(texts, length)
     rows = texts.mapInArrow(_scan(length, frequent), _DOMAIN)
     rows = rows.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "context")
     found = saved(rows.mapInArrow(_decide, _FOUND), "found")
     asked = (
         found.where(F.col("kind") != SPAN)
-        .groupBy("doc", "twin")
+        .groupBy("doc", "twin", "other")
         .agg(F.collect_list(F.struct("kind", "anchor", "start", "count")).alias("asked"))
     )
-    contexts = texts.join(asked, ["doc", "twin"]).mapInArrow(_contexts(length), _CONTEXT)
+    contexts = texts.join(asked, ["doc", "twin", "other"]).mapInArrow(_contexts(length), _CONTEXT)
     contexts = saved(contexts, "contexts")
     size = contexts.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     blocks = contexts.where("content IS NOT NULL").drop("w1", "w2")
     blocks = blocks.repartition(max(1, size // BLOCK_BYTES), "anchor")
     compared = blocks.mapInArrow(_transform(length), _SPAN)
-    windows = contexts.where("content IS NULL").select("doc", "twin", "start", "w1", "w2")
+    windows = contexts.where("content IS NULL").drop("anchor", "count", "content")
     twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1")
     single = windows.join(saved(twice, "twice"), ["w1", "w2"]).select(
-        "doc", "twin", F.col("start").alias("low"), (F.col("start") + length).alias("high")
+        "doc",
+        "twin",
+        "other",
+        F.col("start").alias("low"),
+        (F.col("start") + length).alias("high"),
     )
     whole = found.where(F.col("kind") == SPAN).select(
         "doc",
         "twin",
+        "other",
         F.col("start").alias("low"),
         (F.col("start") + F.col("count") + (length - 1)).alias("high"),
     )
@@ -388,10 +394,12 @@ def drop_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < bwt.FIRST:
         raise ValueError(f"strings of fewer than {bwt.FIRST} bytes are not supported")
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc")
-    texts = documents.select(doc, F.hash("text").alias("twin"), text_of().alias("text"))
+    twin, other = F.xxhash64("text").alias("twin"), F.xxhash64(F.lit("other"), "text").alias("other")
+    texts = documents.select(doc, twin, other, text_of().alias("text"))
     spans = repeated_spans(texts, length)
-    spans = spans.groupBy("doc", "twin").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    joined = texts.join(spans, ["doc", "twin"], "left")
+    spans = spans.groupBy("doc", "twin", "other")
+    spans = spans.agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    joined = texts.join(spans, ["doc", "twin", "other"], "left")
     doc_id = F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id")
     return joined.select(doc_id, "text", "spans").mapInArrow(
         _apply, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long"
