@@ -128,9 +128,81 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
 FROM judged
 """
 
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of an ASCII or Latin-1 supplement text, bit by bit.
+
+    3988292384 is the reflected polynomial. Every byte is a list of its value and seven zeros.
+    """
+    points = f"list_transform(string_split({text}, ''), lambda c: unicode(c))"
+    octets = (
+        f"flatten(list_transform({points}, lambda u: CASE WHEN u < 128 THEN [u] "
+        "ELSE [192 + (u >> 6), 128 + (u & 63)] END))"
+    )
+    bits = f"flatten(list_transform({octets}, lambda b: [b::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384)"
+    return f"xor(list_reduce({bits}, {step}, 4294967295::BIGINT), 4294967295)"
+
+
+PREFIX_TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+    FROM conversations
+),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS first, {_crc32("conv_id::VARCHAR")} % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM conversations)
+),
+rebuilt AS (
+    SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text
+    FROM convs c JOIN turns t ON t.conv_id = c.first AND t.pos < c.h
+    UNION ALL
+    SELECT c.conv_id, 1, t.pos, t.role, t.text
+    FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h
+),
+prefixes AS (
+    SELECT conv_id, strlen(text) AS size,
+           list({{'role': role, 'text': text}}) OVER (
+               PARTITION BY conv_id ORDER BY part, pos
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path
+    FROM rebuilt
+    UNION ALL
+    SELECT conv_id, 0, [] FROM convs
+),
+ending AS (
+    SELECT conv_id, max(len(path)) AS depth FROM prefixes GROUP BY conv_id
+),
+nodes AS (
+    SELECT path, len(path) AS depth, min(p.conv_id) AS conv_id, count(*) AS n_convs,
+           (count(*) - 1) * max(size) AS gain,
+           string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id)
+               FILTER (WHERE e.depth = len(path)) AS ends
+    FROM prefixes p JOIN ending e ON p.conv_id = e.conv_id
+    GROUP BY path
+),
+children AS (
+    SELECT path[:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+),
+above AS (
+    SELECT n.path[:k] AS path, n.gain, c.n IS NULL AS is_leaf
+    FROM nodes n LEFT JOIN children c ON n.path = c.path, unnest(range(0, n.depth + 1)) AS u(k)
+),
+below AS (
+    SELECT path, count(*) FILTER (WHERE is_leaf) AS n_leaves, sum(gain) AS saved_tokens
+    FROM above GROUP BY path
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(c.n, 0)::BIGINT AS n_children, b.n_leaves, b.saved_tokens::BIGINT AS saved_tokens,
+       sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN below b ON n.path = b.path
+LEFT JOIN children c ON n.path = c.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[:n.depth - 1]
+"""
+
 ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
     "op4_chat_formatting": CHAT_FORMATTING,
     "op6_warc": WARC,
     "op10_quality_rules": QUALITY_RULES,
+    "op12_prefix_trie": PREFIX_TRIE,
 }

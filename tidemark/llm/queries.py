@@ -15,6 +15,7 @@ from tidemark.llm import (
     repeats,
     rules,
     toxicity,
+    trie,
     warc,
 )
 from tidemark.llm.common import table
@@ -71,6 +72,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(table(spark, folder, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -82,4 +87,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op12_prefix_trie": op12_prefix_trie,
 }
