@@ -199,10 +199,72 @@ LEFT JOIN children c ON n.path = c.path
 LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[:n.depth - 1]
 """
 
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents
+),
+lowered AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w,
+           count(*) AS n
+    FROM runs GROUP BY ALL
+),
+marked AS (
+    SELECT w, n, {_crc32("concat(doc_id, ':', w)")} AS h FROM lowered WHERE length(w) >= 5
+),
+spelled AS (
+    SELECT CASE WHEN h % 97 = 0
+                THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2)
+                ELSE w END AS word, n
+    FROM marked
+),
+words AS MATERIALIZED (
+    SELECT word, sum(n)::BIGINT AS n FROM spelled
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+),
+places AS MATERIALIZED (
+    SELECT word, n, left(word, i - 1) AS head, substr(word, i + 1) AS tail
+    FROM words, unnest(range(1, length(word) + 1)) AS u(i)
+),
+replaced AS (
+    SELECT a.word, b.word AS other, b.n
+    FROM places a JOIN places b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+),
+shorter AS (
+    SELECT DISTINCT p.word, p.n, w.word AS other, w.n AS other_n
+    FROM places p JOIN words w ON w.word = p.head || p.tail
+),
+near AS (
+    SELECT word, other, n FROM replaced
+    UNION SELECT word, other, other_n FROM shorter
+    UNION SELECT other, word, n FROM shorter
+),
+best AS (
+    SELECT word, count(*) AS n_near, min({{'minus': -n, 'other': other}}) AS top
+    FROM near GROUP BY word
+),
+formed AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+           CASE WHEN -b.top.minus >= 2 * w.n THEN b.top.other END AS form,
+           CASE WHEN -b.top.minus >= 2 * w.n THEN -b.top.minus END AS form_n
+    FROM words w LEFT JOIN best b USING (word)
+),
+chain AS (
+    SELECT word, word AS root FROM formed
+    UNION
+    SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL
+),
+ends AS (
+    SELECT c.word, c.root FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
 ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
     "op4_chat_formatting": CHAT_FORMATTING,
     "op6_warc": WARC,
     "op10_quality_rules": QUALITY_RULES,
     "op12_prefix_trie": PREFIX_TRIE,
+    "op13_spelling_variants": SPELLING,
 }

@@ -14,6 +14,7 @@ from tidemark.llm import (
     pulearn,
     repeats,
     rules,
+    spelling,
     toxicity,
     trie,
     warc,
@@ -76,6 +77,10 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.prefix_trie(table(spark, folder, "conversations"))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -88,4 +93,5 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling_variants": op13_spelling_variants,
 }
