@@ -11,6 +11,7 @@ from tidemark.llm import (
     forest,
     lines,
     mixing,
+    private,
     pulearn,
     repeats,
     rules,
@@ -73,6 +74,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(table(spark, folder, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return private.personal_data(table(spark, folder, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.prefix_trie(table(spark, folder, "conversations"))
 
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
+    "op11_personal_data": op11_personal_data,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
