@@ -1,5 +1,6 @@
 """The operators' queries against their SQL twins, and the pipeline stage by stage."""
 
+import functools
 import re
 from collections import defaultdict
 
@@ -11,6 +12,7 @@ from test_search import brute_similar, least_edits
 
 import __spark_entry__ as registry
 import corpus_pipeline
+from pyspark.sql import functions as F
 from tidemark.llm import decontam, rules
 from tidemark.llm.common import saved, table
 from tidemark.llm.oracle import ORACLE
@@ -19,7 +21,7 @@ from tidemark.llm.queries import QUERIES
 
 def test_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(registry.queries())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" not in registry.oracle_sql() and set(ORACLE) <= set(QUERIES)
 
 
@@ -127,3 +129,17 @@ def test_stages_judge_rows_without_an_id_or_with_a_shared_one(spark):
     rows = [(None, "\n" * i + f"{line}\nown {i}") for i in range(5)] + [(9, f"own\n{line}")]
     expected = [(None, "\n" * i + f"own {i}") for i in range(5)] + [rows[-1]]
     assert after("line dedup", rows) == sorted(expected, key=str)
+
+
+def test_stages_pass_clashing_columns_on_and_take_empty_tables(spark):
+    docs = table(spark, SMALL, "documents")
+    mine = ["row", "k1", "n_lines", "n_dropped", "_key", "words", "base_failed", "class_id", "bitmap"]
+    docs = docs.withColumns({name: F.lit(f"mine {name}") for name in mine})
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SMALL).count() == 0, name
+        result = saved(stage(spark, docs, SMALL), "test")
+        assert result.columns[: len(docs.columns)] == docs.columns
+        same = [F.col(c) == f"mine {c}" for c in mine]
+        assert result.count() == result.where(functools.reduce(lambda a, b: a & b, same)).count() > 0
+    docs = docs.withColumns({"size": F.lit("mine"), "copies": F.lit("mine")})
+    assert corpus_pipeline.mixture(spark, docs, SMALL).where("copies > 0 AND size > 0").count() > 0

@@ -116,6 +116,22 @@ def host_rates(measured: DataFrame) -> DataFrame:
     return hosts.select("source", shrunk.alias("shrunk"))
 
 
+def passing(documents: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """The rows of ``documents`` that `quality_rules` keeps, each judged by itself.
+
+    The rows are written once beside their own verdict, so no text is measured twice or moved to
+    meet it; only hosts are counted, and the rejected ones are looked up. Columns may have any
+    names; NULLs, empty tables and repeated rows are as in `quality_rules`.
+    """
+    columns = documents.columns
+    rows = documents.select(F.struct("*").alias("doc_id"), "source", "text")
+    judged = measures(rows).select(F.col("doc_id").alias("row"), "source", "base_failed")
+    judged = saved(judged, "judged")
+    rejected = host_rates(judged).where(F.col("shrunk") > max_host_rate).select("source")
+    kept = judged.where(~F.col("base_failed")).join(rejected, "source", "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in columns])
+
+
 def quality_rules(documents: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
     """Figures and verdicts, one row per document.
 
