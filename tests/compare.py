@@ -14,10 +14,22 @@ import duckdb
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages "
-    "benchmark labels conversations"
-).split()
+TABLES = [
+    "region",
+    "nation",
+    "customer",
+    "supplier",
+    "part",
+    "orders",
+    "lineitem",
+    "events",
+    "documents",
+    "embeddings",
+    "pages",
+    "benchmark",
+    "labels",
+    "conversations",
+]
 
 
 def cell(value):

@@ -20,14 +20,19 @@ SCRAPED = [
 IMAGES = [(KINDS[i * i % 6], SHOPS[i % 3], str(100 + 37 * i)) for i in range(15)]
 SCRAPED_IMAGES = [(KINDS[i], "web_scraping", str(250 + 11 * i)) for i in range(5)]
 
-# Id, title, time and source.
+# Ten titles of three to seven words; some end in a mark, some in a link.
+NEWS_WORDS = [[(KINDS + GOODS)[(3 * i + 7 * k) % 10] for k in range(3 + i % 5)] for i in range(10)]
 NEWS = [
-    ("1", "Harbour: Ferry Timetable Changes https://ferry.example", "2024-05-02T07:00:00", "dawn"),
-    ("2", "Maple 1.9 Brings Faster Builds!", "2024-05-02T07:01:00", "herald"),
-    ("3", "Trains vs Buses: Costs Compared 2024", "2024-05-02T07:02:00", "post"),
-    ("4", "Night Sky Photography: First Steps", "2024-05-02T07:03:00", "dawn"),
-    ("5", "River Levels Rise After a Week of Rain", "2024-05-02T07:04:00", "echo"),
+    (
+        f"item-{i}",
+        ", ".join(words).title() + ("!" if i % 2 else "") + (f" https://x.example/{i}" if i % 5 == 4 else ""),
+        f"2024-05-{i + 2:02}T{2 * i:02}:30:00",
+        SHOPS[i % 3],
+    )
+    for i, words in enumerate(NEWS_WORDS)
 ]
+# Number of titles, mean and most words, number of sources.
+NEWS_STATS = (10, 5.0, 7, 3)
 
 
 def existing_reviews(spark):
@@ -40,7 +45,7 @@ def existing_reviews(spark):
 
 def scraped_reviews(spark):
     rows = [
-        (f"web_{i:03}", f"Scraped text {i}", *row, "site.example")
+        (f"page-{i}", f"Scraped text {i}", *row, "site.example")
         for i, row in enumerate(SCRAPED, 1)
     ]
     return spark.createDataFrame(rows, schemas.REVIEWS_SCRAPED)
@@ -57,7 +62,7 @@ def existing_images(spark):
 
 def scraped_images(spark):
     rows = [
-        (f"scraped_{i:03}", f"scraped_{i:03}.jpg", category, f"2025-06-24T{i + 7:02}:00:00",
+        (f"found-{i}", f"found-{i}.jpg", category, f"2025-06-24T{i + 7:02}:00:00",
          source, size, "site.example", f"https://site.example/{i}")
         for i, (category, source, size) in enumerate(SCRAPED_IMAGES, 1)
     ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import articles, limits
-from tidemark.plans import live
+from tidemark.plans import jobs, live
 from tidemark.sources import feeds, topics
 
 
@@ -279,3 +279,75 @@ def test_cycle_of_all_feeds(spark):
     records = topics.encode(texts, topics.TEXT_TOPIC, seen())
     decoded, bad = topics.split_corrupt(topics.decode(records))
     assert (decoded.count(), bad.count()) == (50, 0)
+
+
+ATOM = """<?xml version="1.0" encoding="utf-8"?>
+<!-- made by hand <rss> -->
+<feed xmlns="http://www.w3.org/2005/Atom">
+  <title>own title</title><link href="https://a.example/" rel="self"/>
+  <entry><title type="html">First &lt;b&gt;one</title><id>urn:1</id>
+    <link href="https://a.example/f.mp3" rel="enclosure"/><link href="https://a.example/1"/>
+    <category term="x"/><category term="y"/><summary>short</summary>
+    <content type="text">long</content><updated>2024-01-02</updated></entry>
+  <entry><title>Second</title><id>urn:2</id><published>2024-01-01</published>
+    <updated>2024-01-03</updated></entry>
+</feed>"""
+RDF = """<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#"
+  xmlns="http://purl.org/rss/1.0/" xmlns:dc="http://purl.org/dc/elements/1.1/">
+  <channel rdf:about="https://r.example/"><title>own title</title></channel>
+  <item rdf:about="https://r.example/1"><title>Only</title><link>https://r.example/1</link>
+    <description>text</description><dc:subject>x</dc:subject><dc:date>2024-02-03</dc:date></item>
+</rdf:RDF>"""
+
+
+def test_atom_and_rdf_feeds(spark):
+    payloads = spark.createDataFrame([("a", ATOM), ("r", RDF)], "source string, payload string")
+    items = feeds.rss_items(payloads).orderBy("source", "position").collect()
+    fields = ("title", "link", "description", "content", "tags", "published", "dialect")
+    assert [tuple(r[f] for f in fields) for r in items] == [
+        ("First <b>one", "https://a.example/1", "short", "long", ["x", "y"], "2024-01-02", "atom"),
+        ("Second", "urn:2", None, None, None, "2024-01-01", "atom"),
+        ("Only", "https://r.example/1", "text", None, ["x"], "2024-02-03", "rdf"),
+    ]
+
+
+@pytest.mark.parametrize(
+    ("payload", "problem"),
+    [
+        (None, "no payload"),
+        ("", "no payload"),
+        ("<html><body>moved</body></html>", "no feed: html"),
+        ("<atom:feed><atom:entry/></atom:feed>", "no feed: atom:feed"),
+        ("<rss></rss>", "no channel"),
+        ("<rss><channel><item>", "<rss><channel><item>"),
+        ("<rss><channel></channel></rss>", None),
+        ("<!DOCTYPE rss [<!ENTITY a 'b'>]><rss><channel><title>t</title></channel></rss>", None),
+        ("<feed xmlns='http://www.w3.org/2005/Atom'><title>t</title></feed>", None),
+        ("<rdf:RDF><channel><title>t</title></channel></rdf:RDF>", None),
+    ],
+)
+def test_what_is_no_feed_is_a_problem(spark, payload, problem):
+    frame = spark.createDataFrame([("s", payload)], "source string, payload string")
+    assert feeds.decode_rss(frame).first().problem == problem
+    assert feeds.rss_items(frame).count() == 0
+
+
+def test_every_payload_is_read_or_a_failure(spark):
+    post = '{"data": {"children": [{"data": {"id": "%s", "title": "t", "url": "https://i/x.jpg"}}]}}'
+    names = ["reddit_technology", "board", "", None]
+    listings = [(name, post % i) for i, name in enumerate(names)]
+    listings += [("board", None), ("board", '{"error": 404}'), (None, "{oops")]
+    rss = [(name, f"https://{name}.example/f", text) for name in ("", None, "techcrunch") for text in (RSS, ATOM, RDF)]
+    rss += [("x", "https://x.example/f", None), (None, None, "<html/>")]
+    cycle = jobs.ingest(
+        spark.createDataFrame(rss, "source string, feed_url string, payload string"),
+        spark.createDataFrame(listings, "source string, payload string"),
+    )
+    assert cycle.articles.count() == 3 * (2 + 2 + 1) + 1
+    assert sorted((r.id, r.subreddit) for r in cycle.images.collect()) == [
+        ("reddit_img_1", "board"),
+        ("reddit_img_2", ""),
+        ("reddit_img_3", None),
+    ]
+    reasons = sorted(r.reason for r in cycle.failures.collect())
+    assert reasons == ["no feed: html", "no listing", "no payload", "no payload", "{oops"]

@@ -66,7 +66,7 @@ def positive(requests):
 
 
 def test_prepare_and_score(spark, lake):
-    assert tuple(jobs.prepare(spark, lake, fixtures.news(spark)).first()) == (5, 5.8, 8, 4)
+    assert tuple(jobs.prepare(spark, lake, fixtures.news(spark)).first()) == fixtures.NEWS_STATS
     first = jobs.analyse_queue(spark, lake, positive).collect()
     again = jobs.analyse_queue(spark, lake, positive).collect()
     assert sorted(first) == sorted(again)

@@ -176,18 +176,11 @@ def test_kpis_of_products(spark):
 def test_preprocessing_of_titles(spark):
     processed = preprocess.preprocess_news(fixtures.news(spark))
     picked = processed.select("title_cleaned", "word_count", "title_length").collect()
-    cleaned = [
-        "harbour ferry timetable changes",
-        "maple 1 9 brings faster builds",
-        "trains vs buses costs compared 2024",
-        "night sky photography first steps",
-        "river levels rise after a week of rain",
-    ]
-    assert [tuple(row) for row in picked] == [
-        (title, len(title.split()), len(news[1]))
-        for title, news in zip(cleaned, fixtures.NEWS, strict=True)
-    ]
-    assert rows(preprocess.preprocess_stats(processed)) == [(5, 5.8, 8, 4)]
+    assert sorted(tuple(row) for row in picked) == sorted(
+        (" ".join(words), len(words), len(news[1]))
+        for words, news in zip(fixtures.NEWS_WORDS, fixtures.NEWS, strict=True)
+    )
+    assert rows(preprocess.preprocess_stats(processed)) == [fixtures.NEWS_STATS]
     assert set(processed.columns) == set(schemas.NEWS_PREPROCESSED.names)
     queue = preprocess.api_queue(processed)
     assert queue.schema.simpleString() == schemas.API_QUEUE.simpleString()
@@ -201,11 +194,13 @@ def test_gate(spark):
 
 
 def test_dotted_cleaning_stats(spark):
-    cleaned = preprocess.with_clean_sentences(fixtures.news(spark), "title")
-    second = cleaned.where("id = '2'").first()
-    assert second.cleaned == "maple 1.9 brings faster builds"
-    assert second.tokens == second.cleaned.split()
-    assert rows(preprocess.cleaning_stats(cleaned)) == [(5, 5, 5.6)]
+    titles = [("a", "Map of 2.5 km: free!", "", "x"), ("b", "One two, three four", "", "y")]
+    news = spark.createDataFrame(titles, schemas.NEWS)
+    cleaned = preprocess.with_clean_sentences(news, "title")
+    first = cleaned.where("id = 'a'").first()
+    assert first.cleaned == "map of 2.5 km free"
+    assert first.tokens == first.cleaned.split()
+    assert rows(preprocess.cleaning_stats(cleaned)) == [(2, 2, 4.5)]
 
 
 def messages(spark):

@@ -109,19 +109,15 @@ def test_queue_shows_latest_result(spark):
     queue = preprocess.api_queue(preprocess.preprocess_news(fixtures.news(spark)))
     results = spark.createDataFrame(
         [
-            ("1", "text", "old", 0.1, "2025-01-01T00:00:00"),
-            ("1", "text", "new", 0.2, "2025-01-02T00:00:00"),
-            ("9", "text", "gone", 0.3, "2025-01-01T00:00:00"),
+            ("item-1", "text", "old", 0.1, "2025-01-01T00:00:00"),
+            ("item-1", "text", "new", 0.2, "2025-01-02T00:00:00"),
+            ("other", "text", "gone", 0.3, "2025-01-01T00:00:00"),
         ],
         schemas.IA_RESULTS,
     )
-    joined = scoring.queue_with_results(queue, results).orderBy("id").collect()
-    assert [(r.id, r.result) for r in joined] == [
-        ("1", "new"),
-        ("2", None),
-        ("3", None),
-        ("4", None),
-        ("5", None),
+    joined = scoring.queue_with_results(queue, results).collect()
+    assert sorted((r.id, r.result) for r in joined) == [
+        (row[0], "new" if row[0] == "item-1" else None) for row in fixtures.NEWS
     ]
 
 
@@ -129,8 +125,8 @@ def test_requests(spark):
     single = scoring.single_requests(fixtures.news(spark)).orderBy("id").first()
     assert (single.type, single.analysis_type) == ("text", "text")
     assert single.metadata.asDict() == {
-        "source": "dawn",
-        "timestamp": "2024-05-02T07:00:00",
+        "source": fixtures.NEWS[0][3],
+        "timestamp": fixtures.NEWS[0][2],
     }
     batch = scoring.batch_requests(fixtures.existing_reviews(spark), "lake").first()
     assert (batch.data_type, batch.task) == ("text", "sentiment")
@@ -142,7 +138,7 @@ def test_requests(spark):
         "image",
     ]
     queue = preprocess.api_queue(preprocess.preprocess_news(fixtures.news(spark)))
-    assert scoring.score(scoring.queue_requests(queue), scorer).count() == 5
+    assert scoring.score(scoring.queue_requests(queue), scorer).count() == len(fixtures.NEWS)
 
 
 def detector(content):
@@ -214,7 +210,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, plan, tmp_path):
         assert "SortMergeJoin" in text and "Exchange" not in text
         asked = scoring.queue_requests(spark.table("queue_by_id"))
         todo = scoring.pending(asked, spark.table("results_by_id"))
-        assert (joined.count(), todo.count()) == (5, 0)
+        assert (joined.count(), todo.count()) == (len(fixtures.NEWS), 0)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
         spark.sql("DROP TABLE queue_by_id")

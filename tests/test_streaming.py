@@ -50,7 +50,7 @@ def test_landing_matches_batch(spark, tmp_path):
         stream = pipelines.stream_parquet(spark, source, schemas.NEWS)
         drain(pipelines.start_landing(stream, out, check, once=True))
     landed = spark.read.parquet(out)
-    assert landed.count() == 5
+    assert landed.count() == len(fixtures.NEWS)
     assert set(landed.columns) == set(schemas.NEWS_PREPROCESSED.names)
 
 

@@ -53,6 +53,10 @@ def analyse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return results
 
 
+# Sources whose entries have a branch of their own: three feeds, and the listing of texts.
+OWN_BRANCH = ["hackernews", "bbc_technology", "techcrunch", "reddit_technology"]
+
+
 class Cycle(NamedTuple):
     """What one cycle of fetched payloads gave; ``failures`` has source, kind and reason."""
 
@@ -73,7 +77,8 @@ def ingest(
 
     ``rss`` has source, feed_url and payload, ``listings`` has source and payload; the source
     of an image listing is its board.  Payloads are parsed once, into a run folder partitioned by
-    source, and each branch reads its own part.  Every entry is kept; ``cap``
+    branch, and each branch reads its own part.  Every payload gives its entries or is a failure;
+    without a source, its entries go with the other feeds or boards.  Every entry is kept; ``cap``
     (:func:`limits.feed_cap`) keeps the first ones of a feed, ``content_limit`` and ``tag_limit``
     cut long content and tags.
     """
@@ -85,34 +90,35 @@ def ingest(
         path = f"{folder}/{name}"
         files.write_parquet(decoded.drop("payload"), f"{path}-decoded")
         stored = spark.read.schema(decoded.drop("payload").schema).parquet(f"{path}-decoded")
-        items = rows(stored)
-        files.write_parquet(items, path, by=["source"])
-        bad = F.col(f"feed.{CORRUPT}")
-        failed = stored.where(bad.isNotNull()).select(
-            "source", F.lit(name).alias("kind"), bad.alias("reason")
+        # The branch is a column of its own: as a folder name an empty source would turn NULL.
+        branch = F.when(F.col("source").isin(*OWN_BRANCH), F.col("source")).otherwise("other")
+        items = rows(stored).withColumn("branch", F.coalesce(branch, F.lit("other")))
+        files.write_parquet(items, path, by=["branch"])
+        failed = stored.where(F.col("problem").isNotNull()).select(
+            "source", F.lit(name).alias("kind"), F.col("problem").alias("reason")
         )
         return spark.read.schema(items.schema).parquet(path), failed
 
     items, broken_feeds = parsed(feeds.decode_rss(rss), feeds.feed_items, "rss")
     posts, broken_lists = parsed(feeds.decode_listing(listings), feeds.post_rows, "listing")
-    source = F.col("source")
-    own = ["hackernews", "bbc_technology", "techcrunch"]
-    items, texts = items.where(keep), posts.where(source == "reddit_technology")
+    branch = F.col("branch")
+    own = OWN_BRANCH[:3]
+    items, texts = items.where(keep), posts.where(branch == OWN_BRANCH[3])
     collected = articles.collect_cycle(
-        articles.short_title_articles(items.where(source == own[0]), seen_at=seen_at),
+        articles.short_title_articles(items.where(branch == own[0]), seen_at=seen_at),
         articles.listing_articles(texts.where(keep), seen_at=seen_at),
-        articles.news_articles(items.where(source == own[1]), seen_at=seen_at),
+        articles.news_articles(items.where(branch == own[1]), seen_at=seen_at),
         articles.long_content_articles(
-            items.where(source == own[2]),
+            items.where(branch == own[2]),
             seen_at=seen_at,
             content_limit=content_limit,
             tag_limit=tag_limit,
         ),
         articles.aggregated_articles(
-            items.where(~F.coalesce(source.isin(own), F.lit(False))), seen_at=seen_at
+            items.where(~branch.isin(own)), seen_at=seen_at
         ),
     )
-    boards = posts.where(source != "reddit_technology")
+    boards = posts.where(branch != OWN_BRANCH[3])
     pictures = articles.image_events(boards, "source", seen_at)
     return Cycle(collected, pictures, broken_feeds.unionByName(broken_lists))
 

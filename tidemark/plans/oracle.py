@@ -585,13 +585,40 @@ ORACLE: dict[str, str] = {
     "ingest_all_entries": """WITH feeds AS (
             SELECT CASE source WHEN 'src0' THEN 'hackernews' WHEN 'src1' THEN 'bbc_technology'
                                WHEN 'src2' THEN 'techcrunch' ELSE source || '.example.com' END
-                       AS source
-            FROM documents WHERE doc_id % 10 <> 0)
-        SELECT source, count(*) * 20 AS n, count(*) * 20 AS ids FROM feeds GROUP BY source""",
+                       AS source,
+                   len(string_split(coalesce(text, ''), chr(10))) AS n
+            FROM documents WHERE doc_id % 10 NOT IN (0, 3, 6)),
+        posts AS (
+            SELECT CASE conv_id % 4 WHEN 0 THEN 'reddit_technology' WHEN 1 THEN 'reddit_board'
+                                    WHEN 3 THEN 'reddit_' END AS source,
+                   CASE conv_id % 4 WHEN 0 THEN 'text' ELSE 'image_metadata' END AS data_type
+            FROM conversations WHERE conv_id % 10 NOT IN (7, 8))
+        SELECT source, 'text' AS data_type, CAST(sum(n) AS BIGINT) AS n,
+               CAST(sum(n) AS BIGINT) AS ids FROM feeds GROUP BY source
+        UNION ALL
+        SELECT source, data_type, count(*), count(*) FROM posts GROUP BY ALL""",
     "corrupt_feeds": """SELECT CASE source WHEN 'src0' THEN 'hackernews'
                    WHEN 'src1' THEN 'bbc_technology' WHEN 'src2' THEN 'techcrunch'
-                   ELSE source END AS source, 'rss' AS kind, count(*) AS n
-        FROM documents WHERE doc_id % 10 = 0 GROUP BY 1""",
+                   ELSE source END AS source, 'rss' AS kind,
+               CASE doc_id % 10 WHEN 0 THEN 'not XML' WHEN 3 THEN 'no payload'
+                                ELSE 'no feed: html' END AS reason, count(*) AS n
+        FROM documents WHERE doc_id % 10 IN (0, 3, 6) GROUP BY ALL
+        UNION ALL
+        SELECT CASE conv_id % 4 WHEN 0 THEN 'reddit_technology' WHEN 1 THEN 'board'
+                                WHEN 3 THEN '' END, 'listing',
+               CASE conv_id % 10 WHEN 7 THEN 'no payload' ELSE 'no listing' END, count(*)
+        FROM conversations WHERE conv_id % 10 IN (7, 8) GROUP BY ALL""",
+    "feed_dialects": f"""WITH lines AS (
+            SELECT *, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+            FROM documents WHERE doc_id % 10 NOT IN (0, 3, 6))
+        SELECT CASE source WHEN 'src0' THEN 'hackernews' WHEN 'src1' THEN 'bbc_technology'
+                           WHEN 'src2' THEN 'techcrunch' ELSE source END AS source,
+               CASE doc_id % 3 WHEN 0 THEN 'rss' WHEN 1 THEN 'rdf' ELSE 'atom' END AS dialect,
+               'https://example.com/' || doc_id || '/' || i AS link, 'Entry ' || i AS title,
+               coalesce({_collapse('line')}, '') AS description,
+               coalesce({_collapse('line')}, '') AS content,
+               lang || '|news' AS tags, 'day ' || doc_id AS published FROM lines""",
 }
 
 # Articles and words of a whole cycle, from the twins of its branches.

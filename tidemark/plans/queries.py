@@ -504,23 +504,42 @@ def articles_by_source(spark, folder):
 
 @query
 def ingest_all_entries(spark, folder):
-    """Every entry of every readable feed, by source; no id is missing."""
+    """Every entry of every readable feed and listing, by source; no id is missing."""
     cycle = _cycle(spark, folder)
-    return cycle.articles.groupBy("source").agg(
+    kept = ["source", "data_type", "id"]
+    entries = cycle.articles.select(kept).unionByName(cycle.images.select(kept))
+    return entries.groupBy("source", "data_type").agg(
         F.count("*").alias("n"), F.countDistinct("id").alias("ids")
     )
 
 
 @query
 def corrupt_feeds(spark, folder):
-    """Feeds that could not be read, by source."""
-    failures = _cycle(spark, folder).failures.where("reason IS NOT NULL")
-    return failures.groupBy("source", "kind").agg(F.count("*").alias("n"))
+    """Payloads that could not be read, by source and reason."""
+    reason = F.when(F.col("reason").startswith("<"), "not XML").otherwise(F.col("reason"))
+    failures = _cycle(spark, folder).failures.withColumn("reason", reason)
+    return failures.groupBy("source", "kind", "reason").agg(F.count("*").alias("n"))
+
+
+@query
+def feed_dialects(spark, folder):
+    """Lines of documents written as items of RSS, RDF and Atom feeds and read back."""
+    items = feeds.rss_items(tables.feed_payloads(spark, folder))
+    return items.select(
+        "source",
+        "dialect",
+        "link",
+        "title",
+        text.collapse_spaces("description").alias("description"),
+        text.collapse_spaces("content").alias("content"),
+        F.array_join("tags", "|").alias("tags"),
+        "published",
+    )
 
 
 def _cycle(spark, folder):
-    listings = spark.createDataFrame([], "source string, payload string")
-    return jobs.ingest(tables.feed_payloads(spark, folder), listings, seen_at=_seen())
+    payloads = tables.feed_payloads(spark, folder), tables.listing_payloads(spark, folder)
+    return jobs.ingest(*payloads, seen_at=_seen())
 
 
 @query
@@ -545,21 +564,16 @@ def first_n_large_cap(spark, folder):
 def rss_items(spark, folder):
     """Documents written as one-item feeds and read back."""
 
-    def escaped(column):
-        for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-            column = F.replace(column, F.lit(char), F.lit(name))
-        return column
-
     documents = tables.table(spark, folder, "documents")
     payloads = documents.select(
         "source",
         F.concat(
             F.lit("<rss><channel><title>feed</title><item><title>"),
-            escaped(F.col("text")),
+            tables.escaped_xml(F.col("text")),
             F.lit("</title><link>https://example.com/"),
             F.col("doc_id").cast("string"),
             F.lit("</link><content:encoded>"),
-            escaped(F.col("text")),
+            tables.escaped_xml(F.col("text")),
             F.lit("</content:encoded><category>"),
             F.col("lang"),
             F.lit("</category><category>news</category></item></channel></rss>"),

@@ -223,36 +223,104 @@ def image_posts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 FEED_NAMES = {"src0": "hackernews", "src1": "bbc_technology", "src2": "techcrunch"}
-FEED_ITEMS = 20
+
+
+def escaped_xml(column: Column) -> Column:
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        column = F.replace(column, F.lit(char), F.lit(name))
+    return column
+
+
+def _concat(*parts: str | Column) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
 def feed_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as feeds of twenty items; every tenth is cut off and cannot be read."""
-    documents = table(spark, folder, "documents")
+    """Documents as feeds with an item per line: by turns RSS, RDF and Atom.
+
+    Of ten one is cut off, one is missing, and one is a web page.
+    """
+    number, lang = F.col("doc_id").cast("string"), F.col("lang")
+
+    def items(build) -> Column:
+        return F.array_join(F.transform(F.split("body", "\n"), build), "")
+
+    def title(i: Column) -> Column:
+        return _concat("Entry ", (i + 1).cast("string"))
+
+    def page(i: Column) -> Column:
+        return _concat("https://example.com/", number, "/", (i + 1).cast("string"))
+
+    rss = items(
+        lambda line, i: _concat(
+            *("<item><title>", title(i), "</title><link>", page(i), "</link><category>", lang),
+            *("</category><category>news</category><description>", line, "</description>"),
+            *("<content:encoded>", line, "</content:encoded><pubDate>day ", number, "</pubDate></item>"),
+        )
+    )
+    rdf = items(
+        lambda line, i: _concat(
+            *('<item rdf:about="', page(i), '"><title>', title(i), "</title><link>", page(i)),
+            *("</link><dc:subject>", lang, "</dc:subject><dc:subject>news</dc:subject><description>"),
+            *(line, "</description><content:encoded>", line, "</content:encoded><dc:date>day "),
+            *(number, "</dc:date></item>"),
+        )
+    )
+    atom = items(
+        lambda line, i: _concat(
+            *("<entry><id>urn:", number, '</id><title type="text">', title(i), "</title>"),
+            *('<link rel="enclosure" href="https://example.com/file"/><link href="', page(i)),
+            *('"/><category term="', lang, '"/><category term="news"/><summary>', line),
+            *('</summary><content type="html">', line, "</content><updated>day ", number),
+            "</updated></entry>",
+        )
+    )
+    atom_head = '<feed xmlns="http://www.w3.org/2005/Atom"><link rel="self" href="https://example.com"/>'
+    rdf_head = '<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#"><channel rdf:about="x"/>'
+    kind, tenth = F.col("doc_id") % 3, F.col("doc_id") % 10
+    payload = (
+        F.when(tenth == 0, "<rss><channel><item>cut")
+        .when(tenth == 3, F.lit(None).cast("string"))
+        .when(tenth == 6, "<!DOCTYPE html><html><body>moved</body></html>")
+        .when(kind == 0, _concat("<rss><channel>", rss, "</channel></rss>"))
+        .when(kind == 1, _concat("<?xml version='1.0'?><!-- a feed -->\n", rdf_head, rdf, "</rdf:RDF>"))
+        .otherwise(_concat(atom_head, atom, "</feed>"))
+    )
     source = F.col("source")
     for name, feed in FEED_NAMES.items():
         source = F.when(F.col("source") == name, feed).otherwise(source)
-    number = F.col("doc_id").cast("string")
-    items = F.transform(
-        F.sequence(F.lit(1), F.lit(FEED_ITEMS)),
-        lambda i: F.concat(
-            F.lit("<item><title>Entry "),
-            i.cast("string"),
-            F.lit("</title><link>https://example.com/"),
-            number,
-            F.lit("/"),
-            i.cast("string"),
-            F.lit("</link><summary>All of it</summary></item>"),
-        ),
-    )
-    body = F.concat(
-        F.lit("<rss><channel>"), F.array_join(items, ""), F.lit("</channel></rss>")
-    )
+    documents = table(spark, folder, "documents")
+    documents = documents.withColumn("body", escaped_xml(F.coalesce("text", F.lit(""))))
     return documents.select(
         source.alias("source"),
-        F.concat(F.lit("https://"), "source", F.lit(".example.com/feed")).alias("feed_url"),
-        F.when(F.col("doc_id") % 10 == 0, F.lit("<rss><channel><item>cut")).otherwise(body)
-        .alias("payload"),
+        _concat("https://", F.col("source"), ".example.com/feed").alias("feed_url"),
+        payload.alias("payload"),
+    )
+
+
+def listing_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversation turns as listings of one post: of texts, of a board, and without a source.
+
+    Of ten conversations one has no payloads, and one has error messages in their place.
+    """
+    conv = F.col("conv_id")
+    kind, tenth = conv % 4, conv % 10
+    link = _concat("https://i.example.com/", turn_id(), ".jpg")
+    post = F.struct(
+        turn_id().alias("id"),
+        F.col("role").alias("title"),
+        F.col("text").alias("selftext"),
+        F.when(kind != 0, link).alias("url"),
+        F.col("turn").cast("int").alias("ups"),
+    )
+    children = F.array(F.struct(post.alias("data"))).alias("children")
+    listing = F.to_json(F.struct(F.struct(children).alias("data")))
+    return table(spark, folder, "conversations").select(
+        F.when(kind == 0, "reddit_technology")
+        .when(kind == 1, "board")
+        .when(kind == 3, "")
+        .alias("source"),
+        F.when(tenth == 8, '{"error": 429}').when(tenth != 7, listing).alias("payload"),
     )
 
 

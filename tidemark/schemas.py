@@ -118,9 +118,37 @@ RSS_ITEM = StructType(
         StructField("pubDate", StringType()),
     ]
 )
-RSS = StructType(
+# An item of an RDF feed has Dublin Core fields in place of some of RSS.
+RDF_ITEM = StructType(
+    RSS_ITEM.fields
+    + [
+        StructField("dc:subject", ArrayType(StringType())),
+        StructField("dc:date", StringType()),
+    ]
+)
+ATOM_ENTRY = StructType(
+    [
+        StructField("id", StringType()),
+        StructField("title", StringType()),
+        StructField(
+            "link",
+            ArrayType(
+                StructType([StructField("_href", StringType()), StructField("_rel", StringType())])
+            ),
+        ),
+        StructField("summary", StringType()),
+        StructField("content", StringType()),
+        StructField("category", ArrayType(StructType([StructField("_term", StringType())]))),
+        StructField("published", StringType()),
+        StructField("updated", StringType()),
+    ]
+)
+# What the three dialects have below their root elements.
+FEED = StructType(
     [
         StructField("channel", StructType([StructField("item", ArrayType(RSS_ITEM))])),
+        StructField("item", ArrayType(RDF_ITEM)),
+        StructField("entry", ArrayType(ATOM_ENTRY)),
         StructField(CORRUPT, StringType()),
     ]
 )
