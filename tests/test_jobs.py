@@ -70,7 +70,7 @@ def test_prepare_and_score(spark, lake):
     first = jobs.analyse_queue(spark, lake, positive).collect()
     again = jobs.analyse_queue(spark, lake, positive).collect()
     assert sorted(first) == sorted(again)
-    assert {r.confidence for r in first} == {1.0} and len(first) == 5
+    assert {r.confidence for r in first} == {1.0} and len(first) == len(fixtures.NEWS)
 
 
 def test_topic_to_news(spark, lake, tmp_path):

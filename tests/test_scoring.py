@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import preprocess, scoring
+from tidemark.sources import versions
 
 NOW = "2025-06-24T12:00:00"
 
@@ -75,7 +76,7 @@ def test_each_task_is_scored_and_shown(spark, tmp_path):
     assert sorted((r.id, r.analysis_type) for r in one if r.analysis_type) == [
         ("0", "classification")
     ]
-    assert [r.error for r in spark.read.parquet(failed).collect()] == ["too bad", "too bad"]
+    assert [r.error for r in versions.read(spark, failed).collect()] == ["too bad", "too bad"]
 
 
 def test_partitions_spread_the_queue(spark):
@@ -229,3 +230,34 @@ def test_result_stored_many_times_counts_once(spark):
     assert [r.id for r in scoring.pending(queue, copies).collect()] == ["1"]
     joined = scoring.queue_with_results(queue, copies).orderBy("id").collect()
     assert [(r.id, r.result) for r in joined] == [("0", "14999"), ("1", None)]
+
+
+def test_missing_ids_are_scored_once(spark, tmp_path):
+    path = str(tmp_path / "results")
+    rows = [(None, "text", "a", "sentiment"), ("1", "text", "b", None), ("2", "text", "c", "sentiment")]
+    frame = spark.createDataFrame(rows, "id string, data_type string, content string, task string")
+    for _ in range(3):
+        scoring.score_pending(frame, scorer, path, now=NOW)
+    stored = [(r.original_id, r.analysis_type) for r in scoring.read_results(spark, path).collect()]
+    assert sorted(stored, key=str) == [("1", None), ("2", "sentiment"), (None, "sentiment")]
+
+
+def test_a_run_that_died_is_repeated_without_harm(spark, tmp_path, monkeypatch):
+    path, failed = str(tmp_path / "results"), str(tmp_path / "failed")
+    frame = requests(spark, "a", "bad", "b")
+    append = versions.append
+
+    def dying(rows, to, run=None):
+        if to == failed:
+            raise OSError("killed between the two writes")
+        return append(rows, to, run)
+
+    monkeypatch.setattr(versions, "append", dying)
+    with pytest.raises(OSError, match="killed"):
+        scoring.score_pending(frame, scorer, path, now=NOW, failed_path=failed, run="monday")
+    monkeypatch.setattr(versions, "append", append)
+    for _ in range(2):
+        again = scoring.score_pending(frame, scorer, path, now=NOW, failed_path=failed, run="monday")
+        assert again.count() == 3
+    assert sorted(r.original_id for r in scoring.read_results(spark, path).collect()) == ["0", "2"]
+    assert [r.original_id for r in versions.read(spark, failed).collect()] == ["1"]

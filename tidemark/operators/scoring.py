@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.sources import versions
 from tidemark.sources.session import run_folder
 
 Scorer = Callable[[list[dict]], list[dict]]
@@ -156,7 +157,9 @@ def batch_success(scored: DataFrame) -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """The results table; empty before the first run."""
+    """The results table as of now; empty before the first run."""
+    if versions.version(spark, path) is not None:
+        return versions.read(spark, path)
     try:
         return spark.read.schema(schemas.IA_RESULTS).parquet(path)
     except AnalysisException as error:
@@ -166,15 +169,16 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pending(requests: DataFrame, results: DataFrame) -> DataFrame:
-    """Requests without a stored result for their task.
+    """Requests without a stored result for their task; a missing id or task is one like others.
 
     Ids are made distinct on the map side, so that a result stored many times is shuffled
     once per task.
     """
     done = results.select(
-        F.col("original_id").alias("id"), F.col("analysis_type").alias("task")
+        F.col("original_id").alias("done_id"), F.col("analysis_type").alias("done_task")
     ).distinct()
-    return requests.join(done, ["id", "task"], "left_anti")
+    same = F.col("id").eqNullSafe(F.col("done_id")) & F.col("task").eqNullSafe(F.col("done_task"))
+    return requests.join(done, same, "left_anti")
 
 
 def score_pending(
@@ -185,20 +189,26 @@ def score_pending(
     partitions: int | None = None,
     now: str | None = None,
     failed_path: str | None = None,
+    run: str | None = None,
 ) -> DataFrame:
     """Score what has no result for its task yet and append the successes; safe to run again.
 
-    Replies are written once to a run folder; the successes go on to ``path``, the failures with
-    their reasons to ``failed_path`` if given.  Returns the replies of this run.
+    Replies are written once; the successes go on to ``path``, the failures with their reasons to
+    ``failed_path`` if given, each as a run that is there whole or not at all.  A run that died is
+    repeated with the same ``run`` id: it does not score again what it has replies for, and
+    neither table takes a run twice.  Without an id every call is a run of its own.  Returns the
+    replies of this run.
     """
     spark = requests.sparkSession
-    todo = pending(requests, read_results(spark, path))
-    replies = run_folder(spark, "replies")
-    score(todo, scorer, batch_size, partitions, now).write.parquet(replies)
+    replies = f"{path.rstrip('/')}/replies-{run}" if run else run_folder(spark, "replies")
+    if not (run and versions.written(spark, replies)):
+        todo = pending(requests, read_results(spark, path))
+        # What a run that died has left is not whole.
+        score(todo, scorer, batch_size, partitions, now).write.mode("overwrite").parquet(replies)
     scored = spark.read.schema(schemas.SCORED).parquet(replies)
-    successes(scored).write.mode("append").parquet(path)
+    versions.append(successes(scored), path, run)
     if failed_path is not None:
-        failures(scored).write.mode("append").parquet(failed_path)
+        versions.append(failures(scored), failed_path, run)
     return scored
 
 

@@ -560,6 +560,22 @@ ORACLE: dict[str, str] = {
         SELECT topic, coalesce(source, 'unknown') AS source,
                coalesce(category, 'general') AS category, count(*) AS n
         FROM messages GROUP BY 1, 2, 3""",
+    "live_totals_under_update": f"""WITH {_MESSAGES}
+        SELECT topic, coalesce(source, 'unknown') AS source,
+               coalesce(category, 'general') AS category, count(*) AS n, 'after' AS seen
+        FROM messages GROUP BY ALL
+        UNION ALL
+        SELECT topic, coalesce(source, 'unknown'), coalesce(category, 'general'), count(*), 'before'
+        FROM messages WHERE CAST(substr(id, 4) AS BIGINT) % 2 = 0 GROUP BY ALL""",
+    "replaced_zone": f"""WITH {_REVIEWS}
+        SELECT seen, source, count(*) AS n, CAST(sum(length(review_text)) AS BIGINT) AS chars
+        FROM reviews, (VALUES ('before'), ('after')) AS s(seen)
+        WHERE data_source = 'existing' AND (seen = 'after' OR CAST(review_id AS BIGINT) % 2 = 0)
+        GROUP BY seen, source""",
+    "rescored_once": f"""SELECT
+               CASE WHEN length(text) % 5 = 4 THEN 'failure' ELSE 'result' END AS kind,
+               CASE WHEN turn <> 0 OR conv_id % 7 <> 0 THEN {_TURN} END AS id, count(*) AS n
+        FROM conversations GROUP BY ALL""",
     "stream_hourly_counts": """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M')
                AS hour, count(*) AS n FROM events GROUP BY 1""",
     "stream_last_hour": """WITH slots AS (

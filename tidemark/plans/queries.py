@@ -12,7 +12,7 @@ from tidemark.functions import casts, categories, html, text
 from tidemark.operators import articles, limits, preprocess, quality, scoring, unify
 from tidemark.operators.once import with_once
 from tidemark.plans import jobs, live, reports, tables
-from tidemark.sources import catalog, feeds, files, topics
+from tidemark.sources import catalog, feeds, files, topics, versions
 from tidemark.sources.session import run_folder
 from tidemark.streaming import pipelines
 
@@ -820,6 +820,33 @@ def scored_tasks(spark, folder):
     return joined.select("id", "analysis_type", "sentiment", "topic")
 
 
+def uneven_scorer(requests: list[dict]) -> list[dict]:
+    """Stand-in model that needs no id and fails on some lengths."""
+    good = {"status": "success", "result": {"sentiment": {"label": "POSITIVE", "confidence": 0.9}}}
+    bad = {"status": "error", "error": "no answer"}
+    return [bad if len(request["content"]) % 5 == 4 else good for request in requests]
+
+
+@query
+def rescored_once(spark, folder):
+    """A run repeated after it died between its two writes, with requests that have no id.
+
+    The first call stands for the run that died: it stores results and no failures.
+    """
+    first = F.col("id").endswith("_0") & (F.split_part("id", F.lit("_"), F.lit(1)).cast("long") % 7 == 0)
+    queue = tables.score_requests(spark, folder)
+    queue = queue.withColumn("id", F.when(~first, F.col("id")))
+    stored, failed = run_folder(spark, "results"), run_folder(spark, "failed")
+    scoring.score_pending(queue, uneven_scorer, stored, run="first")
+    for run in ("first", "first"):
+        scoring.score_pending(queue, uneven_scorer, stored, failed_path=failed, run=run)
+    parts = [
+        versions.read(spark, path).select(F.lit(kind).alias("kind"), F.col("original_id").alias("id"))
+        for kind, path in (("result", stored), ("failure", failed))
+    ]
+    return parts[0].unionByName(parts[1]).groupBy("kind", "id").agg(F.count("*").alias("n"))
+
+
 @query
 def pending_topics(spark, folder):
     """No request for a second task is done by the results of the first."""
@@ -894,6 +921,45 @@ def stream_running_totals(spark, folder):
     return pipelines.current_values(spark, f"{run}/totals", keys)
 
 
+@query
+def live_totals_under_update(spark, folder):
+    """Totals read before and after a second batch; the first reader runs during and after it."""
+    run = run_folder(spark, "updated")
+    keys = ["topic", "source", "category"]
+    messages = tables.event_messages(spark, folder).select("topic", "id", "source", "category")
+    half = F.substring("id", 4, 20).cast("long") % 2
+    pinned = []
+    for part in (0, 1):
+        messages.where(half == part).write.parquet(f"{run}/topic/part={part}")
+        stream = pipelines.stream_parquet(spark, f"{run}/topic/part=*", messages.schema)
+        totals = pipelines.running_totals(stream)
+        pipelines.start_updates(
+            totals, f"{run}/totals", f"{run}/checkpoint", keys, once=True
+        ).awaitTermination()
+        pinned.append(pipelines.current_values(spark, f"{run}/totals", keys))
+    before, after = pinned
+    return before.withColumn("seen", F.lit("before")).unionByName(
+        after.withColumn("seen", F.lit("after"))
+    )
+
+
+@query
+def replaced_zone(spark, folder):
+    """A zone of reviews replaced while a reader holds it: old rows for it, new ones for the next."""
+    root = run_folder(spark, "zone")
+    existing, _ = tables.review_sets(spark, folder)
+    files.land_version(existing.where("CAST(review_id AS BIGINT) % 2 = 0"), root, "text", "existing")
+    before = files.read_reviews(spark, root)
+    files.land_version(existing, root, "text", "existing")
+    after = files.read_reviews(spark, root)
+    both = before.withColumn("seen", F.lit("before")).unionByName(
+        after.withColumn("seen", F.lit("after"))
+    )
+    return both.groupBy("seen", "source").agg(
+        F.count("*").alias("n"), F.sum(F.length("review_text")).alias("chars")
+    )
+
+
 @query
 def stream_hourly_counts(spark, folder):
     """Count of every hour, the open ones included, kept by a stream."""

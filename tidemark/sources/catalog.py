@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schemas import IA_RESULTS
+from tidemark.sources import versions
 from tidemark.sources.files import with_line_breaks, zone_path
 
 DATABASE = "analytics"
@@ -23,7 +24,8 @@ IMAGES_DDL = (
 def create_tables(spark: SparkSession, root: str, database: str = DATABASE) -> None:
     """(Re)create the database with ``reviews``, ``images`` and ``ia_results``.
 
-    All three have a location of their own, so dropping them leaves the files alone.
+    All three have a location of their own, so dropping them leaves the files alone.  Zones with
+    versions are shown as of now: call it again after a commit.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table, ddl, kind in (
@@ -34,13 +36,23 @@ def create_tables(spark: SparkSession, root: str, database: str = DATABASE) -> N
         spark.sql(
             f"CREATE TABLE {database}.{table} ({ddl}) USING csv "
             "OPTIONS (header 'true', quote '\"', escape '\"') "
-            f"LOCATION '{zone_path(root, kind, 'existing')}'"
+            f"LOCATION '{versions.folders(spark, zone_path(root, kind, 'existing'))[0]}'"
         )
-    spark.sql(f"DROP TABLE IF EXISTS {database}.ia_results")
+    results = zone_path(root, "results", "ia")
+    known = spark.catalog.tableExists(f"{database}.ia_results")
+    if known:
+        kind = spark.catalog.getTable(f"{database}.ia_results").tableType
+        spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} {database}.ia_results")
+    if versions.version(spark, results) is not None:
+        runs = " UNION ALL ".join(
+            f"SELECT * FROM parquet.`{folder}`" for folder in versions.folders(spark, results)
+        )
+        spark.sql(f"CREATE VIEW {database}.ia_results AS {runs}")
+        return
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in IA_RESULTS)
     spark.sql(
         f"CREATE TABLE {database}.ia_results ({columns}) USING parquet "
-        f"LOCATION '{zone_path(root, 'results', 'ia')}'"
+        f"LOCATION '{results}'"
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark import schemas
+from tidemark.sources import versions
 
 # Where each dataset is landed, below the lake root.
 ZONES = {
@@ -81,8 +82,9 @@ def read_csv(
 
     ``enforceSchema`` is off, so a file whose header does not fit fails instead of being
     mapped by position.  ``DROPMALFORMED`` leaves out blank and short rows.  Line breaks that
-    :func:`write_csv` has marked are put back.
+    :func:`write_csv` has marked are put back.  Of a zone with versions the newest is read.
     """
+    path = versions.folders(spark, path) if isinstance(path, str) else path
     rows = (
         spark.read.schema(schema)
         .option("header", True)
@@ -253,25 +255,39 @@ def line_count(spark: SparkSession, path: str) -> DataFrame:
 
 
 def land(df: DataFrame, root: str, kind: str, origin: str) -> str:
-    """Replace a CSV zone with ``df`` and return its path."""
+    """Replace a CSV zone with ``df`` and return its path.
+
+    The zone is a plain folder, as other programs read it; while it is replaced it must not be
+    read.  :func:`land_version` has no such moment.
+    """
     path = zone_path(root, kind, origin)
     write_csv(df, path, header=True)
     return path
 
 
+# Spaces at the ends of a field are part of it.
+CSV_OPTIONS = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
     """One line per row: line breaks inside a field are marked."""
-    (
-        with_marked_breaks(df)
-        .write.mode("overwrite")
-        .option("header", header)
-        .option("quote", '"')
-        .option("escape", '"')
-        # Spaces at the ends of a field are part of it.
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    writer = with_marked_breaks(df).write.mode("overwrite")
+    writer.options(header=header, **CSV_OPTIONS).csv(path)
+
+
+def land_version(df: DataFrame, root: str, kind: str, origin: str) -> int:
+    """Replace a CSV zone in one step and return the version.
+
+    Readers that began before go on with the old rows; :func:`read_csv` finds the newest.
+    """
+    options = {"header": "true", **CSV_OPTIONS}
+    path = zone_path(root, kind, origin)
+    return versions.replace(with_marked_breaks(df), path, form="csv", options=options)
 
 
 def write_parquet(

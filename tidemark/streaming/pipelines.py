@@ -16,12 +16,13 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.casts import parse_iso
 from tidemark.operators.preprocess import preprocess_news
+from tidemark.sources import versions
 from tidemark.sources.topics import IMAGES_TOPIC, TEXT_TOPIC
 
 CYCLE = "300 seconds"
 LATENESS = "1 hour"
 BUCKET = "5 minutes"
-# Versions of the current values that are kept side by side; readers take the newest rows.
+# Versions of the current values that are kept side by side.
 VERSIONS = 4
 
 
@@ -161,37 +162,49 @@ def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _merge_epoch(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+def _merge_epoch(
+    path: str, keys: list[str], retention: float
+) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
         rows = batch.withColumn("epoch", F.lit(epoch).cast("long"))
-        if epoch > 0:
-            last = f"{path}/version={(epoch - 1) % VERSIONS}"
-            known = batch.sparkSession.read.schema(rows.schema).parquet(last)
-            rows = _newest(known.unionByName(rows), keys)
-        # A repeated batch starts from the same version and replaces its own, so a restart does
-        # not count twice.
-        rows.write.mode("overwrite").parquet(f"{path}/version={epoch % VERSIONS}")
+        at = versions.version(spark, path)
+        if at is not None:
+            if at.mark >= epoch:
+                return  # a repeated batch that was committed before the restart
+            rows = _newest(versions.read(spark, path, at).unionByName(rows), keys)
+        versions.replace(rows, path, mark=epoch)
+        versions.vacuum(spark, path, VERSIONS, retention)
 
     return write
 
 
 def start_updates(
-    df: DataFrame, path: str, checkpoint: str, keys: list[str], once: bool = False
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: list[str],
+    once: bool = False,
+    retention: float = versions.RETENTION,
 ) -> StreamingQuery:
     """Keep the current row of every group (``keys``) below ``path``.
 
-    Each batch merges its changed groups into the last version and writes the next; VERSIONS of
-    them take turns, so the folder holds a fixed number of rows per group however long it runs.
-    A new checkpoint needs a new path.
+    Each batch merges its changed groups into the last version and commits the next, under the
+    batch's number, so a repeated batch counts once.  Readers are never disturbed: a version is
+    immutable, and goes once VERSIONS newer ones exist and the next one is ``retention`` seconds
+    old, so the folder holds a bounded number of rows per group however long it runs.  A new
+    checkpoint needs a new path.
     """
-    writer = df.writeStream.outputMode("update").foreachBatch(_merge_epoch(path, keys))
+    writer = df.writeStream.outputMode("update").foreachBatch(_merge_epoch(path, keys, retention))
     return _triggered(writer.option("checkpointLocation", checkpoint), once).start()
 
 
-def current_values(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The latest row of every group that :func:`start_updates` wrote."""
-    rows = spark.read.parquet(path).drop("version")
-    return _newest(rows, keys).drop("epoch")
+def current_values(spark: SparkSession, path: str, keys: list[str] | None = None) -> DataFrame:
+    """The latest row of every group that :func:`start_updates` wrote: its newest version.
+
+    The frame keeps to this version, whatever is written while it is used.
+    """
+    return versions.read(spark, path).drop("epoch")
 
 
 def start_split(
