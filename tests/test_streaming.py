@@ -4,13 +4,14 @@ import json
 import time
 
 import fixtures
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.schemas import CORRUPT
-from tidemark.sources import topics
-from tidemark.streaming import pipelines
+from tidemark.sources import topics, versions
+from tidemark.streaming import pipelines, silence
 
 
 @pytest.fixture
@@ -198,3 +199,102 @@ def test_published_stream_has_keys(spark, topic, tmp_path):
     row = spark.read.parquet(str(tmp_path / "out")).first()
     assert (row.topic, row.key) == ("text-topic", "1")
     assert json.loads(row.value)["source"] == "s"
+
+
+def events(spark, folder, *batches):
+    """Write a file per batch of (source, seconds) and stream them, a file a batch."""
+    for number, rows in enumerate(batches):
+        frame = spark.createDataFrame(rows, "source string, s long")
+        frame = frame.select("source", F.timestamp_seconds("s").alias("event_time"))
+        frame.coalesce(1).write.parquet(f"{folder}/part={number}")
+        time.sleep(0.01)
+    return pipelines.stream_parquet(spark, f"{folder}/part=*", frame.schema, 1)
+
+
+def transitions(spark, folder, *batches):
+    stream = silence.transitions(events(spark, f"{folder}/in", *batches), quiet=600, delay="100 seconds")
+    with silence.rocks_state(spark):
+        query = pipelines.start_parquet(stream, f"{folder}/out", f"{folder}/check", once=True)
+    drain(query)
+    rows = spark.read.parquet(f"{folder}/out").select("source", F.unix_seconds("at").alias("at"), "state")
+    return sorted(tuple(r) for r in rows.collect())
+
+
+def test_silence_is_told_once_whatever_the_batches(spark, tmp_path):
+    rows = [("a", 1000), ("a", 1500), ("a", 3000), (None, 1200), ("a", 1600), ("b", 9000), ("b", 9600)]
+    expected = [
+        ("a", 1000, "active"),
+        ("a", 2200, "slowed"),
+        ("a", 3000, "active"),
+        ("a", 3600, "slowed"),
+        ("b", 9000, "active"),
+        ("unknown", 1200, "active"),
+        ("unknown", 1800, "slowed"),
+    ]
+    assert transitions(spark, tmp_path / "one", rows) == expected
+    # a's event at 1600 is out of order, but not late.
+    late_but_in_time = [[rows[0], rows[1]], [("b", 1650), rows[4]], rows[2:4], rows[5:]]
+    got = transitions(spark, tmp_path / "four", *late_but_in_time)
+    assert [r for r in got if r[0] == "a"] == expected[:4]
+
+
+def test_intervals_are_merged():
+    rows = np.array([[5, 9], [1, 3], [3, 4], [6, 7], [20, 30]])
+    assert silence.merged(rows).tolist() == [[1, 4], [5, 9], [20, 30]]
+    assert silence.merged(np.empty((0, 2), np.int64)).tolist() == []
+
+
+def test_statistics_count_a_repeated_batch_once(spark, topic, tmp_path, monkeypatch):
+    good, bad, check, kept = (str(tmp_path / name) for name in ("good", "bad", "check", "kept"))
+    topic(message("1", ""), "not json", message("2", ""))
+
+    def run():
+        query = pipelines.start_split(
+            decoded(spark, topic), CORRUPT, good, bad, check, once=True, statistics_path=kept
+        )
+        query.awaitTermination(120)
+        return query
+
+    replace = versions.replace
+
+    def dying(*args, **options):
+        replace(*args, **options)
+        raise OSError("killed after the statistics")
+
+    monkeypatch.setattr(versions, "replace", dying)
+    with pytest.raises(Exception, match="killed after"):
+        run()
+    monkeypatch.setattr(versions, "replace", replace)
+    run()
+    topic("bad again")
+    run()
+    rows = pipelines.current_values(spark, kept).orderBy("batch").collect()
+    assert [(r.batch, r.total_scraped, r.errors) for r in rows] == [(0, 2, 1), (1, 0, 1)]
+    assert all(r.seconds > 0 and r.ended is not None for r in rows)
+
+
+def test_newest_messages_are_kept_over_batches(spark, topic, tmp_path):
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    order = [F.col("scraped_at").desc(), F.col("id")]
+    sent = []
+    for number in range(4):
+        batch = [message(f"{number}-{i:02}", f"2025-01-0{(i * 5 + number) % 9}") for i in range(20)]
+        sent += [(m["scraped_at"], m["id"]) for m in batch]
+        topic(*batch)
+        rows = decoded(spark, topic).select("topic", "id", "scraped_at")
+        drain(pipelines.start_newest(rows, out, check, "topic", order, 7, once=True))
+    kept = pipelines.current_values(spark, out).collect()
+    best = sorted(sorted(sent, key=lambda s: s[1]), key=lambda s: s[0], reverse=True)[:7]
+    assert sorted(r.id for r in kept) == sorted(i for _, i in best)
+
+
+def test_reader_is_not_disturbed_by_an_update(spark, topic, tmp_path):
+    out, check = str(tmp_path / "totals"), str(tmp_path / "check")
+    keys = ["topic", "source", "category"]
+    held = []
+    for number in range(pipelines.VERSIONS + 2):
+        topic(message(str(number), ""))
+        totals = pipelines.running_totals(decoded(spark, topic))
+        drain(pipelines.start_updates(totals, out, check, keys, once=True))
+        held.append(pipelines.current_values(spark, out))
+    assert [frame.first().n for frame in held] == list(range(1, pipelines.VERSIONS + 3))

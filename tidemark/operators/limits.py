@@ -63,6 +63,13 @@ def first_per_source(
     return ranked.drop("_rank")
 
 
+def newest_per_key(rows: DataFrame, key: str, order: list[Column], limit: int) -> DataFrame:
+    """The first ``limit`` rows of every key in ``order``, ranked in salted parts of a key first."""
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))
+    rows = _ranked_below(rows, [key, salt], order, limit).drop("_rank")
+    return _ranked_below(rows, [key], order, limit).drop("_rank")
+
+
 def latest(df: DataFrame, when: Column | str, limit: int, *ties: str) -> DataFrame:
     """The newest ``limit`` rows, newest first."""
     moment = F.col(when) if isinstance(when, str) else when

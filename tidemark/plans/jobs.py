@@ -167,7 +167,7 @@ def land_topic(
 ) -> StreamingQuery:
     """Keep landing a topic's articles as cleaned news, ready for the queue.
 
-    Unreadable messages are landed next to them.
+    Unreadable messages are landed next to them, and the counts of every batch are kept.
     """
 
     def news(messages: DataFrame) -> DataFrame:
@@ -182,6 +182,7 @@ def land_topic(
         checkpoint,
         once,
         news,
+        files.zone_path(root, "streaming", "statistics"),
     )
 
 

@@ -466,6 +466,17 @@ ORACLE: dict[str, str] = {
             SELECT topic, coalesce(source = 'error', false) AS bad FROM messages)
         SELECT CASE WHEN bad THEN 'unreadable' ELSE 'good' END AS kind, topic, count(*) AS n
         FROM judged GROUP BY 1, 2""",
+    "cycle_statistics": f"""WITH {_MESSAGES}, judged AS (
+            SELECT topic, coalesce(source = 'error', false) AS bad FROM messages)
+        SELECT CAST(3 AS BIGINT) AS cycles, CAST(3 AS BIGINT) AS batches,
+               count(*) FILTER (WHERE NOT bad) AS total_scraped,
+               count(*) FILTER (WHERE NOT bad AND topic = 'text-topic') AS text_articles,
+               count(*) FILTER (WHERE NOT bad AND topic = 'images-topic') AS image_metadata,
+               count(*) FILTER (WHERE bad) AS errors
+        FROM judged""",
+    "stream_newest_messages": f"""WITH {_MESSAGES}
+        SELECT topic, id, scraped_at FROM messages
+        QUALIFY row_number() OVER (PARTITION BY topic ORDER BY scraped_at DESC, id) <= 50""",
     "last_hour_count": f"""SELECT count(*) AS n FROM events
         WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR""",
     "feed_freshness": f"""WITH newest AS (
@@ -567,6 +578,20 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT topic, coalesce(source, 'unknown'), coalesce(category, 'general'), count(*), 'before'
         FROM messages WHERE CAST(substr(id, 4) AS BIGINT) % 2 = 0 GROUP BY ALL""",
+    "silent_sources": """WITH gaps AS (
+            SELECT event_type AS source, ts,
+                   lag(ts) OVER (PARTITION BY event_type ORDER BY ts) AS before,
+                   lead(ts) OVER (PARTITION BY event_type ORDER BY ts) AS after,
+                   max(ts) OVER () - INTERVAL 1 HOUR AS told
+            FROM events),
+        moments AS (
+            SELECT source, 'active' AS state, ts AS moment, told FROM gaps
+            WHERE before IS NULL OR ts > before + INTERVAL 600 SECOND
+            UNION ALL
+            SELECT source, 'slowed', ts + INTERVAL 600 SECOND, told FROM gaps
+            WHERE after IS NULL OR after > ts + INTERVAL 600 SECOND)
+        SELECT source, state, strftime(moment, '%Y-%m-%d %H:%M:%S') AS "at"
+        FROM moments WHERE moment <= told""",
     "replaced_zone": f"""WITH {_REVIEWS}
         SELECT seen, source, count(*) AS n, CAST(sum(length(review_text)) AS BIGINT) AS chars
         FROM reviews, (VALUES ('before'), ('after')) AS s(seen)

@@ -14,7 +14,7 @@ from tidemark.operators.once import with_once
 from tidemark.plans import jobs, live, reports, tables
 from tidemark.sources import catalog, feeds, files, topics, versions
 from tidemark.sources.session import run_folder
-from tidemark.streaming import pipelines
+from tidemark.streaming import pipelines, silence
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -943,6 +943,26 @@ def live_totals_under_update(spark, folder):
     )
 
 
+@query
+def silent_sources(spark, folder):
+    """When sources of the events fell silent and came back, told by a stream in four batches."""
+    run = run_folder(spark, "silence")
+    events = tables.table(spark, folder, "events")
+    moment = F.col("ts").cast("timestamp")
+    first, last = events.agg(F.min(F.unix_micros(moment)), F.max(F.unix_micros(moment))).first()
+    part = ((F.unix_micros(moment) - first) * 4 / (last - first + 1)).cast("int")
+    timed = events.select(F.col("event_type").alias("source"), moment.alias("event_time"))
+    for number in range(4):
+        timed.where(part == number).coalesce(1).write.parquet(f"{run}/events/part={number}")
+    stream = pipelines.stream_parquet(spark, f"{run}/events/part=*", timed.schema, 1)
+    found = silence.transitions(stream)
+    with silence.rocks_state(spark):
+        query = pipelines.start_parquet(found, f"{run}/found", f"{run}/checkpoint", once=True)
+    query.awaitTermination()
+    told = files.read_parquet(spark, f"{run}/found")
+    return told.select("source", "state", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
 @query
 def replaced_zone(spark, folder):
     """A zone of reviews replaced while a reader holds it: old rows for it, new ones for the next."""
@@ -1011,6 +1031,42 @@ def stream_split(spark, folder):
     return parts[0].unionByName(parts[1]).groupBy("kind", "topic").agg(F.count("*").alias("n"))
 
 
+@query
+def cycle_statistics(spark, folder):
+    """Counts of every cycle of a topic that is landed in three runs, from what the job keeps."""
+    run = run_folder(spark, "cycles")
+    records = tables.damaged_records(spark, folder).select("topic", "value")
+    part = F.pmod(F.get_json_object("value", "$.word_count").cast("int"), F.lit(3))
+    part = F.coalesce(part, F.lit(0))
+    root = f"{run}/lake"
+    for number in range(3):
+        records.where(part == number).write.parquet(f"{run}/topic/part={number}")
+        stream = pipelines.stream_parquet(spark, f"{run}/topic/part=*", records.schema)
+        jobs.land_topic(stream, root, f"{run}/checkpoint", once=True).awaitTermination()
+    kept = pipelines.current_values(spark, files.zone_path(root, "streaming", "statistics"))
+    return kept.agg(
+        F.count("batch").alias("cycles"),
+        F.countDistinct("batch").alias("batches"),
+        *[F.sum(n).alias(n) for n in ("total_scraped", "text_articles", "image_metadata", "errors")],
+    )
+
+
+@query
+def stream_newest_messages(spark, folder):
+    """The last 50 messages of every topic, kept by a stream; every batch has old and new ones."""
+    run = run_folder(spark, "newest")
+    messages = tables.event_messages(spark, folder).select("topic", "id", "scraped_at")
+    order = [F.col("scraped_at").desc(), F.col("id")]
+    part = F.substring("id", 4, 20).cast("long") % 3
+    for number in range(3):
+        messages.where(part == number).write.parquet(f"{run}/topic/part={number}")
+        stream = pipelines.stream_parquet(spark, f"{run}/topic/part=*", messages.schema)
+        pipelines.start_newest(
+            stream, f"{run}/newest", f"{run}/checkpoint", "topic", order, 50, once=True
+        ).awaitTermination()
+    return pipelines.current_values(spark, f"{run}/newest")
+
+
 @query
 def stream_deduplicated(spark, folder):
     """Messages landed once: sent twice, late and fresh in one batch, and without an id.

@@ -25,6 +25,7 @@ ZONES = {
     ("processed", "rollup"): "data/analytics/review_rollup",
     ("processed", "images"): "data/analytics/image_categories",
     ("streaming", "unreadable"): "data/streaming/unreadable",
+    ("streaming", "statistics"): "data/streaming/statistics",
     ("live", "totals"): "data/live/totals",
     ("live", "buckets"): "data/live/buckets",
     ("results", "ia"): "data/ia_results",

@@ -7,6 +7,7 @@ five minutes.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.functions.casts import parse_iso
+from tidemark.operators import limits
 from tidemark.operators.preprocess import preprocess_news
 from tidemark.sources import versions
 from tidemark.sources.topics import IMAGES_TOPIC, TEXT_TOPIC
@@ -117,16 +119,20 @@ def last_hour_counts(buckets: DataFrame, bucket: str = BUCKET) -> DataFrame:
     )
 
 
-def with_cycle_counters(decoded: DataFrame, corrupt: str, name: str = "cycle") -> DataFrame:
-    """Counts per batch, reported in the query's progress under ``name``."""
+def cycle_counters(corrupt: str) -> list[Column]:
+    """Aggregates over the messages of a cycle."""
     bad = F.col(corrupt).isNotNull()
-    return decoded.observe(
-        name,
+    return [
         F.count_if(~bad).alias("total_scraped"),
         F.count_if(~bad & (F.col("topic") == TEXT_TOPIC)).alias("text_articles"),
         F.count_if(~bad & (F.col("topic") == IMAGES_TOPIC)).alias("image_metadata"),
         F.count_if(bad).alias("errors"),
-    )
+    ]
+
+
+def with_cycle_counters(decoded: DataFrame, corrupt: str, name: str = "cycle") -> DataFrame:
+    """Counts per batch, reported in the query's progress under ``name``."""
+    return decoded.observe(name, *cycle_counters(corrupt))
 
 
 # --- sinks ---
@@ -162,19 +168,31 @@ def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+Merge = Callable[[DataFrame | None, DataFrame], DataFrame]
+
+
+def _commit_epoch(
+    batch: DataFrame, epoch: int, path: str, merge: Merge, retention: float
+) -> None:
+    """Commit ``merge`` of the last version (None at first) and the batch, once for each epoch."""
+    spark = batch.sparkSession
+    at = versions.version(spark, path)
+    if at is not None and at.mark >= epoch:
+        return  # a repeated batch that was committed before the restart
+    known = None if at is None else versions.read(spark, path, at)
+    versions.replace(merge(known, batch), path, mark=epoch)
+    versions.vacuum(spark, path, VERSIONS, retention)
+
+
 def _merge_epoch(
     path: str, keys: list[str], retention: float
 ) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
+        def merge(known: DataFrame | None, rows: DataFrame) -> DataFrame:
+            return rows if known is None else _newest(known.unionByName(rows), keys)
+
         rows = batch.withColumn("epoch", F.lit(epoch).cast("long"))
-        at = versions.version(spark, path)
-        if at is not None:
-            if at.mark >= epoch:
-                return  # a repeated batch that was committed before the restart
-            rows = _newest(versions.read(spark, path, at).unionByName(rows), keys)
-        versions.replace(rows, path, mark=epoch)
-        versions.vacuum(spark, path, VERSIONS, retention)
+        _commit_epoch(rows, epoch, path, merge, retention)
 
     return write
 
@@ -207,6 +225,36 @@ def current_values(spark: SparkSession, path: str, keys: list[str] | None = None
     return versions.read(spark, path).drop("epoch")
 
 
+def start_newest(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    key: str,
+    order: list[Column],
+    limit: int,
+    once: bool = False,
+    retention: float = versions.RETENTION,
+) -> StreamingQuery:
+    """Keep the first ``limit`` rows of every key in ``order``, whatever batch they come in.
+
+    A batch is cut to ``limit`` rows per key in salted parts before it meets the rows kept so far,
+    so a key may hold most of it.  Read with :func:`current_values`.  ``order`` must tell any two
+    different rows apart.
+    """
+
+    def merge(known: DataFrame | None, batch: DataFrame) -> DataFrame:
+        best = limits.newest_per_key(batch, key, order, limit)
+        if known is None:
+            return best
+        return limits.newest_per_key(known.unionByName(best), key, order, limit)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        _commit_epoch(batch, epoch, path, merge, retention)
+
+    writer = rows.writeStream.foreachBatch(write)
+    return _triggered(writer.option("checkpointLocation", checkpoint), once).start()
+
+
 def start_split(
     decoded: DataFrame,
     corrupt: str,
@@ -215,13 +263,33 @@ def start_split(
     checkpoint: str,
     once: bool = False,
     prepare: Callable[[DataFrame], DataFrame] = lambda good: good,
+    statistics_path: str | None = None,
+    retention: float = versions.RETENTION,
 ) -> StreamingQuery:
     """Land readable messages as ``prepare`` makes them, and unreadable ones next to them.
 
-    Both come from one read of the topic; a repeated batch replaces its own folders.
+    Both come from one read of the topic; a repeated batch replaces its own folders.  With
+    ``statistics_path`` the batch's counts (:func:`cycle_counters`) are kept there, a row with
+    its number, time and seconds for every batch, once however often it was repeated; read them
+    with :func:`current_values`.
     """
 
+    def keep_statistics(batch: DataFrame, epoch: int, began: float) -> None:
+        seconds = F.lit(time.time() - began)
+        row = batch.agg(*cycle_counters(corrupt)).select(
+            F.lit(epoch).cast("long").alias("batch"),
+            F.current_timestamp().alias("ended"),
+            seconds.alias("seconds"),
+            "*",
+        )
+
+        def add(known: DataFrame | None, new: DataFrame) -> DataFrame:
+            return new if known is None else known.unionByName(new).coalesce(1)
+
+        _commit_epoch(row, epoch, statistics_path, add, retention)
+
     def write(batch: DataFrame, epoch: int) -> None:
+        began = time.time()
         batch.persist()
         try:
             bad = F.col(corrupt).isNotNull()
@@ -230,6 +298,8 @@ def start_split(
             batch.where(bad).select("topic", corrupt).write.mode("overwrite").parquet(
                 f"{bad_path}/epoch={epoch}"
             )
+            if statistics_path is not None:
+                keep_statistics(batch, epoch, began)
         finally:
             batch.unpersist()
 
