@@ -1,0 +1,80 @@
+"""Rollups kept up to date, keyword automata and rule sets."""
+
+import random
+
+import fixtures
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import categories
+from tidemark.operators import quality, unify
+from tidemark.plans import reports, rollups
+from tidemark.sources import versions
+
+
+def all_reviews(spark):
+    return unify.all_reviews(fixtures.existing_reviews(spark), fixtures.scraped_reviews(spark))
+
+
+def rows(frame):
+    return sorted(map(str, frame.collect()))
+
+
+def test_only_changed_months_are_written_again(spark, tmp_path):
+    path = str(tmp_path / "rollup")
+    reviews = all_reviews(spark)
+    unreadable = reviews.limit(1).withColumn("timestamp", F.lit("soon"))
+    late = reviews.where("timestamp LIKE '2024-03-04%'").withColumns(
+        {"review_id": F.lit("late"), "rating": F.lit("1"), "source": F.lit("other")}
+    )
+    rollups.refresh(reviews.unionByName(unreadable), path)
+    before = versions.version(spark, path).runs
+    assert "none" in before and "2024-03" in before
+    after_late = reviews.unionByName(late)
+    months = rollups.changed_months(late.unionByName(unreadable))
+    assert months == ["2024-03", None]
+    rollup = rollups.refresh(after_late, path, months)
+    after = versions.version(spark, path).runs
+    changed = {m for m in before | after if before.get(m) != after.get(m)}
+    assert changed == {"2024-03", "none"} and "none" not in after
+    wanted = rows(reports.review_rollup(after_late))
+    assert rows(rollup) == wanted
+    full = reports.reviews_by_source(after_late)
+    assert rows(reports.reviews_by_source(rollup, rollup=True)) == rows(full)
+    # Old parts go, those in use stay.
+    assert versions.vacuum(spark, path, keep=1, older_than=0) == 0
+    rollups.refresh(after_late, path)
+    assert versions.vacuum(spark, path, keep=1, older_than=0) == 2
+    assert rows(versions.read(spark, path)) == wanted
+
+
+def test_automaton_equals_the_chain(spark):
+    random.seed(3)
+    words = {f"c{i}": ["".join(random.choices("ab", k=random.randrange(3, 7))) for _ in range(9)] for i in range(5)}
+    texts = [None, "", "AB" * 4] + ["".join(random.choices("abx ", k=random.randrange(60))) for _ in range(300)]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = frame.select(
+        categories.first_category("t", words).alias("chain"),
+        categories.first_of_many("t", words).alias("automaton"),
+    ).collect()
+    assert all(r.chain == r.automaton for r in both)
+    assert len({r.chain for r in both}) > 3
+    one = frame.select(categories.first_of_many("t", {"all": [""]}).alias("c")).collect()
+    assert [r.c for r in one][:2] == ["general", "all"]
+
+
+def test_rules_are_counted_and_rows_set_apart(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "a"), (2, None), (None, "b"), (-4, "b")], "n long, t string")
+    rules = [quality.Rule("positive", F.col("n") > 0), quality.Rule("not b", F.col("t") != "b")]
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    counts = quality.quarantine(frame, rules, good, bad)
+    assert counts == {"rows": 4, "positive": 2, "not b": 3}
+    assert versions.read(spark, good).collect() == [(1, "a")]
+    broken = {(r.n, r.t): r[quality.BROKEN] for r in versions.read(spark, bad).collect()}
+    both = ["positive", "not b"]
+    assert broken == {(2, None): ["not b"], (None, "b"): both, (-4, "b"): both}
+    assert sorted(map(tuple, quality.rule_counts(frame, rules).collect())) == [("not b", 3), ("positive", 2)]
+    empty = quality.quarantine(frame.limit(0), rules, good, bad)
+    assert empty["rows"] == 0 and versions.read(spark, good).count() == 0
+    with pytest.raises(ValueError, match="names"):
+        quality.quarantine(frame, [rules[0], rules[0]], good, bad)

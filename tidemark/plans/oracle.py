@@ -179,6 +179,17 @@ _MESSAGES = """messages AS (
            ts
     FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events))"""
 
+_BROKEN = """checks AS (
+    SELECT o_orderkey, rule, place, NOT coalesce(holds, false) AS breaks
+    FROM orders, LATERAL (VALUES
+        ('has_key', 0, o_orderkey IS NOT NULL), ('has_customer', 1, o_custkey > 0),
+        ('price_positive', 2, o_totalprice > 0), ('price_plausible', 3, o_totalprice < 400000),
+        ('status_known', 4, o_orderstatus IN ('F', 'O', 'P')),
+        ('status_final', 5, o_orderstatus <> 'P'),
+        ('priority_given', 6, o_orderpriority <> '4-NOT SPECIFIED'),
+        ('dated', 7, o_orderdate IS NOT NULL), ('not_old', 8, year(o_orderdate) >= 1993),
+        ('key_not_round', 9, o_orderkey % 100 <> 0)) AS r(rule, place, holds))"""
+
 _EVENT_FIELDS = f"""'{SEEN_AT}' AS "timestamp", '{SEEN_AT}' AS scraped_at"""
 
 _IMAGE_EVENTS = f"""{_IMAGE_POSTS}, image_events AS (
@@ -350,6 +361,12 @@ ORACLE: dict[str, str] = {
     "image_link_filter": f"WITH {_IMAGE_POSTS} SELECT id, url FROM posts WHERE {_IMAGE_LINK}",
     "categorize_content": f"""SELECT doc_id, {_category('text', ARTICLE_KEYWORDS)} AS category
         FROM documents""",
+    "categorize_many": f"""SELECT doc_id,
+               CASE WHEN {_category('text', ARTICLE_KEYWORDS)} <> 'general'
+                    THEN {_category('text', ARTICLE_KEYWORDS)}
+                    WHEN regexp_matches(lower(text), '[a-j]{{3}}q') THEN 'rare'
+                    ELSE 'general' END AS category
+        FROM documents""",
     "categorize_image": f"""SELECT {_TURN} AS id, {_category('text', IMAGE_KEYWORDS)} AS category
         FROM conversations""",
     "base64_text": f"SELECT {_TURN} AS id, base64(encode(text)) AS content FROM conversations",
@@ -601,6 +618,11 @@ ORACLE: dict[str, str] = {
                CASE WHEN length(text) % 5 = 4 THEN 'failure' ELSE 'result' END AS kind,
                CASE WHEN turn <> 0 OR conv_id % 7 <> 0 THEN {_TURN} END AS id, count(*) AS n
         FROM conversations GROUP BY ALL""",
+    "rule_counts": f"""WITH {_BROKEN}
+        SELECT rule, count(*) FILTER (WHERE breaks) AS broken FROM checks GROUP BY rule""",
+    "quarantined_orders": f"""WITH {_BROKEN}
+        SELECT o_orderkey, string_agg(rule, ',' ORDER BY place) FILTER (WHERE breaks) AS broken
+        FROM checks GROUP BY o_orderkey HAVING bool_or(breaks)""",
     "stream_hourly_counts": """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M')
                AS hour, count(*) AS n FROM events GROUP BY 1""",
     "stream_last_hour": """WITH slots AS (
@@ -662,6 +684,8 @@ ORACLE: dict[str, str] = {
                lang || '|news' AS tags, 'day ' || doc_id AS published FROM lines""",
 }
 
+ORACLE["incremental_reports"] = ORACLE["reviews_by_source"]
+
 # Articles and words of a whole cycle, from the twins of its branches.
 ORACLE["articles_by_source"] = (
     "SELECT source, count(*) AS n, CAST(sum(word_count) AS BIGINT) AS words FROM ("

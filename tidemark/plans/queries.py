@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import casts, categories, html, text
 from tidemark.operators import articles, limits, preprocess, quality, scoring, unify
 from tidemark.operators.once import with_once
-from tidemark.plans import jobs, live, reports, tables
+from tidemark.plans import jobs, live, reports, rollups, tables
 from tidemark.sources import catalog, feeds, files, topics, versions
 from tidemark.sources.session import run_folder
 from tidemark.streaming import pipelines, silence
@@ -57,6 +57,21 @@ def reviews_by_source(spark, folder):
     return reports.reviews_by_source(_all_reviews(spark, folder))
 
 
+@query
+def incremental_reports(spark, folder):
+    """The report by source from a rollup that a few late reviews have changed.
+
+    The rollup is made without every 97th review; then the months of those are computed
+    again.
+    """
+    run = run_folder(spark, "rollup")
+    reviews = _all_reviews(spark, folder)
+    late = F.col("review_id").cast("long") % 97 == 0
+    rollups.refresh(reviews.where(~late), run)
+    rollup = rollups.refresh(reviews, run, rollups.changed_months(reviews.where(late)))
+    return reports.reviews_by_source(rollup, rollup=True)
+
+
 @query
 def reviews_daily(spark, folder):
     daily = reports.reviews_daily(_all_reviews(spark, folder))
@@ -364,6 +379,16 @@ def categorize_content(spark, folder):
     return documents.select("doc_id", categories.categorize_content("text").alias("category"))
 
 
+@query
+def categorize_many(spark, folder):
+    """The categories of documents from a list of a thousand more words, made by rule."""
+    letters = "abcdefghij"
+    rare = [a + b + c + "q" for a in letters for b in letters for c in letters]
+    keywords = categories.ARTICLE_KEYWORDS | {"rare": rare}
+    documents = tables.table(spark, folder, "documents")
+    return documents.select("doc_id", categories.first_of_many("text", keywords).alias("category"))
+
+
 @query
 def categorize_image(spark, folder):
     turns = tables.table(spark, folder, "conversations")
@@ -889,6 +914,39 @@ def detections(spark, folder):
 # --- streams, drained once ---
 
 
+def _order_rules():
+    """Ten checks of orders, most of which some orders break."""
+    price, order = F.col("o_totalprice"), F.col("o_orderkey")
+    return [
+        quality.Rule("has_key", order.isNotNull()),
+        quality.Rule("has_customer", F.col("o_custkey") > 0),
+        quality.Rule("price_positive", price > 0),
+        quality.Rule("price_plausible", price < 400_000),
+        quality.Rule("status_known", F.col("o_orderstatus").isin("F", "O", "P")),
+        quality.Rule("status_final", F.col("o_orderstatus") != "P"),
+        quality.Rule("priority_given", F.col("o_orderpriority") != "4-NOT SPECIFIED"),
+        quality.Rule("dated", F.col("o_orderdate").isNotNull()),
+        quality.Rule("not_old", F.year("o_orderdate") >= 1993),
+        quality.Rule("key_not_round", order % 100 != 0),
+    ]
+
+
+@query
+def rule_counts(spark, folder):
+    """How many orders break each of ten rules."""
+    return quality.rule_counts(tables.table(spark, folder, "orders"), _order_rules())
+
+
+@query
+def quarantined_orders(spark, folder):
+    """Orders that break a rule, with the rules, as the quarantine has them."""
+    run = run_folder(spark, "quarantine")
+    orders = tables.table(spark, folder, "orders")
+    quality.quarantine(orders, _order_rules(), f"{run}/good", f"{run}/bad")
+    bad = versions.read(spark, f"{run}/bad")
+    return bad.select("o_orderkey", F.array_join(quality.BROKEN, ",").alias("broken"))
+
+
 @query
 def stream_landed_news(spark, folder):
     """Documents as a stream: cleaned, gated, landed as Parquet and read back."""

@@ -43,8 +43,13 @@ def _rated(reviews: DataFrame) -> DataFrame:
     return reviews.withColumn("rating", to_double("rating"))
 
 
+def review_day() -> Column:
+    """The day of a review, NULL if its time cannot be read."""
+    return F.col("timestamp").try_cast("date")
+
+
 def _day(rollup: bool) -> Column:
-    return F.col("date") if rollup else F.col("timestamp").try_cast("date")
+    return F.col("date") if rollup else review_day()
 
 
 def _rows(rollup: bool) -> Column:
