@@ -91,6 +91,20 @@ def test_texts_whose_short_hashes_agree_are_told_apart(spark):
     assert sorted(got, key=str) == brute_repeats(lone, 40)
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_many_equal_rows_are_given_their_spans_once(spark, monkeypatch, hot):
+    if hot:
+        monkeypatch.setattr(repeats, "MIN_HOT", 4)
+        monkeypatch.setattr(repeats, "MAX_CONTEXTS", 12)
+    rng = random.Random(6)
+    copied = " ".join("".join(rng.choices("abcdef", k=6)) for _ in range(120))
+    own = "".join(rng.choices("xyz", k=300))
+    rows = [(None, copied)] * 60 + [(5, copied)] * 60 + [(6, own), (None, own[:100] + copied[:90])]
+    result = repeats.drop_repeats(frame_of(spark, rows), length=40).collect()
+    got = [(r.doc_id, bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in result]
+    assert sorted(got, key=str) == brute_repeats(rows, 40)
+
+
 def test_long_texts_are_scanned_in_pieces(spark, monkeypatch):
     rng = random.Random(5)
     rows = [(i, " ".join(words_of(rng, 300, 60))) for i in range(4)]

@@ -320,7 +320,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     asked = (
         found.where(F.col("kind") != SPAN)
         .groupBy("doc", "twin", "other")
-        .agg(F.collect_list(F.struct("kind", "anchor", "start", "count")).alias("asked"))
+        # A set: rows that agree in id and text ask for the same places, and each is given them once.
+        .agg(F.collect_set(F.struct("kind", "anchor", "start", "count")).alias("asked"))
     )
     contexts = texts.join(asked, ["doc", "twin", "other"]).mapInArrow(_contexts(length), _CONTEXT)
     contexts = saved(contexts, "contexts")
@@ -398,7 +399,8 @@ def drop_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = documents.select(doc, twin, other, text_of().alias("text"))
     spans = repeated_spans(texts, length)
     spans = spans.groupBy("doc", "twin", "other")
-    spans = spans.agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    # A set: each of many equal rows has found the same spans.
+    spans = spans.agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     joined = texts.join(spans, ["doc", "twin", "other"], "left")
     doc_id = F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id")
     return joined.select(doc_id, "text", "spans").mapInArrow(
