@@ -13,6 +13,7 @@ from tidemark.plans.queries import QUERIES
 # Building these runs jobs, so their plans are not interesting here.
 JOBS = ("stream_", "landed_", "catalog_", "rollup_", "ingest_all", "corrupt_feeds", "verified_")
 EAGER = {name for name in QUERIES if name.startswith(JOBS)} | {
+    "changed_files",
     "cycle_statistics",
     "incremental_reports",
     "live_totals_under_update",

@@ -595,6 +595,11 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT topic, coalesce(source, 'unknown'), coalesce(category, 'general'), count(*), 'before'
         FROM messages WHERE CAST(substr(id, 4) AS BIGINT) % 2 = 0 GROUP BY ALL""",
+    "changed_files": f"""SELECT {_TURN} || ' ' || role AS value, 1 AS run
+        FROM conversations WHERE conv_id % 5 < 4
+        UNION ALL
+        SELECT {_TURN} || ' ' || role, 2 FROM conversations
+        WHERE conv_id % 5 = 4 OR (conv_id % 5 = 3 AND turn > 0)""",
     "silent_sources": """WITH gaps AS (
             SELECT event_type AS source, ts,
                    lag(ts) OVER (PARTITION BY event_type ORDER BY ts) AS before,

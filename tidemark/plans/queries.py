@@ -12,7 +12,7 @@ from tidemark.functions import casts, categories, html, text
 from tidemark.operators import articles, limits, preprocess, quality, scoring, unify
 from tidemark.operators.once import with_once
 from tidemark.plans import jobs, live, reports, rollups, tables
-from tidemark.sources import catalog, feeds, files, topics, versions
+from tidemark.sources import catalog, changes, feeds, files, topics, versions
 from tidemark.sources.session import run_folder
 from tidemark.streaming import pipelines, silence
 
@@ -1001,6 +1001,36 @@ def live_totals_under_update(spark, folder):
     )
 
 
+@query
+def changed_files(spark, folder):
+    """Lines of a folder of files taken in two runs; the second reads the new and changed files only.
+
+    Between the runs one file is replaced, one is new, and the others stay.
+    """
+    run = run_folder(spark, "files")
+    turns = tables.table(spark, folder, "conversations").withColumn("part", F.col("conv_id") % 5)
+    line = F.concat(tables.turn_id(), F.lit(" "), F.col("role"))
+    taken = []
+
+    def write(part, rows):
+        rows.select(line).coalesce(1).write.mode("overwrite").text(f"{run}/in/part-{part}")
+
+    def take(number):
+        found = changes.ChangeSet(spark, f"{run}/in", f"{run}/known", "*.txt")
+        kept = f"{run}/taken-{number}"
+        spark.read.text(found.paths()).write.parquet(kept)
+        found.done()
+        taken.append(spark.read.parquet(kept).withColumn("run", F.lit(number)))
+
+    for part in range(4):
+        write(part, turns.where(F.col("part") == part))
+    take(1)
+    write(3, turns.where("part = 3 AND turn > 0"))
+    write(4, turns.where("part = 4"))
+    take(2)
+    return taken[0].unionByName(taken[1])
+
+
 @query
 def silent_sources(spark, folder):
     """When sources of the events fell silent and came back, told by a stream in four batches."""
