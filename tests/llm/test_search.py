@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bwt, components, decontam, forest, repeats
+from tidemark.llm import bwt, components, decontam, forest, repeats, walks
 
 KIND = "doc_id long, text string"
 
@@ -354,3 +354,46 @@ def test_search_equals_brute_force_on_phrases_that_items_share(spark):
     frame = frame_of(spark, [(i, " ".join(text)) for i, text in enumerate(docs)])
     result = decontam.contaminated(frame, benchmark).collect()
     assert {(r.doc_id, r.item_id): r.distance for r in result} == expected
+
+
+@pytest.mark.parametrize("length", [7, 16, 37, 59])
+def test_walks_reach_the_target_recall_at_every_placement(length):
+    kind = walks.length_class(length)
+    few, many = (walks.repeats_for(r, decontam.SIMILARITY, kind) for r in (0.9, decontam.RECALL))
+    assert few < many
+    for trial in walks.trials(kind, decontam.allowed, copies=30, repeats=many):
+        assert trial.hits.any(axis=1).all(), trial.placement
+
+
+def test_walks_that_differ_by_little_write_the_same_words():
+    rng = np.random.default_rng(2)
+    item = rng.integers(1, 1 << 62, 60, dtype=np.uint64)
+    other = rng.integers(1, 1 << 62, 60, dtype=np.uint64)
+    near = np.delete(item, 30)
+    line, heads = walks.laid_out([item, near, other])
+    agree = [walks.walked(line, r, 80, heads) for r in range(40)]
+    same = np.mean([(s[:, 0] == s[:, 1]).mean() for s in agree])
+    assert same > 0.7
+    assert max((s[:, 0] == s[:, 2]).max() for s in agree) == 0
+
+
+def test_pieces_cover_an_item_of_any_length():
+    for length in (*range(1, 200), 1000, 50_000):
+        parts = walks.pieces(length)
+        assert [a for a, _ in parts] == [0, *[b for _, b in parts[:-1]]] and parts[-1][1] == length
+        assert max(b - a for a, b in parts) <= walks.PIECE
+
+
+def test_walks_find_what_the_exact_search_finds(spark):
+    docs, items = benchmark_rows()
+    rng = random.Random(31)
+    items.append((99, " ".join(words_of(rng, 2500, 900))))
+    long_item = items[-1][1].split()
+    docs.append((500, " ".join(edited(rng, long_item, decontam.allowed(len(long_item)) // 3))))
+    docs.append((501, " ".join([*words_of(rng, 3000, 900), *long_item[400:], "end"])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    both = [
+        {tuple(r) for r in decontam.contaminated(frame_of(spark, docs), benchmark, recall=r).collect()}
+        for r in (decontam.RECALL, 1)
+    ]
+    assert both[0] == both[1] and {(500, 99), (501, 99)} <= {r[:2] for r in both[0]}

@@ -10,15 +10,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import words
+from tidemark.llm import walks, words
 from tidemark.llm.common import saved
 
 SIMILARITY = 0.8
+# Chance to find a copy with all allowed edits where they hurt most; 1 asks for the exact search.
+RECALL = 0.9999
 # Bits of a bitmap of hashes: 2 MB each, however large the benchmark is.
 BITS = 1 << 24
 BUCKET = 1 << 15
 LONG_ITEM = 10
 GRAM = 3
+# Cells of the tables of distances that are filled together.
+CELLS = 1 << 20
 # Starts of possible matches that leave the scan as one window, in units of the longest match.
 WINDOW = 2
 
@@ -265,6 +269,9 @@ def _narrowed(item: np.ndarray, span: np.ndarray, similarity: float) -> np.ndarr
 def distances(items: list[np.ndarray], spans: list[np.ndarray]) -> np.ndarray:
     """Least word edits that turn each item into some run of words of its span."""
     height, width = max(map(len, items)), max(map(len, spans))
+    if len(items) > 1 and len(items) * (height + width) > CELLS:
+        half = len(items) // 2
+        return np.r_[distances(items[:half], spans[:half]), distances(items[half:], spans[half:])]
     item, span = np.zeros((len(items), height), np.int64), np.zeros((len(spans), width), np.int64)
     item_words = np.zeros((len(items), height), bool)
     span_words = np.zeros((len(spans), width), bool)
@@ -318,19 +325,102 @@ def _verify(similarity: float):
     return run
 
 
+def _item_keys(repeats: int):
+    """One row per item and key of its walks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch.column("words").to_numpy(zero_copy_only=False)
+            number, key = walks.item_keys([w.view(np.uint64) for w in own], repeats)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("item").take(pa.array(number)), pa.array(key.view(np.int64))],
+                ["item", "key"],
+            )
+
+    return run
+
+
+def _window_keys(repeats: int, kinds: list[int], bits: np.ndarray):
+    """One row per window and key of a walk from any of its words, if an item may have the key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            spans = batch.column("span").to_numpy(zero_copy_only=False)
+            names = batch.column("window").to_numpy()
+            ends = np.cumsum([len(s) + 1 for s in spans])
+            # Windows are walked together up to CHUNK places, a longer one by itself.
+            parts = np.split(np.arange(len(spans)), np.flatnonzero(np.diff(ends // walks.CHUNK)) + 1)
+            for part in parts:
+                line, heads = walks.laid_out([spans[i] for i in part])
+                places = np.flatnonzero(line != walks.END)
+                for first in range(0, len(places), walks.CHUNK):
+                    starts = places[first : first + walks.CHUNK]
+                    owner = part[np.searchsorted(heads, starts, "right") - 1]
+                    hits = []
+                    for repeat in range(repeats):
+                        for backward in (False, True):
+                            for _, _, key in walks.keys(line, starts, repeat, kinds, backward):
+                                hit = np.flatnonzero((key != walks.END) & marked(key, bits))
+                                hits.append((owner[hit], key[hit]))
+                    met = pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(names[np.concatenate([o for o, _ in hits])]),
+                            pa.array(np.concatenate([k for _, k in hits]).view(np.int64)),
+                        ],
+                        ["window", "key"],
+                    )
+                    if met.num_rows:
+                        yield met
+
+    return run
+
+
+def _by_walks(
+    windows: DataFrame, items: DataFrame, similarity: float, recall: float
+) -> DataFrame:
+    """window and item that have a key of their walks in common."""
+    sizes = items.select(F.least(F.size("words"), F.lit(2 * walks.PIECE)).alias("n")).distinct()
+    lengths = {row["n"] for row in sizes.collect()}
+    if 2 * walks.PIECE in lengths:
+        # Longer items have parts of half a piece to a piece.
+        lengths |= set(range(walks.PIECE // 2, walks.PIECE + 1))
+    kinds = walks.kinds_of(sorted(lengths))
+    repeats = max(walks.repeats_for(recall, similarity, kind) for kind in kinds)
+    texts = items.select("item", "words").dropDuplicates(["item"])
+    own = saved(texts.mapInArrow(_item_keys(repeats), "item long, key long").distinct(), "keys")
+    walk = _window_keys(repeats, kinds, bitmap(own, "key"))
+    met = windows.select("window", "span").mapInArrow(walk, "window long, key long")
+    return met.distinct().join(own, "key").select("window", "item").distinct()
+
+
+def _by_seeds(windows: DataFrame, seeded: DataFrame) -> DataFrame:
+    """window and item where the window holds a seed of the item: all that can match."""
+    hits = windows.select("window", F.explode("seeds").alias("gram"))
+    return hits.join(seeded.drop("q"), "gram").select("window", "item").distinct()
+
+
 def contaminated(
-    documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY
+    documents: DataFrame,
+    benchmark: DataFrame,
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
 ) -> DataFrame:
     """doc_id, item_id, distance and similarity of every item found in a document.
 
     A document holds an item if some run of its words is within ``(1 - similarity)`` times the
     item's length of word edits of it. Words are compared without case (A-Z) and ASCII
-    punctuation. The search misses nothing: each whole text is scanned for places that enough of
-    the benchmark's word grams follow (a condition that any match meets), the windows there meet
-    the items whose seeds they hold (any match has one of them unedited), and each pair that shares
-    enough grams of the item is verified by exact edit distance over the words. The distance is
-    the least of all matches. Only the windows leave the scan; the rest of a text is never
-    shuffled.
+    punctuation. Each whole text is scanned for places that enough of the benchmark's word grams
+    follow (a condition that any match meets); only the windows there leave the scan. Walks of the
+    CGK embedding start at every word of a window, forward and backward, and at both ends of every
+    item, over its whole length; items and windows meet by sampled steps, with as many repeats as
+    ``recall`` needs for the worst placement of edits. Each pair that shares enough grams of the
+    item is verified by exact edit distance over the words. The distance is the least of all
+    matches of a window. With a ``recall`` of 1 windows meet items by seeds instead (grams of
+    which any match has one unedited), and nothing is missed.
 
     NULL and empty texts hold nothing; items without a word are ignored. Rows that share a doc_id
     (or have none) give one row per item with the best match, and so do repeated items. Other
@@ -353,8 +443,10 @@ def contaminated(
     )
     name = F.xxhash64("doc_id", "start", "span").alias("window")
     windows = saved(found.select(name, "doc_id", "seeds", "span"), "windows")
-    hits = windows.select("window", F.explode("seeds").alias("gram"))
-    pairs = hits.join(seeded.drop("q"), "gram").select("window", "item").distinct()
+    if recall < 1:
+        pairs = _by_walks(windows, items, similarity, recall)
+    else:
+        pairs = _by_seeds(windows, seeded)
     texts = items.select("item", "item_id", "words").dropDuplicates(["item"])
     pairs = pairs.join(windows.drop("seeds"), "window").join(texts, "item")
     verified = pairs.select("doc_id", "item_id", "words", "span").mapInArrow(
