@@ -145,6 +145,49 @@ def test_hosts_reject_their_documents(spark):
     assert len(judged) == len(rows)
 
 
+def plain_rejected(hosts):
+    """Names of bad hosts from {name: (documents, failed)}."""
+    rates = {h: x / n for h, (n, x) in hosts.items()}
+    mean = sum(rates.values()) / len(rates)
+    noise = sum(1 / n for n, _ in hosts.values()) / len(hosts)
+    variance = sum((r - mean) ** 2 for r in rates.values()) / max(len(rates) - 1, 1)
+    if noise >= 1 or variance - mean * (1 - mean) * noise <= 1e-12 * (1 - noise):
+        return set()
+    strength = max(mean * (1 - mean) * (1 - noise) / (variance - mean * (1 - mean) * noise) - 1, 0)
+    out = set()
+    for host, (n, x) in hosts.items():
+        a, b = x + mean * strength, n - x + (1 - mean) * strength
+        deviation = (a * b / ((a + b) ** 2 * (a + b + 1))) ** 0.5
+        if a / (a + b) - 3 * deviation > max(0.5, mean):
+            out.add(host)
+    return out
+
+
+HOSTS = [
+    {**{f"clean{i}": (20, i % 2) for i in range(50)}, "junk": (100, 80)},
+    {**{f"clean{i}": (20, 1) for i in range(30)}, "half": (100, 55), "few": (2, 2), "one": (1, 1)},
+    {f"h{i}": (1, i % 2) for i in range(40)},
+    {"alone": (60, 45)},
+    {f"same{i}": (40, 30) for i in range(9)},
+]
+
+
+@pytest.mark.parametrize("hosts", HOSTS)
+def test_a_bad_host_loses_its_good_documents_and_others_stay_whole(spark, hosts):
+    good = " ".join(f"w{i}" for i in range(30))
+    rows = [
+        (k * 1000 + i, "bad" if i < failed else good, host)
+        for k, (host, (n, failed)) in enumerate(hosts.items())
+        for i in range(n)
+    ]
+    gone = plain_rejected(hosts)
+    assert gone == ({"junk"} if "junk" in hosts else set())
+    expected = {i for i, text, host in rows if text == good and host not in gone}
+    judged = rules.quality_rules(documents(spark, rows)).where("kept").collect()
+    assert {r.doc_id for r in judged} == expected
+    assert {r.doc_id for r in rules.passing(documents(spark, rows)).collect()} == expected
+
+
 def test_rules_take_ties_and_clashing_columns(spark):
     rows = [(1, "bad", "s"), (1, "bad", "s"), (None, None, None)]
     frame = documents(spark, rows).withColumn("n_words", F.lit(7)).withColumn("rate", F.lit(1))

@@ -71,20 +71,28 @@ hosts AS (
            count(*) FILTER (WHERE base_failed) / count(*) AS rate
     FROM judged WHERE source IS NOT NULL GROUP BY source
 ),
-prior AS (
-    SELECT avg(rate) AS mean,
-           CASE WHEN var_pop(rate) > 1e-12
-                THEN greatest(avg(rate) * (1 - avg(rate)) / var_pop(rate) - 1, 0) END AS strength
+moments AS (
+    SELECT avg(rate) AS mean, coalesce(var_samp(rate), 0) AS variance, avg(1 / n) AS noise
     FROM hosts
 ),
-shrunk AS (
-    SELECT source, CASE WHEN strength IS NULL THEN mean
-                        ELSE (failed + mean * strength) / (n + strength) END AS rate
-    FROM hosts, prior
+prior AS (
+    SELECT mean, CASE WHEN noise < 1
+                      THEN (variance - mean * (1 - mean) * noise) / (1 - noise) ELSE 0 END AS between_hosts
+    FROM moments
+),
+posterior AS (
+    SELECT source, n, mean, strength, (failed + mean * strength) / (n + strength) AS rate
+    FROM hosts,
+         (SELECT mean, greatest(mean * (1 - mean) / between_hosts - 1, 0) AS strength
+          FROM prior WHERE between_hosts > 1e-12)
+),
+rejected AS (
+    SELECT source FROM posterior
+    WHERE rate - 3 * sqrt(rate * (1 - rate) / (n + strength + 1)) > greatest(0.5, mean)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(s.rate, 0) <= 0.9 AS kept
-FROM judged LEFT JOIN shrunk s USING (source)
+       NOT base_failed AND r.source IS NULL AS kept
+FROM judged j LEFT JOIN rejected r ON j.source = r.source
 """
 
 CHAT_FORMATTING = r"""

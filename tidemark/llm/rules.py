@@ -11,7 +11,9 @@ SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-MAX_HOST_RATE = 0.9
+# A host goes if its failure rate is above this, and above the hosts' mean, by so many deviations.
+MAX_HOST_RATE = 0.5
+DEVIATIONS = 3.0
 
 
 def _words(text: Column) -> Column:
@@ -93,10 +95,12 @@ def measures(documents: DataFrame) -> DataFrame:
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
-    """Failure rate of every host, shrunk by a beta prior fitted to all hosts.
+    """source, shrunk and surely: the failure rate of every host, shrunk by a beta prior fitted to
+    all hosts, and a lower bound of it, DEVIATIONS of the posterior below; and mean, the prior's.
 
-    The prior's mean and strength come from the hosts' own rates by moments; where the rates do
-    not vary, every host gets the mean. Documents without a source belong to no host.
+    The prior's mean and strength come from the hosts' own rates by moments. What the rates vary
+    by chance, more for hosts of few documents, is taken out first; where nothing is left, hosts do
+    not differ, and every host gets the mean. Documents without a source belong to no host.
     """
     hosts = (
         measured.where(F.col("source").isNotNull())
@@ -105,15 +109,35 @@ def host_rates(measured: DataFrame) -> DataFrame:
     )
     hosts = saved(hosts, "hosts").withColumn("rate", F.col("failed") / F.col("n"))
     moments = hosts.agg(
-        F.avg("rate").alias("mean"), F.coalesce(F.var_pop("rate"), F.lit(0.0)).alias("variance")
+        F.avg("rate").alias("mean"),
+        F.coalesce(F.var_samp("rate"), F.lit(0.0)).alias("variance"),
+        F.avg(1 / F.col("n")).alias("noise"),
     ).first()
-    mean, variance = moments["mean"] or 0.0, moments["variance"]
-    strength = mean * (1 - mean) / variance - 1 if variance > 1e-12 else None
-    if strength is None:
-        return hosts.select("source", F.lit(float(mean)).alias("shrunk"))
-    strength = max(strength, 0.0)
+    mean, noise = moments["mean"] or 0.0, moments["noise"] or 1.0
+    # A rate over n documents varies by (mean * (1 - mean) - between) / n more than its host's own.
+    chance = mean * (1 - mean)
+    between = (moments["variance"] - chance * noise) / (1 - noise) if noise < 1 else 0.0
+    if between <= 1e-12:
+        level = F.lit(float(mean))
+        return hosts.select(
+            "source", level.alias("shrunk"), level.alias("surely"), level.alias("mean")
+        )
+    strength = max(chance / between - 1, 0.0)
     shrunk = (F.col("failed") + mean * strength) / (F.col("n") + strength)
-    return hosts.select("source", shrunk.alias("shrunk"))
+    hosts = hosts.withColumn("shrunk", shrunk)
+    spread = F.sqrt(F.col("shrunk") * (1 - F.col("shrunk")) / (F.col("n") + strength + 1))
+    return hosts.select(
+        "source",
+        "shrunk",
+        (F.col("shrunk") - DEVIATIONS * spread).alias("surely"),
+        F.lit(float(mean)).alias("mean"),
+    )
+
+
+def rejected_hosts(measured: DataFrame, max_host_rate: float) -> DataFrame:
+    """source of the hosts that surely fail more than ``max_host_rate`` and than the hosts' mean."""
+    worse = (F.col("surely") > max_host_rate) & (F.col("surely") > F.col("mean"))
+    return host_rates(measured).where(worse).select("source")
 
 
 def passing(documents: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
@@ -127,7 +151,7 @@ def passing(documents: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataF
     rows = documents.select(F.struct("*").alias("doc_id"), "source", "text")
     judged = measures(rows).select(F.col("doc_id").alias("row"), "source", "base_failed")
     judged = saved(judged, "judged")
-    rejected = host_rates(judged).where(F.col("shrunk") > max_host_rate).select("source")
+    rejected = rejected_hosts(judged, max_host_rate)
     kept = judged.where(~F.col("base_failed")).join(rejected, "source", "left_anti")
     return kept.select(*[F.col("row").getField(c).alias(c) for c in columns])
 
@@ -135,8 +159,8 @@ def passing(documents: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataF
 def quality_rules(documents: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
     """Figures and verdicts, one row per document.
 
-    A document goes if it fails a rule itself, or if the shrunk failure rate of its host is above
-    ``max_host_rate``. The text is read once: the figures are written and both the host table and
+    A document goes if it fails a rule itself, or if its host is one of `rejected_hosts`: the lower
+    bound of the host's shrunk failure rate is above ``max_host_rate`` and the mean. The text is read once: the figures are written and both the host table and
     the verdicts come from them. Hosts are counted before they are shuffled, and the verdicts
     join to the documents as a skewed join that Spark splits.
 
@@ -144,9 +168,9 @@ def quality_rules(documents: DataFrame, max_host_rate: float = MAX_HOST_RATE) ->
     table gives no rows.
     """
     measured = saved(measures(documents), "measures")
-    rates = host_rates(measured)
-    joined = measured.join(rates, "source", "left")
-    passes = ~F.col("base_failed") & (F.coalesce(F.col("shrunk"), F.lit(0.0)) <= max_host_rate)
+    rejected = rejected_hosts(measured, max_host_rate).withColumn("rejected", F.lit(True))
+    joined = measured.join(rejected, "source", "left")
+    passes = ~F.col("base_failed") & F.col("rejected").isNull()
     return joined.select(
         "doc_id",
         "n_words",
