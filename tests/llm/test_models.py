@@ -1,5 +1,6 @@
 """Toxicity and quality scores: held-out accuracy and odd inputs."""
 
+import math
 import zlib
 
 import numpy as np
@@ -92,3 +93,72 @@ def test_second_person_and_obfuscation_are_measured():
     assert named["odd_words"] == [0.5, 0, 0, 0]
     assert named["masked_letters"][1] > 0 and named["masked_letters"][0] == 0
     assert rows[3].tolist() == [0.0] * len(features.SHAPE)
+
+
+def plain_risk(positive, unlabelled, weights, prior):
+    """The unbiased risk, row by row, without and with the bound at zero of its second part."""
+
+    def loss(rows, sign):
+        return sum(math.log1p(math.exp(-sign * float(r @ weights))) for r in rows) / len(rows)
+
+    rest = loss(unlabelled, -1) - prior * loss(positive, -1)
+    return prior * loss(positive, 1) + rest, rest
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.95])
+def test_risk_gradient_is_the_slope_of_the_risk(prior):
+    rng = np.random.default_rng(4)
+    positive, unlabelled = rng.normal(1, 1, (40, 5)), rng.normal(0, 1, (60, 5))
+    for _ in range(6):
+        weights = rng.normal(0, 1.5, 5)
+        gradient = pulearn.risk_gradient(
+            prior,
+            (40, *pulearn.sums(positive, weights)),
+            (60, *pulearn.sums(unlabelled, weights)),
+            positive.sum(axis=0),
+        )
+        risk, rest = plain_risk(positive, unlabelled, weights, prior)
+        for i in range(5):
+            step = np.eye(5)[i] * 1e-6
+            there, rest_there = plain_risk(positive, unlabelled, weights + step, prior)
+            slope = (there - risk) / 1e-6 if rest >= 0 else -(rest_there - rest) / 1e-6
+            assert gradient[i] == pytest.approx(slope, abs=1e-4)
+
+
+def test_sums_over_partitions_are_the_sums_over_all_rows(spark):
+    rng = np.random.default_rng(8)
+    n = len(features.SHAPE)
+    matrix, kinds = rng.normal(0, 1, (500, n)), rng.random(500) < 0.2
+    edges = np.sort(rng.normal(0, 1, (n, 3)), axis=1)
+    weights = rng.normal(0, 0.3, 3 * n + 1)
+    rows = [(m.tolist(), bool(k)) for m, k in zip(matrix, kinds, strict=True)]
+    frame = spark.createDataFrame(rows, "features array<double>, is_positive boolean")
+    found = pulearn._all_sums(frame.repartition(7), weights, edges)
+    for kind in (False, True):
+        wide = pulearn.expanded(matrix[kinds == kind], edges)
+        loss, pull = pulearn.sums(wide, weights)
+        rows, total, pulled, ones = found[kind]
+        assert rows == len(wide) and total == pytest.approx(loss)
+        assert pulled == pytest.approx(pull) and ones == pytest.approx(wide.sum(axis=0))
+    one = pulearn.refined(frame.coalesce(1), weights, edges, 0.6, steps=2)
+    many = pulearn.refined(frame.repartition(5), weights, edges, 0.6, steps=2)
+    assert one == pytest.approx(many) and not np.allclose(one, weights)
+
+
+def test_edges_are_quantiles_over_all_rows(spark):
+    n = len(features.SHAPE)
+    frame = spark.range(20_001).select(
+        F.array(*[F.col("id").cast("double") * (i + 1) for i in range(n)]).alias("features")
+    )
+    edges = pulearn.bin_edges(frame)
+    expected = np.array(pulearn.edge_shares()) * 20_000
+    for i in range(n):
+        assert edges[i] == pytest.approx(expected * (i + 1), abs=3 * (i + 1))
+
+
+def test_positive_unlabelled_learning_tells_a_known_mixture_apart():
+    rng = np.random.default_rng(5)
+    good, bad = rng.normal(1.5, 1, (1500, 3)), rng.normal(-1.5, 1, (500, 3))
+    wide = [np.c_[m, np.ones(len(m))] for m in (good[:500], np.r_[good[500:], bad])]
+    weights = pulearn.fit(*wide, prior=2 / 3)
+    assert ((wide[1] @ weights > 0) == (np.arange(1500) < 1000)).mean() > 0.95
